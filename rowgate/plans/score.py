@@ -1,0 +1,128 @@
+"""All checks of a contract at once: every row with the list of reasons it fails.
+
+Format and null checks need nothing but the row. Only duplicates need other rows, and most
+rows of a large table have a key of their own, so the work is ordered to move little:
+
+1. Hash the key and count the hashes. This reads the key columns and shuffles 8-byte numbers,
+   combined before the shuffle. A row whose hash is alone has no duplicate of either kind.
+2. For the other rows, find the first copy of each distinct tuple and whether its key has
+   another tuple. Copies combine before the shuffle, so no task sees a whole group.
+3. Scan once more and look both results up: a candidate that is not a first copy is a row
+   duplicate, a first copy whose key clashes is a key duplicate.
+
+Both lookup tables are kept in the shared folder and counted before use. Their rows have a
+fixed width, so the count proves the size: up to ``broadcast_rows`` they are broadcast and the
+table itself is never shuffled. Beyond that, step 2 takes all rows, and step 3 joins on the
+unique row number, which no hot key or copy group can skew.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rowgate.contract import DUP_KEY, DUP_ROW, REASON, Contract
+from rowgate.functions import column, has_key, invalid_flags, key_hash, null_flags, reason_array
+from rowgate.operators.duplicates import first_copies, lone_copies
+from rowgate.operators.projection import select_data
+from rowgate.staging import Staging
+
+# Rows of one long and one boolean: some 100 MB in a broadcast hash table.
+BROADCAST_ROWS = 2_000_000
+
+_HASH = "_key_hash"
+_CANDIDATE = "_candidate"
+_CLASH = "_clash"
+
+
+def score(
+    df: DataFrame,
+    contract: Contract,
+    staging: Staging | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    read_twice: bool = False,
+) -> DataFrame:
+    """``df`` (row number and data columns) with ``reason``, an array that is empty for a good row.
+
+    Runs two small jobs before it returns. ``read_twice`` says that the caller reads the result
+    more than once: then a result that costs a shuffle of the table is kept as well.
+    """
+    staging = staging or Staging(df.sparkSession)
+    rows = df.select(*map(column, [contract.row_id, *contract.data_columns]))
+
+    repeated = staging.keep(_repeated_hashes(rows, contract), "repeated")
+    repeated_rows = repeated.count()
+    if repeated_rows == 0:
+        return _with_reasons(rows.withColumns({_CANDIDATE: F.lit(False), _CLASH: F.lit(None)}), contract)
+
+    marked = _mark_candidates(rows, contract, repeated, repeated_rows <= broadcast_rows)
+    firsts = staging.keep(_first_copy_clashes(marked.where(_CANDIDATE), contract), "firsts")
+    narrow = firsts.count() <= broadcast_rows
+    # The sort-merge hint keeps the optimizer from a broadcast by compressed file size.
+    looked_up = marked.join(F.broadcast(firsts) if narrow else firsts.hint("merge"), [contract.row_id], "left")
+    scored = _with_reasons(looked_up, contract)
+    if read_twice and not narrow:
+        parts = scored.withColumn("_bad", F.size(REASON) > 0)
+        return staging.keep(parts, "scored", partition_by="_bad").drop("_bad")
+    return scored
+
+
+def good(scored: DataFrame, contract: Contract) -> DataFrame:
+    """The raw data columns of the rows without a reason."""
+    return select_data(scored.where(F.size(REASON) == 0), contract)
+
+
+def bad(scored: DataFrame, contract: Contract) -> DataFrame:
+    """The rows with a reason: row number, raw data columns, reasons."""
+    return scored.where(F.size(REASON) > 0).select(
+        *map(column, [contract.row_id, *contract.data_columns]), REASON
+    )
+
+
+def reason_counts(scored: DataFrame) -> DataFrame:
+    """How many rows carry each reason."""
+    return (
+        scored.select(F.explode(REASON).alias(REASON))
+        .groupBy(REASON)
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def _repeated_hashes(rows: DataFrame, contract: Contract) -> DataFrame:
+    return (
+        rows.select(key_hash(contract.key).alias(_HASH))
+        .where(F.col(_HASH).isNotNull())
+        .groupBy(_HASH)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > 1)
+        .select(_HASH)
+    )
+
+
+def _mark_candidates(rows: DataFrame, contract: Contract, repeated: DataFrame, narrow: bool) -> DataFrame:
+    if not narrow:
+        return rows.withColumn(_CANDIDATE, has_key(contract.key))
+    lookup = F.broadcast(repeated.withColumn(_CANDIDATE, F.lit(True)))
+    marked = rows.withColumn(_HASH, key_hash(contract.key)).join(lookup, [_HASH], "left").drop(_HASH)
+    return marked.withColumn(_CANDIDATE, F.coalesce(_CANDIDATE, F.lit(False)))
+
+
+def _first_copy_clashes(candidates: DataFrame, contract: Contract) -> DataFrame:
+    firsts = first_copies(candidates.drop(_CANDIDATE), contract)
+    lone = lone_copies(firsts, contract).withColumn("lone", F.lit(True))
+    return firsts.select(column(contract.row_id)).join(lone, [contract.row_id], "left").select(
+        column(contract.row_id), F.col("lone").isNull().alias(_CLASH)
+    )
+
+
+def _with_reasons(looked_up: DataFrame, contract: Contract) -> DataFrame:
+    clash = F.col(_CLASH)
+    flags = {
+        **invalid_flags(contract),
+        **null_flags(contract.key),
+        DUP_ROW: F.col(_CANDIDATE) & clash.isNull(),
+        DUP_KEY: F.coalesce(clash, F.lit(False)),
+    }
+    return looked_up.select(
+        *map(column, [contract.row_id, *contract.data_columns]), reason_array(flags).alias(REASON)
+    )
