@@ -2,7 +2,7 @@
 
 from rowgate.contract import Contract, dynamic, framework, standard
 from rowgate.plans import CleanseJob, IngestJob, bad, good, reason_counts, score
-from rowgate.staging import Staging
+from rowgate.staging import Staging, fixed_splits
 
 __all__ = [
     "CleanseJob",
@@ -11,6 +11,7 @@ __all__ = [
     "Staging",
     "bad",
     "dynamic",
+    "fixed_splits",
     "framework",
     "good",
     "reason_counts",

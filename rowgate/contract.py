@@ -17,6 +17,8 @@ ROW_ID = "_sk"
 REASON = "reason"
 DUP_ROW = "_is_dup_row"
 DUP_KEY = "_is_dup_key"
+# Columns the library adds on the way and takes away again.
+INTERNAL_PREFIX = "_rowgate_"
 NULL_POLICIES = ("flag", "pass")
 
 
@@ -75,7 +77,7 @@ class Contract:
         if len(set(names)) != len(names):
             raise ValueError("column names must differ by more than letter case")
         reserved = {n.lower() for n in (*self.flag_names, self.row_id, REASON)}
-        clash = [c for c in self.columns if c.lower() in reserved]
+        clash = [c for c in self.columns if c.lower() in reserved or c.lower().startswith(INTERNAL_PREFIX)]
         if clash:
             raise ValueError(f"column names reserved for check results: {clash}")
 

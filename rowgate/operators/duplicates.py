@@ -24,6 +24,15 @@ SLICE_BITS = 20
 ROW_ID_BITS = 63
 NUMBER = "rn"
 
+_HASH = "_rowgate_hash"
+_LARGE = "_rowgate_large"
+_SLICE = "_rowgate_slice"
+_SLICES = "_rowgate_slices"
+_PLACE = "_rowgate_place"
+_BLOCK = "_rowgate_block"
+_COUNT = "_rowgate_count"
+_BEFORE = "_rowgate_before"
+
 
 def first_copies(df: DataFrame, contract: Contract) -> DataFrame:
     """One row per distinct tuple of the data columns (null equals null): the lowest numbered copy."""
@@ -38,8 +47,8 @@ def lone_copies(firsts: DataFrame, contract: Contract) -> DataFrame:
     """Row numbers of those first copies whose key no other tuple has."""
     return (
         firsts.groupBy(*map(column, contract.key))
-        .agg(F.min(column(contract.row_id)).alias(contract.row_id), F.count(F.lit(1)).alias("tuples"))
-        .where(F.col("tuples") == 1)
+        .agg(F.min(column(contract.row_id)).alias(contract.row_id), F.count(F.lit(1)).alias(_COUNT))
+        .where(F.col(_COUNT) == 1)
         .select(column(contract.row_id))
     )
 
@@ -71,7 +80,11 @@ def _records(df: DataFrame, contract: Contract, reason: str) -> DataFrame:
 
 
 def copy_numbers(
-    df: DataFrame, columns: Sequence[str], row_id: str, slice_bits: int = SLICE_BITS
+    df: DataFrame,
+    columns: Sequence[str],
+    row_id: str,
+    slice_bits: int = SLICE_BITS,
+    row_id_bits: int = ROW_ID_BITS,
 ) -> DataFrame:
     """Add ``rn``: 1, 2, 3 ... within each group of equal ``columns``, in ``row_id`` order.
 
@@ -81,21 +94,24 @@ def copy_numbers(
     """
     group = [column(name) for name in columns]
     number = column(row_id)
-    large = _large_groups(df, group, 1 << slice_bits).select("_hash", F.lit(True).alias("_large"))
-    rows = df.withColumn("_hash", F.xxhash64(*group)).join(F.broadcast(large), "_hash", "left")
-    rows = rows.withColumn("_slice", F.when(F.col("_large"), F.shiftright(number, slice_bits)).otherwise(-1))
-    slices = (
-        rows.where("_large")
-        .groupBy(*group, F.col("_slice").alias("_place"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+    large = _large_groups(df, group, 1 << slice_bits).select(_HASH, F.lit(True).alias(_LARGE))
+    rows = df.withColumn(_HASH, F.xxhash64(*group)).join(F.broadcast(large), _HASH, "left")
+    rows = rows.withColumn(_SLICE, F.when(F.col(_LARGE), F.shiftright(number, slice_bits)).otherwise(-1))
+    slices = rows.where(F.col(_LARGE)).groupBy(*group, _SLICE).agg(F.count(F.lit(1)).alias(_COUNT))
+    heads = _counted_before(
+        slices.withColumnRenamed(_SLICE, _PLACE), columns, row_id_bits - slice_bits, slice_bits
     )
-    starts = _counted_before(slices, columns, ROW_ID_BITS - slice_bits, slice_bits)
-    heads = starts.select(*group, F.col("_place").alias("_slice"), F.col("_before"))
-    together = rows.drop("_hash", "_large").unionByName(heads, allowMissingColumns=True)
+    heads = heads.select(*group, F.col(_PLACE).alias(_SLICE), _BEFORE)
     # A slice's head has no row number, so it sorts first and is not counted.
-    in_slice = W.partitionBy(*group, "_slice").orderBy(number.asc_nulls_first())
-    rank = F.count(number).over(in_slice) + F.coalesce(F.max("_before").over(in_slice), F.lit(0))
-    return together.withColumn(NUMBER, rank).where(number.isNotNull()).drop("_slice", "_before")
+    in_slice = W.partitionBy(*group, _SLICE).orderBy(number.asc_nulls_first())
+    place = F.count(number).over(in_slice) + F.coalesce(F.max(_BEFORE).over(in_slice), F.lit(0))
+    return (
+        rows.drop(_HASH, _LARGE)
+        .unionByName(heads, allowMissingColumns=True)
+        .withColumn(NUMBER, place)
+        .where(number.isNotNull())
+        .drop(_SLICE, _BEFORE)
+    )
 
 
 def key_counts(
@@ -108,62 +124,65 @@ def key_counts(
     near ``large_rows``.
     """
     group = [column(name) for name in key]
-    large = _large_groups(df, group, large_rows).select(
-        "_hash", F.ceil(F.col("_n") / large_rows).alias("_slices")
+    number = column(row_id)
+    large = _large_groups(df, group, large_rows)
+    large = large.select(_HASH, F.ceil(F.col(_COUNT) / large_rows).alias(_SLICES))
+    rows = df.withColumn(_HASH, F.xxhash64(*group)).join(F.broadcast(large), _HASH, "left")
+    any_slice = F.pmod(F.xxhash64(number), F.col(_SLICES))
+    rows = rows.withColumn(_SLICE, F.when(F.col(_SLICES).isNotNull(), any_slice).otherwise(-1))
+    totals = (
+        rows.where(F.col(_SLICES).isNotNull()).groupBy(*group, _SLICES).agg(F.count(F.lit(1)).alias(_COUNT))
     )
-    rows = df.withColumn("_hash", F.xxhash64(*group)).join(F.broadcast(large), "_hash", "left")
-    slice_no = F.when(
-        F.col("_slices").isNotNull(), F.pmod(F.xxhash64(column(row_id)), F.col("_slices"))
-    ).otherwise(-1)
-    rows = rows.withColumn("_slice", slice_no)
-    heads = (
-        rows.where(F.col("_slices").isNotNull())
-        .groupBy(*group, "_slices")
-        .agg(F.count(F.lit(1)).alias("_total"))
-        .select(*group, F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice"), "_total")
+    heads = totals.select(
+        *group, F.explode(F.sequence(F.lit(0), F.col(_SLICES) - 1)).alias(_SLICE), _COUNT
+    )
+    in_slice = W.partitionBy(*group, _SLICE)
+    total = F.coalesce(F.max(_COUNT).over(in_slice), F.count(number).over(in_slice))
+    return (
+        rows.drop(_HASH, _SLICES)
+        .unionByName(heads, allowMissingColumns=True)
+        .withColumn(NUMBER, total)
+        .where(number.isNotNull())
+        .drop(_SLICE, _COUNT)
     )
-    together = rows.drop("_hash", "_slices").unionByName(heads, allowMissingColumns=True)
-    whole = W.partitionBy(*group, "_slice")
-    total = F.coalesce(F.max("_total").over(whole), F.count(F.lit(1)).over(whole))
-    return together.withColumn(NUMBER, total).where(column(row_id).isNotNull()).drop("_slice", "_total")
 
 
 def _large_groups(df: DataFrame, group: Sequence[Column], rows: int) -> DataFrame:
-    """Hashes of the groups with more than ``rows`` rows.
+    """Hashes of the groups with more than ``rows`` rows, and how many rows they have.
 
     A table of N rows has fewer than N / ``rows`` of them, two numbers each, so the result is
     safe to broadcast: about 16 MB for 10**12 rows and 2**20 rows a group.
     """
-    return (
-        df.select(F.xxhash64(*group).alias("_hash"))
-        .groupBy("_hash")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows)
-    )
+    hashes = df.select(F.xxhash64(*group).alias(_HASH))
+    return hashes.groupBy(_HASH).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > rows)
 
 
 def _counted_before(counts: DataFrame, columns: Sequence[str], bits: int, slice_bits: int) -> DataFrame:
-    """Add ``_before`` to (columns, _place, _n): the sum of ``_n`` over the group's lower places.
+    """Add to (columns, place, count) the sum of the counts at the group's lower places.
 
     Places have up to ``bits`` bits. They are summed block by block, and blocks the same way
     one level up, so no window holds more than 2**slice_bits + 1 rows.
     """
     group = [column(name) for name in columns]
-    earlier = W.orderBy(F.col("_place").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.orderBy(F.col(_PLACE).asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
     if bits <= slice_bits:
-        before = F.sum("_n").over(earlier.partitionBy(*group))
-        return counts.withColumn("_before", F.coalesce(before, F.lit(0)))
-    blocks = counts.withColumn("_block", F.shiftright("_place", slice_bits))
-    totals = blocks.groupBy(*group, F.col("_block").alias("_place")).agg(F.sum("_n").alias("_n"))
-    starts = _counted_before(totals, columns, bits - slice_bits, slice_bits)
+        before = F.sum(_COUNT).over(earlier.partitionBy(*group))
+        return counts.withColumn(_BEFORE, F.coalesce(before, F.lit(0)))
+    blocks = counts.withColumn(_BLOCK, F.shiftright(_PLACE, slice_bits))
+    totals = blocks.groupBy(*group, _BLOCK).agg(F.sum(_COUNT).alias(_COUNT))
+    starts = _counted_before(
+        totals.withColumnRenamed(_BLOCK, _PLACE), columns, bits - slice_bits, slice_bits
+    )
     # A block's head carries the rows before the block and stands before its first place.
     heads = starts.select(
-        *group, F.lit(None).cast("long").alias("_place"), F.col("_before").alias("_n"), F.col("_place").alias("_block")
+        *group,
+        F.lit(None).cast("long").alias(_PLACE),
+        F.col(_BEFORE).alias(_COUNT),
+        F.col(_PLACE).alias(_BLOCK),
     )
-    before = F.sum("_n").over(earlier.partitionBy(*group, "_block"))
     return (
         blocks.unionByName(heads)
-        .withColumn("_before", before)
-        .where(F.col("_place").isNotNull())
-        .drop("_block")
+        .withColumn(_BEFORE, F.sum(_COUNT).over(earlier.partitionBy(*group, _BLOCK)))
+        .where(F.col(_PLACE).isNotNull())
+        .drop(_BLOCK)
     )

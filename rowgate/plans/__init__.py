@@ -1,4 +1,4 @@
 from rowgate.plans.jobs import CleanseJob, IngestJob
-from rowgate.plans.score import bad, good, reason_counts, score
+from rowgate.plans.scoring import bad, good, reason_counts, score
 
 __all__ = ["CleanseJob", "IngestJob", "bad", "good", "reason_counts", "score"]

@@ -19,7 +19,7 @@ from rowgate.operators import (
     typed,
     with_row_id,
 )
-from rowgate.plans import score as scoring
+from rowgate.plans import scoring
 from rowgate.sources import (
     detect_format,
     read_raw,
@@ -91,6 +91,7 @@ class CleanseJob:
     bad_table: str | None = None
     mode: str = "overwrite"
     loaded_at: datetime | None = None
+    window_rows: int = scoring.WINDOW_ROWS
     broadcast_rows: int = scoring.BROADCAST_ROWS
 
     def __post_init__(self) -> None:
@@ -102,7 +103,11 @@ class CleanseJob:
             raise ValueError("source, good and bad tables must be three different tables")
 
     def read(self) -> DataFrame:
-        """The declared columns of the raw table behind a unique row number."""
+        """The declared columns of the raw table behind a unique row number.
+
+        Run stages that share these rows inside ``fixed_splits``, as ``run`` does, so that each
+        of them sees the same numbers.
+        """
         return with_row_id(read_table(self.spark, self.source), self.contract)
 
     def invalid(self, df: DataFrame) -> DataFrame:
@@ -140,7 +145,9 @@ class CleanseJob:
             rows = self.read()
             if not self._scans_repeat():
                 rows = staging.keep(rows, "rows")
-            scored = scoring.score(rows, self.contract, staging, self.broadcast_rows, read_twice=True)
+            scored = scoring.score(
+                rows, self.contract, staging, self.window_rows, self.broadcast_rows, read_twice=True
+            )
             self.load_bad(scoring.bad(scored, self.contract))
             self.load_good(scoring.good(scored, self.contract))
         staging.clear()

@@ -40,8 +40,8 @@ def test_raw_table(bronze, sample_rows, sample_columns, sample_file):
 
 
 @pytest.mark.parametrize("preset", PRESETS)
-@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
-def test_cleanse_job(spark, bronze, sample_rows, sample_columns, sample_reasons, preset, broadcast_rows):
+@pytest.mark.parametrize("sizes", [{}, {"window_rows": 0}, {"window_rows": 0, "broadcast_rows": 0}])
+def test_cleanse_job(spark, bronze, sample_rows, sample_columns, sample_reasons, preset, sizes):
     contract = PRESETS[preset](sample_columns, ["shop_id"])
     job = CleanseJob(
         spark,
@@ -49,7 +49,7 @@ def test_cleanse_job(spark, bronze, sample_rows, sample_columns, sample_reasons,
         contract,
         good_table=f"project.silver_{preset}",
         bad_table=f"project.bad_{preset}",
-        broadcast_rows=broadcast_rows,
+        **sizes,
     )
     clean, quarantine = job.run()
     expected = sample_reasons[contract.null_policy]
