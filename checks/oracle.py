@@ -232,8 +232,8 @@ def oracle_sql() -> dict[str, str]:
         "good_records": _good(f"rid, {DATA}"),
         "quarantine_standard": _records("pass", *EVERY),
         "quarantine_framework": _records("flag", *EVERY),
-        "quarantine_by_lookup": _records("flag", *EVERY),
-        "quarantine_by_wide_lookup": _records("flag", *EVERY),
+        "quarantine_few_repeated": _records("flag", *EVERY),
+        "quarantine_many_repeated": _records("flag", *EVERY),
         "quarantine_documents": f"""
             WITH {DOCUMENTS}
             SELECT doc_id, lang, source, CASE WHEN copy_no > 1 THEN '_is_dup_row' ELSE '_is_dup_key' END AS reason
@@ -276,5 +276,5 @@ def oracle_sql() -> dict[str, str]:
             named AS (SELECT unnest(string_split(concat_ws(',', {every_reason}), ',')) AS reason FROM flagged)
             SELECT reason, count(*) AS row_count FROM named WHERE reason <> '' GROUP BY reason""",
         "reason_counts_lineitem": LINE_COUNTS,
-        "reason_counts_lineitem_by_lookup": LINE_COUNTS,
+        "reason_counts_lineitem_large": LINE_COUNTS,
     }

@@ -1,29 +1,29 @@
 """All checks of a contract at once: every row with the list of reasons it fails.
 
 Format and null checks need nothing but the row. Only duplicates need other rows, and there the
-plan depends on sizes that are counted first, never guessed:
-
-* A table of at most ``window_rows`` rows takes one exchange by key and two windows over it. No
-  group can be larger than the table, so the bound holds for any skew.
-* A larger table may have a key or a set of copies that holds much of it, so no step brings a
-  group together:
-
-  1. Hash the key and count the hashes. This reads the key columns and shuffles 8-byte numbers,
-     combined before the shuffle. A row whose hash is alone has no duplicate of either kind.
-  2. For the other rows, find the first copy of each distinct tuple and whether its key has
-     another tuple. Copies combine before the shuffle as well.
-  3. Scan once more and look both results up: a candidate that is not a first copy is a row
-     duplicate, a first copy whose key clashes is a key duplicate.
-
-  Both lookup tables are kept in the shared folder and counted before use. Their rows have a
-  fixed width, so the count proves the size: up to ``broadcast_rows`` they are broadcast and the
-  table itself is never shuffled. Beyond that, step 2 takes all rows, and step 3 joins on the
-  unique row number, which no hot key or copy group can skew.
+plan depends on sizes that are counted first, never guessed.
+
+A table of at most ``window_rows`` rows takes one exchange by key and two windows over it: no
+group can be larger than the table. In a larger table one key, or one set of copies, may hold
+much of it. So the keys are hashed and the hashes counted, which reads the key columns and
+shuffles 8-byte numbers, combined before the shuffle. The counts sort the rows into three kinds:
+
+* A row whose hash is alone has no duplicate of either kind.
+* Rows of keys to look up: all repeated keys if they are few enough to broadcast their hashes,
+  else only the keys of more than ``window_rows`` rows, which are few in any table. Their first
+  copies and clashing keys come from aggregates that combine before the shuffle. Then each row
+  is looked up by its unique number: not a first copy means a row duplicate, a first copy of a
+  clashing key a key duplicate. No step brings the rows of a key together.
+* The rest, if any, takes the windows: their keys have at most ``window_rows`` rows each.
+
+So a table with few repeated keys is never shuffled, and any other is shuffled once, its large
+keys apart. Hash counts and first copies are kept in the shared folder; their rows have a fixed
+width, so a row count proves their size before anything is broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,12 +35,18 @@ from rowgate.staging import Staging
 
 # A group of this many rows is a sort one task can do.
 WINDOW_ROWS = 1 << 20
-# Rows of one long and one boolean: some 100 MB in a broadcast hash table.
+# Rows of two longs at most: some 100 MB as a broadcast hash table.
 BROADCAST_ROWS = 2_000_000
 
 _HASH = "_rowgate_key_hash"
 _CANDIDATE = "_rowgate_candidate"
 _CLASH = "_rowgate_clash"
+_COUNT = "_rowgate_count"
+_BAD = "_rowgate_bad"
+_LONE = "_rowgate_lone"
+_FIRST = "_rowgate_first"
+_TUPLES = "_rowgate_tuples"
+_SPREAD = "_rowgate_spread"
 
 
 def score(
@@ -53,35 +59,42 @@ def score(
 ) -> DataFrame:
     """``df`` (row number and data columns) with ``reason``, an array that is empty for a good row.
 
-    Counts the rows, and for a large table builds the lookup tables, before it returns.
+    Counts the rows, and for a large table keeps hash counts and first copies, before it returns.
     ``read_twice`` says that the caller reads the result more than once: then a result that
-    costs a shuffle of the table is kept as well.
+    costs a shuffle of the table is kept as well, good and bad rows apart.
     """
     staging = staging or Staging(df.sparkSession)
     rows = df.select(*map(column, [contract.row_id, *contract.data_columns]))
-    if rows.count() <= window_rows:
+    total = rows.count()
+    if total <= window_rows:
         marked, shuffled = _mark_by_windows(rows, contract), True
     else:
-        marked, shuffled = _mark_by_lookup(rows, contract, staging, broadcast_rows)
+        # Fewer than ``broadcast_rows`` keys can be larger than this.
+        large = max(window_rows, -(-total // broadcast_rows))
+        marked, shuffled = _mark_large_table(rows, contract, staging, large, broadcast_rows)
     scored = _with_reasons(marked, contract)
     if read_twice and shuffled:
-        parts = scored.withColumn("_rowgate_bad", F.size(REASON) > 0)
-        return staging.keep(parts, "scored", partition_by="_rowgate_bad").drop("_rowgate_bad")
+        return staging.keep(scored.withColumn(_BAD, F.size(REASON) > 0), "scored", _BAD)
     return scored
 
 
 def good(scored: DataFrame, contract: Contract) -> DataFrame:
     """The raw data columns of the rows without a reason."""
-    return select_data(scored.where(F.size(REASON) == 0), contract)
+    return select_data(scored.where(~_is_bad(scored)), contract)
 
 
 def bad(scored: DataFrame, contract: Contract) -> DataFrame:
     """The rows with a reason: row number, raw data columns, reasons."""
-    return scored.where(F.size(REASON) > 0).select(
+    return scored.where(_is_bad(scored)).select(
         *map(column, [contract.row_id, *contract.data_columns]), REASON
     )
 
 
+def _is_bad(scored: DataFrame) -> Column:
+    """A kept result has its rows in two folders, and this reads only one of them."""
+    return F.col(_BAD) if _BAD in scored.columns else F.size(REASON) > 0
+
+
 def reason_counts(scored: DataFrame) -> DataFrame:
     """How many rows carry each reason."""
     return (
@@ -92,69 +105,84 @@ def reason_counts(scored: DataFrame) -> DataFrame:
 
 
 def _mark_by_windows(rows: DataFrame, contract: Contract) -> DataFrame:
-    """One exchange and one sort: partitioned by key, rows are also partitioned by key and the rest."""
-    rest = [name for name in contract.data_columns if name not in contract.key]
-    same_key = W.partitionBy(*map(column, contract.key))
-    same_row = W.partitionBy(*map(column, [*contract.key, *rest])).orderBy(column(contract.row_id))
-    first = F.row_number().over(same_row) == 1
+    """One exchange and one sort: rows partitioned by key are also partitioned by key and the rest.
+
+    Rows without a whole key cannot be duplicates and may be many; their own number spreads them.
+    """
+    whole = has_key(contract.key)
+    key = [*map(column, contract.key), F.col(_SPREAD)]
+    rest = [column(name) for name in contract.data_columns if name not in contract.key]
+    first = F.row_number().over(W.partitionBy(*key, *rest).orderBy(column(contract.row_id))) == 1
+    tuples = F.count_if(_FIRST).over(W.partitionBy(*key))
     return (
-        rows.repartition(*map(column, contract.key))
-        .withColumn("_rowgate_first", first)
-        .withColumn("_rowgate_tuples", F.count_if("_rowgate_first").over(same_key))
+        rows.withColumn(_SPREAD, F.when(~whole, column(contract.row_id)))
+        .repartition(*key)
+        .withColumn(_FIRST, first)
+        .withColumn(_TUPLES, tuples)
         .select(
             *map(column, rows.columns),
-            (has_key(contract.key) & ~F.col("_rowgate_first")).alias(DUP_ROW),
-            (has_key(contract.key) & F.col("_rowgate_first") & (F.col("_rowgate_tuples") > 1)).alias(DUP_KEY),
+            (whole & ~F.col(_FIRST)).alias(DUP_ROW),
+            (whole & F.col(_FIRST) & (F.col(_TUPLES) > 1)).alias(DUP_KEY),
         )
     )
 
 
-def _mark_by_lookup(
-    rows: DataFrame, contract: Contract, staging: Staging, broadcast_rows: int
+def _mark_large_table(
+    rows: DataFrame, contract: Contract, staging: Staging, large: int, broadcast_rows: int
 ) -> tuple[DataFrame, bool]:
-    """The rows with both duplicate flags, and if that takes a shuffle of the table."""
+    """The rows with both duplicate flags, and if that takes a shuffle of table rows."""
     repeated = staging.keep(_repeated_hashes(rows, contract), "repeated")
-    repeated_rows = repeated.count()
-    if repeated_rows == 0:
-        return rows.withColumns({DUP_ROW: F.lit(False), DUP_KEY: F.lit(False)}), False
-
-    candidates = _mark_candidates(rows, contract, repeated, repeated_rows <= broadcast_rows)
-    firsts = staging.keep(_first_copy_clashes(candidates.where(_CANDIDATE), contract), "firsts")
+    repeated_keys = repeated.count()
+    if repeated_keys == 0:
+        return rows.withColumns(_no_duplicates()), False
+    few = repeated_keys <= broadcast_rows
+    if not few:
+        repeated = repeated.where(F.col(_COUNT) > large)
+        if repeated.isEmpty():
+            return _mark_by_windows(rows, contract), True
+
+    parted = _mark_candidates(rows, contract, repeated)
+    firsts = staging.keep(_first_copy_clashes(parted.where(_CANDIDATE), contract), "firsts")
     narrow = firsts.count() <= broadcast_rows
+    if few and narrow:
+        return _look_up(parted, F.broadcast(firsts), contract), False
     # The merge hint keeps the optimizer from a broadcast by compressed file size.
-    lookup = F.broadcast(firsts) if narrow else firsts.hint("merge")
-    looked_up = candidates.join(lookup, [contract.row_id], "left")
-    flags = {
-        DUP_ROW: F.col(_CANDIDATE) & F.col(_CLASH).isNull(),
-        DUP_KEY: F.coalesce(_CLASH, F.lit(False)),
-    }
-    return looked_up.withColumns(flags).drop(_CANDIDATE, _CLASH), not narrow
+    looked_up = _look_up(
+        parted.where(_CANDIDATE), F.broadcast(firsts) if narrow else firsts.hint("merge"), contract
+    )
+    rest = parted.where(~F.col(_CANDIDATE)).drop(_CANDIDATE)
+    rest = rest.withColumns(_no_duplicates()) if few else _mark_by_windows(rest, contract)
+    return looked_up.unionByName(rest), True
+
+
+def _no_duplicates() -> dict[str, Column]:
+    return {DUP_ROW: F.lit(False), DUP_KEY: F.lit(False)}
 
 
 def _repeated_hashes(rows: DataFrame, contract: Contract) -> DataFrame:
-    return (
-        rows.select(key_hash(contract.key).alias(_HASH))
-        .where(F.col(_HASH).isNotNull())
-        .groupBy(_HASH)
-        .agg(F.count(F.lit(1)).alias("_rowgate_n"))
-        .where(F.col("_rowgate_n") > 1)
-        .select(_HASH)
-    )
+    hashes = rows.select(key_hash(contract.key).alias(_HASH)).where(F.col(_HASH).isNotNull())
+    return hashes.groupBy(_HASH).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > 1)
 
 
-def _mark_candidates(rows: DataFrame, contract: Contract, repeated: DataFrame, narrow: bool) -> DataFrame:
-    if not narrow:
-        return rows.withColumn(_CANDIDATE, has_key(contract.key))
-    lookup = F.broadcast(repeated.withColumn(_CANDIDATE, F.lit(True)))
+def _mark_candidates(rows: DataFrame, contract: Contract, hashes: DataFrame) -> DataFrame:
+    lookup = F.broadcast(hashes.select(_HASH, F.lit(True).alias(_CANDIDATE)))
     marked = rows.withColumn(_HASH, key_hash(contract.key)).join(lookup, [_HASH], "left").drop(_HASH)
     return marked.withColumn(_CANDIDATE, F.coalesce(_CANDIDATE, F.lit(False)))
 
 
+def _look_up(parted: DataFrame, firsts: DataFrame, contract: Contract) -> DataFrame:
+    flags = {
+        DUP_ROW: F.col(_CANDIDATE) & F.col(_CLASH).isNull(),
+        DUP_KEY: F.coalesce(_CLASH, F.lit(False)),
+    }
+    return parted.join(firsts, [contract.row_id], "left").withColumns(flags).drop(_CANDIDATE, _CLASH)
+
+
 def _first_copy_clashes(candidates: DataFrame, contract: Contract) -> DataFrame:
     firsts = first_copies(candidates.drop(_CANDIDATE), contract)
-    lone = lone_copies(firsts, contract).withColumn("_rowgate_lone", F.lit(True))
+    lone = lone_copies(firsts, contract).withColumn(_LONE, F.lit(True))
     return firsts.select(column(contract.row_id)).join(lone, [contract.row_id], "left").select(
-        column(contract.row_id), F.col("_rowgate_lone").isNull().alias(_CLASH)
+        column(contract.row_id), F.col(_LONE).isNull().alias(_CLASH)
     )
 
 

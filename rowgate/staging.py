@@ -9,12 +9,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 MIN_SPLITS = "spark.sql.files.minPartitionNum"
+OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,20 +29,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def fixed_splits(spark: SparkSession) -> Iterator[None]:
-    """Scans inside the block cut the same files into the same partitions every time.
-
-    Spark otherwise sizes splits by the cores it has at that moment, which changes as executors
-    come and go, and a row number taken from the split would change with it.
-    """
-    if spark.conf.get(MIN_SPLITS, None) is not None:
+def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """Set a session option inside the block, unless the session has set it already."""
+    if spark.conf.get(name, None) is not None:
         yield
         return
-    spark.conf.set(MIN_SPLITS, spark.sparkContext.defaultParallelism)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(MIN_SPLITS)
+        spark.conf.unset(name)
+
+
+def fixed_splits(spark: SparkSession) -> AbstractContextManager[None]:
+    """Scans inside the block cut the same files into the same partitions every time.
+
+    Spark otherwise sizes splits by the cores it has at that moment, which changes as executors
+    come and go, and a row number taken from the split would change with it.
+    """
+    return setting(spark, MIN_SPLITS, spark.sparkContext.defaultParallelism)
 
 
 class Staging:
@@ -54,12 +60,17 @@ class Staging:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def keep(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-        """Write ``df`` once and return a frame that reads what was written."""
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(self.path(name))
+    def keep(self, df: DataFrame, name: str, flag: str | None = None) -> DataFrame:
+        """Write ``df`` once and return a frame that reads what was written.
+
+        ``flag`` names a boolean column that gets a folder for each of its values.
+        """
+        if flag:
+            # Two open files a task, instead of a sort of all rows by folder.
+            with setting(self.spark, OPEN_WRITERS, 2):
+                df.write.partitionBy(flag).parquet(self.path(name))
+        else:
+            df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def clear(self) -> None:

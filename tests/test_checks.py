@@ -27,7 +27,13 @@ from rowgate.operators import (
     with_flags,
 )
 
-PATHS = {"windows": {}, "lookup": {"window_rows": 0}, "wide": {"window_rows": 0, "broadcast_rows": 0}}
+PATHS = {
+    "windows": {},
+    "lookup": {"window_rows": 0},
+    "some wide": {"window_rows": 1, "broadcast_rows": 2},
+    "mixed": {"window_rows": 4, "broadcast_rows": 8},
+    "no large key": {"window_rows": 0, "broadcast_rows": 1},
+}
 SHAPE = Contract({"k": "int", "v": "string", "day": "date"}, ["k"])
 DAY = "2025-01-01"
 
@@ -132,16 +138,31 @@ def test_every_way_gives_the_same_split(spark, name):
     df.unpersist()
 
 
-@pytest.mark.parametrize("path", ["lookup", "wide"])
-def test_a_third_in_one_key_and_a_third_in_one_copy_group(spark, path):
-    third = 4000
-    hot_key = [(i, "7", f"v{i}", DAY) for i in range(third)]
-    copies = [(third + i, "8", "same", DAY) for i in range(third)]
-    rest = [(2 * third + i, str(100 + i), "v", DAY) for i in range(third)]
-    rows = hot_key + copies + rest
-    df = spark.createDataFrame(rows, "_sk long, k string, v string, day string")
-    counts = {r["reason"]: r["rows"] for r in reason_counts(score(df, SHAPE, **PATHS[path])).collect()}
-    assert counts == {"_is_dup_key": third, "_is_dup_row": third - 1}
+THIRD = 4000
+
+
+def skewed(spark):
+    """A third under one key, a third copies of one row, the rest half pairs and half null keys."""
+    number, half = F.col("id"), THIRD // 2
+    part = F.floor(number / THIRD)
+    pair = (F.lit(100) + F.floor(number / 2)).cast("string")
+    key = F.when(part == 0, "7").when(part == 1, "8").when(number < 2 * THIRD + half, pair)
+    value = F.when(part == 0, F.concat(F.lit("v"), number)).otherwise("same")
+    return spark.range(3 * THIRD).select(
+        number.alias("_sk"), key.alias("k"), value.alias("v"), F.lit(DAY).alias("day")
+    )
+
+
+@pytest.mark.parametrize("sizes", [{}, {"window_rows": 100}, {"window_rows": 100, "broadcast_rows": 150}])
+def test_a_third_in_one_key_and_a_third_in_one_copy_group(spark, sizes):
+    df = skewed(spark)
+    counts = {r["reason"]: r["rows"] for r in reason_counts(score(df, SHAPE, **sizes)).collect()}
+    assert counts == {
+        "_is_dup_key": THIRD,
+        "_is_dup_row": THIRD - 1 + THIRD // 4,
+        "_is_k_null": THIRD // 2,
+        "_is_k_invalid": THIRD // 2,
+    }
 
 
 def test_duplicate_record_sets(spark):

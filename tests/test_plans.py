@@ -3,10 +3,11 @@
 import re
 
 import pytest
+from test_checks import SHAPE, skewed
 
 from rowgate import Contract, good, score
-from rowgate.operators import first_copies, melt_flags, with_flags, with_row_id
 from rowgate.functions import invalid_flags
+from rowgate.operators import first_copies, melt_flags, with_flags, with_row_id
 from rowgate.plans.scoring import _repeated_hashes
 
 SF = "/root/testdata/sf0.001"
@@ -43,11 +44,20 @@ def test_lookups_leave_the_table_in_place(lines):
     assert "Window" not in text
 
 
-def test_wide_lookups_shuffle_by_row_number_only(lines):
-    text = plan(score(lines, LINES, window_rows=0, broadcast_rows=0))
-    assert len(exchanges(text)) == 2
-    assert all("hashpartitioning(_sk" in line for line in exchanges(text))
-    assert "SortMergeJoin" in text and "Broadcast" not in text
+def test_large_keys_are_joined_by_row_number_and_the_rest_windowed(spark):
+    df = skewed(spark)
+    text = plan(score(df, SHAPE, window_rows=100, broadcast_rows=150))
+    looked_up, windowed = text.split("Union")[1].split("Window", 1)
+    joins = [line for line in exchanges(looked_up) if "hashpartitioning(_sk" in line]
+    assert len(joins) == 2 and "SortMergeJoin" in looked_up
+    assert len(exchanges(windowed)) == 1 and "hashpartitioning(k" in exchanges(windowed)[0]
+    # Only the hashes of the large keys are broadcast.
+    assert text.count("BroadcastHashJoin") == 2
+
+
+def test_without_large_keys_everything_is_windowed(lines):
+    text = plan(score(lines, LINES, window_rows=1000, broadcast_rows=100))
+    assert len(exchanges(text)) == 1 and "Join" not in text
 
 
 def test_key_pass_reads_the_key_and_shuffles_hashes(lines):

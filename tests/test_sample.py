@@ -40,7 +40,7 @@ def test_raw_table(bronze, sample_rows, sample_columns, sample_file):
 
 
 @pytest.mark.parametrize("preset", PRESETS)
-@pytest.mark.parametrize("sizes", [{}, {"window_rows": 0}, {"window_rows": 0, "broadcast_rows": 0}])
+@pytest.mark.parametrize("sizes", [{}, {"window_rows": 0}, {"window_rows": 3, "broadcast_rows": 15}])
 def test_cleanse_job(spark, bronze, sample_rows, sample_columns, sample_reasons, preset, sizes):
     contract = PRESETS[preset](sample_columns, ["shop_id"])
     job = CleanseJob(

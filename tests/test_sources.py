@@ -1,7 +1,7 @@
 import datetime
 
 import pytest
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 
 from rowgate import CleanseJob, Contract, IngestJob, Staging, fixed_splits
 from rowgate.sources import detect_format, ensure_schema, preview, read_raw, read_table, with_load_time, write_table
@@ -44,7 +44,7 @@ def test_raw_scan_of_several_files(spark, tmp_path):
 def test_declared_columns_are_checked_against_headers(spark, tmp_path):
     (tmp_path / "one.csv").write_text("a|b\n1|2\n")
     assert read_raw(spark, str(tmp_path), "csv", columns=["a", "b"]).collect() == [("1", "2")]
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="header does not conform"):
         read_raw(spark, str(tmp_path), "csv", columns=["a", "c"]).collect()
 
 
