@@ -320,6 +320,7 @@ def key_dups(spark, sf_dir):
 
 
 def lineitem_rows(spark, sf_dir):
+    """Line items as strings, numbered. They are kept, as several scans must see the same numbers."""
     shape = Contract(
         {"l_orderkey": "bigint", "l_linenumber": "int", "l_returnflag": "string", "l_shipdate": "date"},
         ["l_orderkey", "l_linenumber"],
@@ -331,7 +332,7 @@ def lineitem_rows(spark, sf_dir):
         "l_returnflag",
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
     )
-    return with_row_id(lines, shape), shape
+    return Staging(spark).keep(with_row_id(lines, shape), "rows"), shape
 
 
 def key_duplicates_lineitem(spark, sf_dir):

@@ -63,7 +63,12 @@ def any_flag(flags: Sequence[Column]) -> Column:
 
 
 def reason_array(flags: Mapping[str, Column]) -> Column:
-    """The names of the true flags of a row, in the order of ``flags``."""
+    """The names of the true flags of a row, in the order of ``flags``.
+
+    A row without any, which is most of them, gets its empty array without the filtering.
+    """
+    none = F.array().cast("array<string>")
     if not flags:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in flags.items()]))
+        return none
+    names = F.array(*[F.when(flag, F.lit(name)) for name, flag in flags.items()])
+    return F.when(any_flag(list(flags.values())), F.array_compact(names)).otherwise(none)

@@ -59,6 +59,8 @@ def score(
 ) -> DataFrame:
     """``df`` (row number and data columns) with ``reason``, an array that is empty for a good row.
 
+    The row numbers must be the same each time ``df`` is read: stored ones, or those of
+    ``with_row_id`` over a stored table with everything, also the result, read in ``fixed_splits``.
     Counts the rows, and for a large table keeps hash counts and first copies, before it returns.
     ``read_twice`` says that the caller reads the result more than once: then a result that
     costs a shuffle of the table is kept as well, good and bad rows apart.

@@ -66,7 +66,7 @@ def sample_rows():
 
 @pytest.fixture(scope="session")
 def sample_file(tmp_path_factory, sample_rows):
-    path = tmp_path_factory.mktemp("landing") / "shop_mock.csv"
+    path = tmp_path_factory.mktemp("landing") / "shops.csv"
     lines = ["shop_id|shop_name|branch_name|file_dt"]
     lines += ["|".join(value or "" for value in row) for row in sample_rows]
     path.write_text("\n".join(lines))

@@ -68,10 +68,10 @@ def test_contract_does_not_change():
 
 
 def test_table_names():
-    names = table_names("shop_table")
-    assert names.bronze == "project.shop_table_bronze_framework"
-    assert names.silver == "project.shop_table_silver_framework"
-    assert names.bad == "project.shop_table_bad_framework"
+    names = table_names("shops")
+    assert names.bronze == "project.shops_bronze_framework"
+    assert names.silver == "project.shops_silver_framework"
+    assert names.bad == "project.shops_bad_framework"
     assert table_names("shop", "lake", "").silver == "lake.shop_silver"
 
 

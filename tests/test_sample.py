@@ -21,7 +21,7 @@ LINEAGE = {
 @pytest.fixture(scope="module")
 def bronze(spark, sample_file):
     ensure_schema(spark, "project")
-    return IngestJob(spark, "shop_table", sample_file).run()
+    return IngestJob(spark, "shops", sample_file).run()
 
 
 def reasons_of(df):
@@ -33,7 +33,7 @@ def test_raw_table(bronze, sample_rows, sample_columns, sample_file):
     assert types == {**{c: "string" for c in sample_columns}, **LINEAGE}
     rows = bronze.collect()
     assert sorted(map(str, sample_rows)) == sorted(str(tuple(r[:4])) for r in rows)
-    assert {r["_file_name"] for r in rows} == {"shop_mock.csv"}
+    assert {r["_file_name"] for r in rows} == {"shops.csv"}
     assert all(r["_file_path"].endswith(sample_file) for r in rows)
     assert {r["_file_size"] for r in rows} == {len(open(sample_file, "rb").read())}
     assert all(r["_load_dttm"] and r["_load_dt"] and r["_file_mod"] for r in rows)
@@ -45,7 +45,7 @@ def test_cleanse_job(spark, bronze, sample_rows, sample_columns, sample_reasons,
     contract = PRESETS[preset](sample_columns, ["shop_id"])
     job = CleanseJob(
         spark,
-        "shop_table",
+        "shops",
         contract,
         good_table=f"project.silver_{preset}",
         bad_table=f"project.bad_{preset}",
@@ -77,7 +77,7 @@ def test_cleanse_job(spark, bronze, sample_rows, sample_columns, sample_reasons,
 @pytest.mark.parametrize("preset", PRESETS)
 def test_stage_methods_agree_with_the_single_pass(spark, bronze, sample_columns, sample_reasons, preset):
     contract = PRESETS[preset](sample_columns, ["shop_id"])
-    job = CleanseJob(spark, "shop_table", contract)
+    job = CleanseJob(spark, "shops", contract)
     df = job.read()
     invalid, null_key, dup = job.invalid(df), job.null_key(df), job.duplicates(df)
     quarantine = job.quarantine(invalid, null_key, dup)

@@ -11,7 +11,7 @@ from rowgate.staging import MIN_SPLITS, shared_folder
 @pytest.mark.parametrize(
     "path, expected",
     [
-        ("/a/b.c/shop_mock.csv", "csv"),
+        ("/a/b.c/shops.csv", "csv"),
         ("/a/shop.CSV.gz", "csv"),
         ("shop.json", "json"),
         ("/a/shop.parquet/", "parquet"),
