@@ -187,6 +187,7 @@ def oracle_sql() -> dict[str, str]:
                    concat_ws(',', CASE WHEN order_id IS NULL THEN '_is_order_id_null' END,
                                   CASE WHEN priority IS NULL THEN '_is_priority_null' END) AS reason
             FROM defects WHERE order_id IS NULL OR priority IS NULL""",
+        "nonnull_base": base,
         "nonnull_base_anti_join": base,
         "row_number_all_columns": f"""
             WITH {DEFECTS}

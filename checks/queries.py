@@ -24,6 +24,7 @@ from rowgate.operators import (
     nonnull_base,
     null_key_records,
     row_duplicates,
+    rows_without,
     select_data,
     typed,
     with_flags,
@@ -269,8 +270,12 @@ def composite_null_keys(spark, sf_dir):
 
 
 def base_of_defects(spark, sf_dir):
+    return nonnull_base(defect_orders(spark, sf_dir), contract())
+
+
+def base_by_anti_join(spark, sf_dir):
     df = defect_orders(spark, sf_dir)
-    return nonnull_base(df, null_key_records(df, contract()), contract())
+    return rows_without(df, null_key_records(df, contract()), "rid")
 
 
 def row_number_all_columns(spark, sf_dir):
@@ -375,9 +380,8 @@ def staged_quarantine(policy):
 
     def build(spark, sf_dir):
         df, shape = defect_orders(spark, sf_dir), contract(policy)
-        null_records = null_key_records(df, shape)
-        dups = all_duplicates(nonnull_base(df, null_records, shape), shape)
-        return df, merge_reasons([invalid_records(df, shape), null_records, dups], IDS)
+        dups = all_duplicates(nonnull_base(df, shape), shape)
+        return df, merge_reasons([invalid_records(df, shape), null_key_records(df, shape), dups], IDS)
 
     return build
 
@@ -499,7 +503,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "invalid_records_flag": invalid("flag"),
         "null_key_records": null_keys,
         "composite_null_key_records": composite_null_keys,
-        "nonnull_base_anti_join": base_of_defects,
+        "nonnull_base": base_of_defects,
+        "nonnull_base_anti_join": base_by_anti_join,
         "row_number_all_columns": row_number_all_columns,
         "row_number_documents": row_number_documents,
         "row_number_parts_sliced": row_number_parts_sliced,

@@ -117,7 +117,7 @@ class CleanseJob:
         return null_key_records(df, self.contract)
 
     def duplicates(self, df: DataFrame) -> DataFrame:
-        return all_duplicates(nonnull_base(df, self.null_key(df), self.contract), self.contract)
+        return all_duplicates(nonnull_base(df, self.contract), self.contract)
 
     def quarantine(self, invalid: DataFrame, null_key: DataFrame, duplicates: DataFrame) -> DataFrame:
         ids = [self.contract.row_id, *self.contract.data_columns]

@@ -39,8 +39,15 @@ def test_raw_table(bronze, sample_rows, sample_columns, sample_file):
     assert all(r["_load_dttm"] and r["_load_dt"] and r["_file_mod"] for r in rows)
 
 
-@pytest.mark.parametrize("preset", PRESETS)
-@pytest.mark.parametrize("sizes", [{}, {"window_rows": 0}, {"window_rows": 3, "broadcast_rows": 15}])
+@pytest.mark.parametrize(
+    "preset, sizes",
+    [
+        ("standard", {}),
+        ("standard", {"window_rows": 3, "broadcast_rows": 15}),
+        ("dynamic", {"window_rows": 0}),
+        ("framework", {"window_rows": 0, "broadcast_rows": 1}),
+    ],
+)
 def test_cleanse_job(spark, bronze, sample_rows, sample_columns, sample_reasons, preset, sizes):
     contract = PRESETS[preset](sample_columns, ["shop_id"])
     job = CleanseJob(

@@ -90,7 +90,7 @@ def test_staging_lives_in_the_shared_folder(spark):
 def test_fixed_splits_puts_the_setting_back(spark):
     assert spark.conf.get(MIN_SPLITS, None) is None
     with fixed_splits(spark):
-        assert int(spark.conf.get(MIN_SPLITS)) == 8
+        assert int(spark.conf.get(MIN_SPLITS)) == spark.sparkContext.defaultParallelism
     assert spark.conf.get(MIN_SPLITS, None) is None
 
 
