@@ -123,6 +123,12 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{name}' AS format, * FROM customers" for name in ("csv", "json", "parquet", "orc", "xml")
     )
     base = f"WITH {DEFECTS} SELECT rid, {DATA} FROM defects WHERE order_id IS NOT NULL"
+    null_parts = f"""
+        WITH {DEFECTS}
+        SELECT rid, {DATA},
+               concat_ws(',', CASE WHEN order_id IS NULL THEN '_is_order_id_null' END,
+                              CASE WHEN priority IS NULL THEN '_is_priority_null' END) AS reason
+        FROM defects WHERE order_id IS NULL OR priority IS NULL"""
     every_reason = ", ".join(f"CASE WHEN {f} THEN '{name}' END" for f, name in REASONS.items())
     return {
         "table_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
@@ -181,12 +187,7 @@ def oracle_sql() -> dict[str, str]:
         "invalid_records_pass": _records("pass", "id_invalid", "day_invalid"),
         "invalid_records_flag": _records("flag", "id_invalid", "day_invalid"),
         "null_key_records": _records("flag", "id_null"),
-        "composite_null_key_records": f"""
-            WITH {DEFECTS}
-            SELECT rid, {DATA},
-                   concat_ws(',', CASE WHEN order_id IS NULL THEN '_is_order_id_null' END,
-                                  CASE WHEN priority IS NULL THEN '_is_priority_null' END) AS reason
-            FROM defects WHERE order_id IS NULL OR priority IS NULL""",
+        "composite_null_key_records": null_parts,
         "nonnull_base": base,
         "nonnull_base_anti_join": base,
         "row_number_all_columns": f"""
@@ -228,6 +229,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT rid, {DATA}, '_is_order_id_null' FROM flagged WHERE id_null""",
         "collect_reasons": _records("flag", "id_invalid", "day_invalid", "id_null"),
+        "reasons_by_naming_convention": null_parts,
         "flatten_reasons": _records("flag", "id_invalid", "day_invalid", "id_null"),
         "merged_quarantine": _records("flag", *EVERY),
         "good_records": _good(f"rid, {DATA}"),
@@ -235,6 +237,7 @@ def oracle_sql() -> dict[str, str]:
         "quarantine_framework": _records("flag", *EVERY),
         "quarantine_few_repeated": _records("flag", *EVERY),
         "quarantine_many_repeated": _records("flag", *EVERY),
+        "quarantine_without_bitmap": _records("flag", *EVERY),
         "quarantine_documents": f"""
             WITH {DOCUMENTS}
             SELECT doc_id, lang, source, CASE WHEN copy_no > 1 THEN '_is_dup_row' ELSE '_is_dup_key' END AS reason

@@ -15,6 +15,7 @@ from rowgate.operators import (
     all_duplicates,
     collect_reasons,
     copy_numbers,
+    flagged_records,
     good_records,
     invalid_records,
     key_counts,
@@ -26,6 +27,7 @@ from rowgate.operators import (
     row_duplicates,
     rows_without,
     select_data,
+    split_columns,
     typed,
     with_flags,
     with_row_id,
@@ -46,6 +48,7 @@ IDS = ["rid", *COLUMNS]
 # The large-table plans, also where the table is small: with few repeated keys, and with many.
 FEW_REPEATED = {"window_rows": 1}
 MANY_REPEATED = {"window_rows": 2, "broadcast_rows": 100}
+NO_BITMAP = {**MANY_REPEATED, "bitmap_rows": 0}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -369,6 +372,13 @@ def collected_reasons(spark, sf_dir):
     return listed(melt_flags(df, IDS, list(flags)).transform(collect_reasons, IDS))
 
 
+def reasons_by_naming_convention(spark, sf_dir):
+    """The flags are told from the other columns by their names."""
+    df = with_flags(defect_orders(spark, sf_dir), null_flags(["order_id", "priority"]))
+    ids, flags = split_columns(df.columns)
+    return listed(df.transform(flagged_records, ids, flags))
+
+
 def flattened_reasons(spark, sf_dir):
     df = defect_orders(spark, sf_dir)
     parts = [invalid_records(df, contract()), null_key_records(df, contract())]
@@ -520,6 +530,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "all_duplicates_by_position": all_dups(False),
         "melt_flags": melted_flags,
         "collect_reasons": collected_reasons,
+        "reasons_by_naming_convention": reasons_by_naming_convention,
         "flatten_reasons": flattened_reasons,
         "merged_quarantine": merged_quarantine,
         "good_records": good_by_anti_join,
@@ -527,6 +538,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantine_framework": quarantine("flag"),
         "quarantine_few_repeated": quarantine("flag", FEW_REPEATED),
         "quarantine_many_repeated": quarantine("flag", MANY_REPEATED),
+        "quarantine_without_bitmap": quarantine("flag", NO_BITMAP),
         "quarantine_documents": quarantine_documents,
         "quarantine_events": quarantine_events,
         "good_typed": good_typed,

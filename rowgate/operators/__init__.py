@@ -7,7 +7,7 @@ from rowgate.operators.duplicates import (
     row_duplicates,
 )
 from rowgate.operators.projection import select_data, typed, with_flags, with_row_id
-from rowgate.operators.reasons import collect_reasons, flagged_records, melt_flags, merge_reasons
+from rowgate.operators.reasons import collect_reasons, flagged_records, melt_flags, merge_reasons, split_columns
 from rowgate.operators.records import (
     good_records,
     invalid_records,
@@ -33,6 +33,7 @@ __all__ = [
     "row_duplicates",
     "rows_without",
     "select_data",
+    "split_columns",
     "typed",
     "with_flags",
     "with_row_id",

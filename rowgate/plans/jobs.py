@@ -93,6 +93,7 @@ class CleanseJob:
     loaded_at: datetime | None = None
     window_rows: int = scoring.WINDOW_ROWS
     broadcast_rows: int = scoring.BROADCAST_ROWS
+    bitmap_rows: int = scoring.BITMAP_ROWS
 
     def __post_init__(self) -> None:
         names = table_names(self.pipeline_name)
@@ -141,16 +142,24 @@ class CleanseJob:
         missing.
         """
         staging = Staging(self.spark)
-        with fixed_splits(self.spark):
-            rows = self.read()
-            if not self._scans_repeat():
-                rows = staging.keep(rows, "rows")
-            scored = scoring.score(
-                rows, self.contract, staging, self.window_rows, self.broadcast_rows, read_twice=True
-            )
-            self.load_bad(scoring.bad(scored, self.contract))
-            self.load_good(scoring.good(scored, self.contract))
-        staging.clear()
+        try:
+            with fixed_splits(self.spark):
+                rows = self.read()
+                if not self._scans_repeat():
+                    rows = staging.keep(rows, "rows")
+                scored = scoring.score(
+                    rows,
+                    self.contract,
+                    staging,
+                    window_rows=self.window_rows,
+                    broadcast_rows=self.broadcast_rows,
+                    bitmap_rows=self.bitmap_rows,
+                    read_twice=True,
+                )
+                self.load_bad(scoring.bad(scored, self.contract))
+                self.load_good(scoring.good(scored, self.contract))
+        finally:
+            staging.clear()
         return read_table(self.spark, self.good_table), read_table(self.spark, self.bad_table)
 
     def _scans_repeat(self) -> bool:

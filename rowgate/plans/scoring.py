@@ -14,9 +14,11 @@ shuffles 8-byte numbers, combined before the shuffle. The counts sort the rows i
   copies and clashing keys come from aggregates that combine before the shuffle. Then each row
   is looked up by its unique number: not a first copy means a row duplicate, a first copy of a
   clashing key a key duplicate. No step brings the rows of a key together.
-* The rest, if any, takes the windows: their keys have at most ``window_rows`` rows each.
+* The rest, if any, takes the windows: their keys have at most ``window_rows`` rows each. Rows
+  whose hash is not in a broadcast bitmap of the repeated ones, 128 MB at most, are alone and
+  stay out. The few others it lets through by accident do no harm.
 
-So a table with few repeated keys is never shuffled, and any other is shuffled once, its large
+So a table with few repeated keys is never shuffled, of any other at most all rows once, large
 keys apart. Hash counts and first copies are kept in the shared folder; their rows have a fixed
 width, so a row count proves their size before anything is broadcast.
 """
@@ -38,6 +40,10 @@ WINDOW_ROWS = 1 << 20
 # Rows of two longs at most: some 100 MB as a broadcast hash table.
 BROADCAST_ROWS = 2_000_000
 
+# The bitmap of repeated hashes: this many rows of 4096 bytes.
+BITMAP_ROWS = 1 << 15
+BITS_PER_ROW = 4096 * 8
+
 _HASH = "_rowgate_key_hash"
 _CANDIDATE = "_rowgate_candidate"
 _CLASH = "_rowgate_clash"
@@ -47,6 +53,10 @@ _LONE = "_rowgate_lone"
 _FIRST = "_rowgate_first"
 _TUPLES = "_rowgate_tuples"
 _SPREAD = "_rowgate_spread"
+_BUCKET = "_rowgate_bucket"
+_BIT = "_rowgate_bit"
+_BITMAP = "_rowgate_bitmap"
+_MAYBE = "_rowgate_maybe"
 
 
 def score(
@@ -55,6 +65,7 @@ def score(
     staging: Staging | None = None,
     window_rows: int = WINDOW_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    bitmap_rows: int = BITMAP_ROWS,
     read_twice: bool = False,
 ) -> DataFrame:
     """``df`` (row number and data columns) with ``reason``, an array that is empty for a good row.
@@ -73,7 +84,7 @@ def score(
     else:
         # Fewer than ``broadcast_rows`` keys can be larger than this.
         large = max(window_rows, -(-total // broadcast_rows))
-        marked, shuffled = _mark_large_table(rows, contract, staging, large, broadcast_rows)
+        marked, shuffled = _mark_large_table(rows, contract, staging, large, broadcast_rows, bitmap_rows)
     scored = _with_reasons(marked, contract)
     if read_twice and shuffled:
         return staging.keep(scored.withColumn(_BAD, F.size(REASON) > 0), "scored", _BAD)
@@ -130,7 +141,12 @@ def _mark_by_windows(rows: DataFrame, contract: Contract) -> DataFrame:
 
 
 def _mark_large_table(
-    rows: DataFrame, contract: Contract, staging: Staging, large: int, broadcast_rows: int
+    rows: DataFrame,
+    contract: Contract,
+    staging: Staging,
+    large: int,
+    broadcast_rows: int,
+    bitmap_rows: int,
 ) -> tuple[DataFrame, bool]:
     """The rows with both duplicate flags, and if that takes a shuffle of table rows."""
     repeated = staging.keep(_repeated_hashes(rows, contract), "repeated")
@@ -138,12 +154,23 @@ def _mark_large_table(
     if repeated_keys == 0:
         return rows.withColumns(_no_duplicates()), False
     few = repeated_keys <= broadcast_rows
-    if not few:
-        repeated = repeated.where(F.col(_COUNT) > large)
-        if repeated.isEmpty():
-            return _mark_by_windows(rows, contract), True
-
-    parted = _mark_candidates(rows, contract, repeated)
+    # With an eighth of its bits set, a bitmap lets through an eighth of the rows that are alone.
+    bitmap_tells = repeated_keys <= bitmap_rows * BITS_PER_ROW // 8
+    looked_up_keys = repeated if few else repeated.where(F.col(_COUNT) > large)
+
+    def mark_others(others: DataFrame) -> DataFrame:
+        if few:
+            return others.withColumns(_no_duplicates())
+        if not bitmap_tells:
+            return _mark_by_windows(others, contract)
+        parted = _mark_maybe_repeated(others, contract, repeated, bitmap_rows)
+        windowed = _mark_by_windows(parted.where(_MAYBE).drop(_MAYBE), contract)
+        alone = parted.where(~F.col(_MAYBE)).drop(_MAYBE).withColumns(_no_duplicates())
+        return windowed.unionByName(alone)
+
+    if looked_up_keys.isEmpty():
+        return mark_others(rows), True
+    parted = _mark_candidates(rows, contract, looked_up_keys)
     firsts = staging.keep(_first_copy_clashes(parted.where(_CANDIDATE), contract), "firsts")
     narrow = firsts.count() <= broadcast_rows
     if few and narrow:
@@ -152,9 +179,7 @@ def _mark_large_table(
     looked_up = _look_up(
         parted.where(_CANDIDATE), F.broadcast(firsts) if narrow else firsts.hint("merge"), contract
     )
-    rest = parted.where(~F.col(_CANDIDATE)).drop(_CANDIDATE)
-    rest = rest.withColumns(_no_duplicates()) if few else _mark_by_windows(rest, contract)
-    return looked_up.unionByName(rest), True
+    return looked_up.unionByName(mark_others(parted.where(~F.col(_CANDIDATE)).drop(_CANDIDATE))), True
 
 
 def _no_duplicates() -> dict[str, Column]:
@@ -172,6 +197,30 @@ def _mark_candidates(rows: DataFrame, contract: Contract, hashes: DataFrame) ->
     return marked.withColumn(_CANDIDATE, F.coalesce(_CANDIDATE, F.lit(False)))
 
 
+def _mark_maybe_repeated(
+    rows: DataFrame, contract: Contract, repeated: DataFrame, bitmap_rows: int
+) -> DataFrame:
+    """True for every row whose key hash is repeated, and for some others that share its bit."""
+
+    def bucket_and_bit(key: Column) -> tuple[Column, Column]:
+        place = F.pmod(key, F.lit(bitmap_rows * BITS_PER_ROW))
+        return F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+
+    bucket, bit = bucket_and_bit(F.col(_HASH))
+    # Brought together as hashes: a bitmap begun in every task would be larger than they are.
+    hashes = repeated.select(bucket.alias(_BUCKET), bit.alias(_BIT)).repartition(_BUCKET)
+    bitmaps = hashes.groupBy(_BUCKET).agg(F.bitmap_construct_agg(_BIT).alias(_BITMAP))
+    bucket, bit = bucket_and_bit(key_hash(contract.key))
+    byte = F.substring(_BITMAP, F.floor(bit / 8).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), bit % 8) == 1
+    return (
+        rows.withColumn(_BUCKET, bucket)
+        .join(F.broadcast(bitmaps), [_BUCKET], "left")
+        .withColumn(_MAYBE, F.coalesce(is_set, F.lit(False)))
+        .drop(_BUCKET, _BITMAP)
+    )
+
+
 def _look_up(parted: DataFrame, firsts: DataFrame, contract: Contract) -> DataFrame:
     flags = {
         DUP_ROW: F.col(_CANDIDATE) & F.col(_CLASH).isNull(),

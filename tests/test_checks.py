@@ -27,11 +27,13 @@ from rowgate.operators import (
     typed,
     with_flags,
 )
+from rowgate.plans.scoring import _mark_maybe_repeated, _repeated_hashes
 
 PATHS = {
     "windows": {},
     "lookup": {"window_rows": 0},
     "mixed": {"window_rows": 4, "broadcast_rows": 8},
+    "no bitmap": {"window_rows": 4, "broadcast_rows": 8, "bitmap_rows": 0},
     "no large key": {"window_rows": 0, "broadcast_rows": 1},
 }
 SHAPE = Contract({"k": "int", "v": "string", "day": "date"}, ["k"])
@@ -155,7 +157,7 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("sizes", [{}, {"window_rows": 100}, {"window_rows": 100, "broadcast_rows": 150}])
+@pytest.mark.parametrize("sizes", [{}, {"window_rows": 100}, {"window_rows": 100, "broadcast_rows": 150, "bitmap_rows": 1}])
 def test_a_third_in_one_key_and_a_third_in_one_copy_group(spark, sizes):
     df = skewed(spark)
     counts = {r["reason"]: r["rows"] for r in reason_counts(score(df, SHAPE, **sizes)).collect()}
@@ -167,6 +169,26 @@ def test_a_third_in_one_key_and_a_third_in_one_copy_group(spark, sizes):
     }
 
 
+@pytest.mark.parametrize("bitmap_rows", [1, 7])
+def test_the_bitmap_finds_every_repeated_key(spark, bitmap_rows):
+    """Of 40,000 keys 3,000 repeat; others may pass, but most do not."""
+    number = F.col("id")
+    rows = spark.range(43_000).select(
+        number.alias("_sk"),
+        F.when(number < 40_000, number).otherwise((number - 40_000) * 13).cast("string").alias("k"),
+        F.lit("v").alias("v"),
+        F.lit(DAY).alias("day"),
+    )
+    marked = _mark_maybe_repeated(rows, SHAPE, _repeated_hashes(rows, SHAPE), bitmap_rows)
+    counts = marked.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.bool_and("_rowgate_maybe").alias("maybe"))
+    outcome = {(r["more"], r["maybe"]): r["count"] for r in counts.groupBy((F.col("n") > 1).alias("more"), "maybe").count().collect()}
+    assert (True, False) not in outcome and outcome[True, True] == 3000
+    assert 0 < outcome[False, True] < 0.12 / bitmap_rows * outcome[False, False]
+    found = {r["reason"]: r["rows"] for r in reason_counts(
+        score(rows, SHAPE, window_rows=100, broadcast_rows=500, bitmap_rows=bitmap_rows)).collect()}
+    assert found == {"_is_dup_row": 3000}
+
+
 def test_duplicate_record_sets(spark):
     rows = [(1, "1", "a", DAY), (2, "1", "a", DAY), (3, "1", "b", DAY), (4, "2", "a", DAY), (5, "2", "a", DAY)]
     df = frame(spark, rows)

@@ -46,7 +46,7 @@ def test_lookups_leave_the_table_in_place(lines):
 
 def test_large_keys_are_joined_by_row_number_and_the_rest_windowed(spark):
     df = skewed(spark)
-    text = plan(score(df, SHAPE, window_rows=100, broadcast_rows=150))
+    text = plan(score(df, SHAPE, window_rows=100, broadcast_rows=150, bitmap_rows=0))
     looked_up, windowed = text.split("Union")[1].split("Window", 1)
     joins = [line for line in exchanges(looked_up) if "hashpartitioning(_sk" in line]
     assert len(joins) == 2 and "SortMergeJoin" in looked_up
@@ -56,10 +56,20 @@ def test_large_keys_are_joined_by_row_number_and_the_rest_windowed(spark):
 
 
 def test_without_large_keys_everything_is_windowed(lines):
-    text = plan(score(lines, LINES, window_rows=1000, broadcast_rows=100))
+    text = plan(score(lines, LINES, window_rows=1000, broadcast_rows=100, bitmap_rows=0))
     assert len(exchanges(text)) == 1 and "Join" not in text
 
 
+def test_rows_outside_the_bitmap_stay_in_place(lines):
+    text = plan(score(lines, LINES, window_rows=1000, broadcast_rows=100))
+    moved = [line for line in exchanges(text) if "hashpartitioning(l_orderkey" in line]
+    assert len(moved) == 1 and text.count("Window [") == 2
+    # The other exchanges bring the kept hashes together for the bitmap.
+    others = [line for line in exchanges(text) if line not in moved]
+    assert len(others) == 2 and all("hashpartitioning(_rowgate_bucket" in line for line in others)
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+
+
 def test_key_pass_reads_the_key_and_shuffles_hashes(lines):
     text = plan(_repeated_hashes(lines, LINES))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in text
