@@ -265,6 +265,18 @@ def oracle_sql() -> dict[str, str]:
                 FROM numbered LEFT JOIN clashing c USING (user_id, value)
             )
             SELECT * FROM listed WHERE reason <> ''""",
+        "quarantine_events_by_type": """
+            WITH numbered AS (
+                SELECT event_id, event_type, user_id,
+                       row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) AS copy_no
+                FROM events
+            ),
+            clashing AS (
+                SELECT event_type FROM numbered WHERE copy_no = 1 GROUP BY event_type HAVING count(*) > 1
+            )
+            SELECT event_id, event_type, user_id,
+                   CASE WHEN copy_no > 1 THEN '_is_dup_row' ELSE '_is_dup_key' END AS reason
+            FROM numbered WHERE copy_no > 1 OR event_type IN (SELECT event_type FROM clashing)""",
         "good_typed": _good(
             """CAST(order_id AS BIGINT) AS order_id, 'bigint' AS id_type, status, priority,
                CAST(CAST(file_dt AS DATE) AS VARCHAR) AS file_dt, 'date' AS day_type"""

@@ -456,6 +456,13 @@ def quarantine_events(spark, sf_dir):
     return listed(bad(score(events, shape, **MANY_REPEATED), shape))
 
 
+def quarantine_events_by_type(spark, sf_dir):
+    """Five keys hold all events, far more than one window takes here: joined by row number."""
+    shape = Contract({"event_type": "string", "user_id": "int"}, ["event_type"], row_id="event_id")
+    events = table(spark, sf_dir, "events")
+    return listed(bad(score(events, shape, window_rows=10, broadcast_rows=100), shape))
+
+
 def counted_reasons(shape_of, sizes=None):
     def query(spark, sf_dir):
         df, shape = shape_of(spark, sf_dir)
@@ -541,6 +548,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantine_without_bitmap": quarantine("flag", NO_BITMAP),
         "quarantine_documents": quarantine_documents,
         "quarantine_events": quarantine_events,
+        "quarantine_events_by_type": quarantine_events_by_type,
         "good_typed": good_typed,
         "good_untyped": good_untyped,
         "dual_write_roundtrip": dual_write_roundtrip,
