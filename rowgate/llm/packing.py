@@ -20,7 +20,7 @@ WORDS_HELD = 400_000
 # The pattern that the tokenizer file splits words by, here for words whose letters
 # are all ASCII or Latin-1, which have no case or composition of their own.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-zà-öø-ÿ0-9]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 SPECIAL = "<|"
 RANKS = 1 << 40
 
