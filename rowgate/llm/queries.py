@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm import langid, minhash, mixing, packing, quality, simhash, urlfilter
+from rowgate.llm import langid, lm, minhash, mixing, packing, quality, simhash, urlfilter, vectors
 from rowgate.llm.common import fold
 
 SHINGLE_WORDS, MOST_BITS = 4, 4
@@ -94,6 +94,10 @@ def url_filter_sql() -> str:
     """
 
 
+def op3_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every document goes in a mix of the sources."""
     placed = mixing.mixed(table(spark, sf_dir, "documents"), WEIGHTS, REST_UNITS)
@@ -146,6 +150,12 @@ def op8_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.placed(digests, CAPACITY)
 
 
+def op9_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 10) == 0
+    found = lm.scored(table(spark, sf_dir, "documents"), ~held_out)
+    return found.withColumn("held_out", ~F.col("learned")).drop("learned")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 3) == 1
@@ -156,11 +166,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_url_filter": op2_url_filter,
+        "op3_embedding_near_duplicates": op3_embedding_near_duplicates,
         "op4_mix_sources": op4_mix_sources,
         "op5_minhash_fingerprints": op5_minhash_fingerprints,
         "op6_quality_rules": op6_quality_rules,
         "op7_simhash_near_duplicates": op7_simhash_near_duplicates,
         "op8_pack_sequences": op8_pack_sequences,
+        "op9_mixing_lm": op9_mixing_lm,
         "op10_language_id": op10_language_id,
     }
 
