@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm import langid, lm, minhash, mixing, packing, quality, simhash, urlfilter, vectors
+from rowgate.llm import html, langid, lm, minhash, mixing, packing, quality, simhash, urlfilter, vectors
 from rowgate.llm.common import fold
 
 SHINGLE_WORDS, MOST_BITS = 4, 4
@@ -43,6 +43,11 @@ def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str) -> quality.
     return quality.train(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2)
 
 
+def op1_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extracted(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(table(spark, sf_dir, "pages"), "page_id", URL_RULES, URL_TERMS)
 
@@ -165,6 +170,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_main_text": op1_html_main_text,
         "op2_url_filter": op2_url_filter,
         "op3_embedding_near_duplicates": op3_embedding_near_duplicates,
         "op4_mix_sources": op4_mix_sources,
