@@ -231,7 +231,7 @@ def repeated_tokens(streams: list[np.ndarray], run: int = RUN, pages: int = PAGE
     while width < run:
         step = min(width, run - width)
         later = np.zeros(total, np.int64)
-        later[: total - step] = ranks[step:] + 1
+        later[: max(0, total - step)] = ranks[step:] + 1
         _, ranks = np.unique(ranks * (int(later.max()) + 1) + later, return_inverse=True)
         width += step
     suffixes = np.lexsort((page, ranks))
@@ -251,7 +251,7 @@ def repeated_tokens(streams: list[np.ndarray], run: int = RUN, pages: int = PAGE
 def main_texts(pages: list[list[tuple[str, str]]], run: int = RUN, least_pages: int = PAGES) -> list[tuple[str, int, int]]:
     """Of a host's pages the main text, the number of tokens, and how many of them repeat across pages.
 
-    The article, where there is one; else the open blocks, without those whose tokens all stand in
+    The article, where there is one, even an empty one; else the open blocks, without those whose tokens all stand in
     repeated runs. If that leaves a page nothing, its open blocks stay: it is a copy, not boilerplate.
     Pages with the same blocks count once.
     """

@@ -1,0 +1,233 @@
+"""Page texts, urls and vectors against brute force, and on edge cases."""
+
+from collections import Counter
+from random import Random
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rowgate.llm import html, urlfilter, vectors
+from rowgate.llm import queries as registered
+
+SF = "/root/testdata/sf0.001"
+STORY = "The river rose over night and the old bridge was closed to all"
+
+
+def page(body):
+    return f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>{body}</body></html>"
+
+
+@pytest.mark.parametrize(
+    ("given", "text"),
+    [
+        ("<article><h1>A  b</h1><p>c&amp;d &eacute;&#233;&#x1F600;\n\te</p></article>", "A b\nc&d éé\U0001f600 e"),
+        ("<article><p><b>One.<br><p>Two</article><footer>no</footer>", "One.\nTwo"),
+        ('<article>a<script>var t="</p>";</script><style>x</style><p>b</p><!-- c <p>d</p> --></article>', "a\nb"),
+        ("<nav><ul><li><a>m</a></li></ul></nav><main><p>x <i>y</i>z</p><aside>s</aside></main>", "x yz"),
+        ('<article class="has-sidebar"><p>keep</p><div class="comment-list"><article class="comment">r</article></div></article>', "keep"),
+        ('<article><p>a</p><div class="ad">buy</div><section id="comments"><p>c</p></section><p>b</p></article>', "a\nb"),
+        ('<article><form>f <input value="x"><button>go</button></form><p hidden>h</p><p style="display: none">n</p>t</article>', "t"),
+        ('<form><div role="banner">b</div><article><p>in a form</p></article></form>', "in a form"),
+        ('<div class="cookie-notice">c</div><div id="content"><p>open text</p></div><div class="pageFooter">f</div>', "open text"),
+        ("<article><table><tr><td>1<td>2<tr><td>3</table><ul><li>i<li>j</ul></article>", "1\n2\n3\ni\nj"),
+        ("<article>1 < 2 and <b>3</b> > 2 <a href='x>y'>l</a></article>", "1 < 2 and 3 > 2 l"),
+        ("<article><p>unclosed <!-- never ends <p>x", "unclosed"),
+        ("", ""),
+        ("plain words only", "plain words only"),
+        ("<article></article><p>outside</p>", ""),
+        ("<ul><li><a href='/1'>menu one</a></li></ul><p>text with <a href='/2'>a link</a> inside it</p>", "text with a link inside it"),
+        ("<TITLE>t</TITLE><P>upper<SCRIPT>x</SCRIPT></P>", "upper"),
+    ],
+)
+def test_structure(given, text):
+    assert html.main_texts([html.blocks(given)])[0][0] == text
+
+
+def test_main_text_query_reads_articles_of_all_pages(spark):
+    import re
+    from html import unescape
+
+    found = {r["page_id"]: r for r in registered.op1_html_main_text(spark, SF).collect()}
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        article = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
+        parts = re.split(r"</?(?:p|h1)>", article.replace("<br>", " "))
+        lines = [" ".join(unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in parts]
+        text = "\n".join(x for x in lines if x)
+        assert found[r["page_id"]]["text"] == text
+        assert found[r["page_id"]]["n_chars"] == len(text)
+
+
+def test_repeated_runs_by_brute_force():
+    random = Random(1)
+    for run, pages in ((1, 2), (3, 2), (4, 3), (6, 2)):
+        streams = [np.array(random.choices(range(4), k=random.randint(0, 30)), dtype=np.int64) for _ in range(6)]
+        found = html.repeated_tokens(streams, run, pages)
+        holders = {}
+        for i, s in enumerate(streams):
+            for at in range(len(s) - run + 1):
+                holders.setdefault(tuple(s[at : at + run]), set()).add(i)
+        for i, s in enumerate(streams):
+            mask = np.zeros(len(s), dtype=bool)
+            for at in range(len(s) - run + 1):
+                if len(holders[tuple(s[at : at + run])]) >= pages:
+                    mask[at : at + run] = True
+            assert (found[i] == mask).all()
+
+
+def test_host_boilerplate_without_markup_goes_and_unique_text_stays(spark):
+    notice = "<div>Welcome to the site of the town where all news of the day is kept for you</div>"
+    rows = [(i, "http://a.org/x", page(f"{notice}<div>{STORY} number {i} {'word ' * i}</div>")) for i in range(5)]
+    rows += [(9, "http://b.org/x", page(f"{notice}<div>{STORY}</div>"))]
+    rows += [(10 + i, "http://c.org/", page(f"<div>{STORY}</div>")) for i in range(4)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html.extracted(frame).collect()}
+    for i in range(5):
+        assert found[i] == f"{STORY} number {i} {'word ' * i}".strip()
+    assert found[9].count("\n") == 1
+    assert all(found[10 + i] == STORY for i in range(4))
+
+
+def test_articles_that_repeat_on_a_host_stay(spark):
+    rows = [(i, "http://a.org/x", page(f"<article><p>{STORY}</p><p>{i}</p></article>")) for i in range(6)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["text"] for r in html.extracted(frame).collect()} == {f"{STORY}\n{i}" for i in range(6)}
+
+
+@pytest.mark.parametrize("group_bytes", [100, 1 << 24])
+def test_page_edge_cases(spark, group_bytes):
+    long = "<article>" + "<p>many words in a row</p>" * 20_000 + "</article>"
+    rows = [(1, None, None), (2, "x", ""), (3, "http://a.org", long), (None, "http://a.org", "<p>q\x00</p>"), (5, "http://a.org", "<p>q</p>"), (5, "http://a.org", "<p>q</p>")]
+    frame = spark.createDataFrame([(*r, "c", "c") for r in rows], "page_id long, url string, html string, text string, host string")
+    found = html.extracted(frame, group_bytes=group_bytes).collect()
+    texts = [(r["page_id"], r["url"], r["text"]) for r in found]
+    assert Counter(texts) == Counter(
+        [(1, None, ""), (2, "x", ""), (3, "http://a.org", "\n".join(["many words in a row"] * 20_000)), (None, "http://a.org", "q"), (5, "http://a.org", "q"), (5, "http://a.org", "q")]
+    )
+    assert html.extracted(frame.limit(0)).collect() == []
+
+
+def test_url_query_equals_sql(spark):
+    connection = duckdb.connect()
+    for sf in (SF, "/root/testdata/sf0.01"):
+        connection.execute(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM read_parquet('{sf}/pages.parquet')")
+        cursor = connection.execute(registered.oracle_sql()["op2_url_filter"])
+        names = [c[0] for c in cursor.description]
+        found = registered.op2_url_filter(spark, sf).select(*names).collect()
+        assert Counter(map(tuple, found)) == Counter(cursor.fetchall())
+
+
+def brute_verdict(url):
+    url = url or ""
+    rest = url.split("://", 1)[1] if "://" in url else ""
+    cut = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+    host = rest[:cut].translate(str.maketrans(urlfilter.UPPER, urlfilter.LOWER))
+    path = rest[cut:]
+    path = path[: min([path.find(c) for c in "?#" if c in path] or [len(path)])]
+    fitting = []
+    for verdict, rule in registered.URL_RULES:
+        name, _, start = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + start):
+            fitting.append((len(rule), rule, verdict))
+    return host, path, max(fitting)[1:] if fitting else None
+
+
+def test_urls_by_brute_force(spark):
+    random = Random(7)
+    parts = ["http", "://", "example.org", ".com", "A.Org", "/", "es/", "en/1", "fr/", "de/", "?", "#", "x", "free", "-bets", "casino", "\n", "é", ":80"]
+    urls = ["".join(random.choices(parts, k=random.randint(0, 9))) for _ in range(3000)] + [None, ""]
+    frame = spark.createDataFrame([(i, u, "c", "c") for i, u in enumerate(urls)], "page_id long, url string, host string, hits string")
+    found = urlfilter.judged(frame, "page_id", registered.URL_RULES, registered.URL_TERMS).collect()
+    assert len(found) == len(urls)
+    for r in found:
+        host, path, rule = brute_verdict(urls[r["page_id"]])
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule[0] if rule else None)
+        if rule:
+            assert r["verdict"] == rule[1]
+
+
+@pytest.mark.parametrize(
+    ("url", "verdict", "strict", "soft"),
+    [
+        ("http://casino-win.net/", "block", 1, 1),
+        ("http://www.cheap-pills.net/x", "block", 0, 2),
+        ("http://occasinoed.net/freely", "allow", 0, 0),
+        ("http://x.net/free/free/free", "allow", 0, 1),
+        ("http://x.net/win-win?bet=bonus", "block", 0, 3),
+        ("XXX", "block", 1, 0),
+        ("http://x.net/sex-education/xxxi", "allow", 0, 0),
+        (None, "allow", 0, 0),
+    ],
+)
+def test_vocabulary(spark, url, verdict, strict, soft):
+    frame = spark.createDataFrame([(1, url)], "page_id long, url string")
+    r = urlfilter.judged(frame, "page_id", registered.URL_RULES, registered.URL_TERMS).first()
+    assert (r["verdict"], r["strict_hits"], r["soft_hits"]) == (verdict, strict, soft)
+
+
+def brute_links(rows, threshold, brute_roots):
+    """``vec_id, n_links, component`` by comparing all with all; ids are unique."""
+    good = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    links = []
+    for a in range(len(good)):
+        for b in range(a):
+            (i, x), (j, y) = good[a], good[b]
+            if len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
+                links.append((i, j))
+    counts, root = Counter(x for pair in links for x in pair), brute_roots(links, [i for i, _ in rows])
+    return {(i, counts[i], root[i], root[i] == i) for i, _ in rows}
+
+
+def near_copies(seed, groups=12, each=25, loose=300, size=16):
+    random = np.random.default_rng(seed)
+    rows = []
+    for _ in range(groups):
+        centre = random.normal(size=size)
+        rows += [centre + random.normal(size=size) * 0.13 for _ in range(each)]
+        rows += [rows[-1] * 1.0, rows[-2] * 3]
+    rows += list(random.normal(size=(loose, size)))
+    order = random.permutation(len(rows))
+    return [(int(i) * 3, [float(x) for x in rows[i]]) for i in order]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_vectors_by_brute_force(spark, brute_roots, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(vectors, "CELL", 60)
+        monkeypatch.setattr(vectors, "SHARD", 40)
+    rows = near_copies(3)
+    rows += [(10**6, None), (10**6 + 1, []), (10**6 + 2, [0.0] * 16), (10**6 + 3, [float("nan")] * 16), (10**6 + 4, [None] * 16)]
+    rows += [(10**6 + 5, [1.0, 0.0]), (10**6 + 6, [2.0, 0.1]), (10**6 + 7, [float("inf")] * 16), (10**6 + 8, [1e-200] * 16)]
+    frame = spark.createDataFrame([(i, v, "c", 1) for i, v in rows], "vec_id long, embedding array<double>, node string, n_links int")
+    found = vectors.near_duplicates(frame, 0.95).collect()
+    expected = brute_links([r for r in rows if r[0] != 10**6 + 8], 0.95, brute_roots)
+    got = {tuple(r) for r in found if r["vec_id"] != 10**6 + 8}
+    missed = sum(n for _, n, _, _ in expected) - sum(n for _, n, _, _ in got)
+    assert len(found) == len(rows) and 0 <= missed <= 0.02 * sum(n for _, n, _, _ in expected)
+    assert {(i, c, k) for i, _, c, k in got} == {(i, c, k) for i, _, c, k in expected}
+
+
+def test_vector_query_against_all_pairs(spark, brute_roots):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    found = registered.op3_embedding_near_duplicates(spark, SF).collect()
+    assert {tuple(r) for r in found} == brute_links(rows, 0.95, brute_roots)
+
+
+def test_repeated_vectors_and_empty_table(spark):
+    rows = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (None, [2.0, 4.0]), (3, [-1.0, 2.0]), (3, [2.0, -1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = Counter(tuple(r) for r in vectors.near_duplicates(frame).collect())
+    assert found == Counter({(1, 3, 1, True): 2, (2, 3, 1, False): 1, (None, 3, 1, False): 1, (3, 0, 3, True): 2})
+    assert vectors.near_duplicates(frame.limit(0)).collect() == []
+
+
+def test_graph_reaches_every_vector():
+    random = np.random.default_rng(5)
+    tight = [random.normal(size=12) + random.normal(size=(70, 12)) * 1e-3 for _ in range(6)]
+    unit = np.concatenate(tight).astype(np.float32)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    lists = vectors.flat_graph(unit, 1)
+    assert lists.max() < len(unit)
+    query, row = vectors.in_range(unit, lists, unit, 0.95)
+    assert len(query) == int(((unit @ unit.T) >= 0.95).sum())
