@@ -10,7 +10,23 @@ from types import MappingProxyType
 # A column of type ``string`` is never checked. The date rule has no start anchor.
 INT_RULE = r"^[0-9]+$"
 DATE_RULE = r"\d{4}-\d{2}-\d{2}$"
-DEFAULT_RULES: Mapping[str, str] = MappingProxyType({"int": INT_RULE, "date": DATE_RULE})
+# The rules of further types are this library's own.
+DECIMAL_RULE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+DOUBLE_RULE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+TIMESTAMP_RULE = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
+BOOLEAN_RULE = r"^(?i:true|false)$"
+DEFAULT_RULES: Mapping[str, str] = MappingProxyType(
+    {
+        "int": INT_RULE,
+        "bigint": INT_RULE,
+        "long": INT_RULE,
+        "date": DATE_RULE,
+        "decimal": DECIMAL_RULE,
+        "double": DOUBLE_RULE,
+        "timestamp": TIMESTAMP_RULE,
+        "boolean": BOOLEAN_RULE,
+    }
+)
 
 UNCHECKED_TYPE = "string"
 ROW_ID = "_sk"
@@ -35,10 +51,12 @@ class Contract:
     """The declared shape of one table.
 
     ``columns`` maps column name to type name, in table order; ``key`` names the business key.
-    ``rules`` maps a type name to its format rule, so a caller adds a type by adding a rule.
+    ``rules`` maps a type name to its format rule, so a caller adds a type by adding a rule; a type
+    with a size, like ``decimal(12,2)``, takes the rule of its plain name.
     ``null_policy`` says if a null in a checked column is a format error (``flag``) or not
     (``pass``). ``typed`` says if good rows are cast to the declared types. ``strict`` also
-    calls a value invalid that passes its rule but cannot be cast, so a good row always casts.
+    calls a value invalid that holds more than its rule matches or cannot be cast, so a good row
+    always casts.
     ``row_id`` is the unique 64-bit row number that breaks ties between copies.
     """
 
@@ -68,7 +86,7 @@ class Contract:
         missing = [c for c in self.key if c not in self.columns]
         if missing:
             raise ValueError(f"key columns not declared: {missing}")
-        unknown = {c: t for c, t in self.columns.items() if t != UNCHECKED_TYPE and t not in self.rules}
+        unknown = {c: t for c, t in self.columns.items() if t != UNCHECKED_TYPE and not self._rule_of(t)}
         if unknown:
             raise ValueError(f"no format rule for the type of: {unknown}")
         if self.null_policy not in NULL_POLICIES:
@@ -81,6 +99,13 @@ class Contract:
         if clash:
             raise ValueError(f"column names reserved for check results: {clash}")
 
+    def _rule_of(self, type_name: str) -> str | None:
+        return self.rules.get(type_name) or self.rules.get(type_name.partition("(")[0].strip())
+
+    def rule(self, column: str) -> str:
+        """The format rule of a checked column."""
+        return self._rule_of(self.columns[column])
+
     @property
     def data_columns(self) -> list[str]:
         return list(self.columns)

@@ -7,6 +7,7 @@ from rowgate.functions.flags import (
     key_hash,
     null_flags,
     reason_array,
+    uncastable,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "key_hash",
     "null_flags",
     "reason_array",
+    "uncastable",
 ]

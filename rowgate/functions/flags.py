@@ -26,18 +26,29 @@ def fails_format(value: Column, rule: str, null_policy: str = "flag") -> Column:
 
 
 def invalid_flags(contract: Contract) -> dict[str, Column]:
-    """One flag per checked column, in contract order."""
+    """One flag per checked column, in contract order.
+
+    A strict contract wants its rules to match the whole value, and the value to be castable.
+    """
     flags = {}
+    cannot = uncastable(contract)
     for name in contract.checked_columns:
-        type_name = contract.columns[name]
-        flag = fails_format(column(name), contract.rules[type_name], contract.null_policy)
+        rule = contract.rule(name)
         if contract.strict:
-            uncastable = column(name).isNotNull() & column(name).cast("string").try_cast(type_name).isNull()
-            flag = flag | uncastable
-        flags[invalid_flag_name(name)] = flag
+            rule = rf"\A(?:{rule})\z"
+        flag = fails_format(column(name), rule, contract.null_policy)
+        flags[invalid_flag_name(name)] = flag | cannot[name] if contract.strict else flag
     return flags
 
 
+def uncastable(contract: Contract) -> dict[str, Column]:
+    """For each checked column, true where a value is there but cannot be cast to the declared type."""
+    return {
+        name: column(name).isNotNull() & column(name).cast("string").try_cast(contract.columns[name]).isNull()
+        for name in contract.checked_columns
+    }
+
+
 def null_flags(key: Sequence[str]) -> dict[str, Column]:
     """One flag per key column."""
     return {null_flag_name(name): column(name).isNull() for name in key}

@@ -44,18 +44,23 @@ def read_raw(
     """Scan raw files; a delimited file gives nothing but nullable strings.
 
     The format comes from the path's ending unless named. ``columns`` declares the delimited
-    columns up front, which spares the look at the first header and makes Spark check every
-    file's header against them; otherwise the header names the columns.
+    columns up front, which spares the look at the first header; otherwise that header names them.
+    Either way every delimited file's header must name the same columns in the same order, or the
+    scan fails: Spark would go by position and put values under the wrong names.
     """
     first = path if isinstance(path, str) else path[0]
-    reader = spark.read.format(format_type or detect_format(first))
-    reader = reader.option("sep", delimiter).option("header", header)
-    if columns is not None:
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-        reader = reader.schema(schema).option("enforceSchema", False)
+    format_type = format_type or detect_format(first)
+    reader = spark.read.format(format_type).option("sep", delimiter).option("header", header)
     for name, value in (options or {}).items():
         reader = reader.option(name, value)
-    return reader.load(path if isinstance(path, str) else list(path))
+    paths = path if isinstance(path, str) else list(path)
+    if columns is not None:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+        return reader.schema(schema).option("enforceSchema", False).load(paths)
+    scan = reader.load(paths)
+    if format_type == "csv" and header and scan.columns:
+        return reader.schema(scan.schema).option("enforceSchema", False).load(paths)
+    return scan
 
 
 def with_load_time(df: DataFrame, prefix: str = "", loaded_at: datetime | None = None) -> DataFrame:

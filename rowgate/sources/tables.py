@@ -17,6 +17,7 @@ class TableNames:
     bad: str
 
 
+# The default schema, the layers and the suffix of a pipeline's tables.
 def table_names(pipeline: str, schema: str = "project", suffix: str = "framework") -> TableNames:
     """The three tables of a pipeline, named by convention."""
     ending = f"_{suffix}" if suffix else ""
@@ -25,8 +26,9 @@ def table_names(pipeline: str, schema: str = "project", suffix: str = "framework
 
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the schema unless it is there. ``location`` sets where its managed tables live."""
-    quoted = ".".join(f"`{part}`" for part in name.split("."))
-    place = f" LOCATION '{location}'" if location else ""
+    quoted = ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+    escaped = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = f" LOCATION '{escaped}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted}{place}")
 
 

@@ -19,8 +19,8 @@ OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    """The folder named by ``spark.checkpoint.dir`` or set on the context; a temporary one only in local mode."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
@@ -51,12 +51,22 @@ def fixed_splits(spark: SparkSession) -> AbstractContextManager[None]:
 
 
 class Staging:
-    """One run's own folder below the shared folder."""
+    """One run's own folder below the shared folder.
+
+    As a context manager it deletes the folder at the end of the block. Otherwise the folder goes
+    with ``clear``, or at the latest when the driver ends in order.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None) -> None:
         self.spark = spark
         self.folder = f"{root or shared_folder(spark)}/rowgate-{uuid.uuid4().hex}"
 
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *fault: object) -> None:
+        self.clear()
+
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
@@ -71,9 +81,19 @@ class Staging:
                 df.write.partitionBy(flag).parquet(self.path(name))
         else:
             df.write.parquet(self.path(name))
+        self.delete_at_end()
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def delete_at_end(self) -> None:
+        """Have the folder, once it is there, deleted when the driver ends."""
+        system, path = self._place()
+        system.deleteOnExit(path)
+
     def clear(self) -> None:
         """Delete the run's folder; call it only when no frame kept here is still needed."""
+        system, path = self._place()
+        system.delete(path, True)
+
+    def _place(self) -> tuple:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path

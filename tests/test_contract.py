@@ -39,7 +39,7 @@ def test_presets():
         (COLUMNS, "shop_id", {}),
         (COLUMNS, ["other"], {}),
         (COLUMNS, ["name", "name"], {}),
-        ({"a": "double"}, ["a"], {}),
+        ({"a": "money"}, ["a"], {}),
         (COLUMNS, ["shop_id"], {"null_policy": "ignore"}),
         ({"a": "string", "A": "string"}, ["a"], {}),
         ({"a": "string", "_sk": "string"}, ["a"], {}),
@@ -54,6 +54,11 @@ def test_rejected_contracts(columns, key, options):
         Contract(columns, key, **options)
 
 
+def test_a_sized_type_takes_the_rule_of_its_name():
+    contract = Contract({"a": "decimal(12,2)", "b": "long"}, ["a"])
+    assert contract.rule("a") == contract.rules["decimal"] and contract.rule("b") == contract.rules["int"]
+
+
 def test_a_rule_adds_a_type():
     contract = Contract({"a": "code"}, ["a"], rules={"code": "^[A-Z]{3}$"})
     assert contract.invalid_flags == ["_is_a_invalid"]
