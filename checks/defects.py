@@ -10,14 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.contract import DEFAULT_RULES, INT_RULE, Contract
+from rowgate.contract import Contract
 
 COLUMNS = {"order_id": "bigint", "status": "string", "priority": "string", "file_dt": "date"}
 
 
 def contract(null_policy: str = "flag", **options) -> Contract:
-    rules = {**DEFAULT_RULES, "bigint": INT_RULE}
-    return Contract(COLUMNS, ["order_id"], rules=rules, null_policy=null_policy, row_id="rid", **options)
+    return Contract(COLUMNS, ["order_id"], null_policy=null_policy, row_id="rid", **options)
 
 
 def defect_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ defects AS (
     FROM orders WHERE o_orderkey % 43 = 0
 )"""
 
+# The two format rules and, further down, the names of the flags.
 INT = "'^[0-9]+$'"
 DAY = r"'\d{4}-\d{2}-\d{2}$'"
 DATA = "order_id, status, priority, file_dt"
@@ -75,6 +76,35 @@ FROM flagged WHERE {' OR '.join(flags)}"""
 
 
 EVERY = tuple(REASONS)
+
+NUMBER = r"'^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)"
+TYPED_LINES = f"""
+    WITH shown AS (
+        SELECT l_returnflag, l_orderkey AS k, l_linenumber AS n,
+               strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ship,
+               CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
+               CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity
+        FROM lineitem
+    ), lines AS (
+        SELECT l_returnflag,
+               CASE WHEN k % 37 = 0 THEN '-' || k ELSE CAST(k AS VARCHAR) END AS l_orderkey,
+               CASE WHEN k % 41 = 0 THEN n || 'L' ELSE CAST(n AS VARCHAR) END AS l_linenumber,
+               CASE n WHEN 2 THEN quantity || 'e1' WHEN 3 THEN quantity || 'e' ELSE quantity END AS l_quantity,
+               CASE n WHEN 4 THEN '$' || price WHEN 5 THEN '-' || price ELSE price END AS l_extendedprice,
+               CASE n WHEN 1 THEN ship[:10] WHEN 2 THEN replace(ship, ' ', 'T') ELSE ship END AS shipped,
+               CASE WHEN n = 6 THEN 'yes' WHEN n = 1 THEN 'TRUE' WHEN n > 6 THEN NULL ELSE 'false' END AS returned
+        FROM shown
+    )
+    SELECT l_returnflag,
+           count_if(NOT regexp_matches(l_orderkey, {INT})) AS "_is_l_orderkey_invalid",
+           count_if(NOT regexp_matches(l_linenumber, {INT})) AS "_is_l_linenumber_invalid",
+           count_if(NOT regexp_matches(l_quantity, {NUMBER}([eE][+-]?[0-9]+)?$')) AS "_is_l_quantity_invalid",
+           count_if(NOT regexp_matches(l_extendedprice, {NUMBER}$')) AS "_is_l_extendedprice_invalid",
+           count_if(NOT regexp_matches(shipped, '^[0-9-]{{10}}[ T][0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$'))
+               AS "_is_shipped_invalid",
+           count_if(returned IS NULL OR lower(returned) NOT IN ('true', 'false')) AS "_is_returned_invalid",
+           count(*) AS row_count
+    FROM lines GROUP BY l_returnflag"""
 CUSTOMER = """
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
            CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal,
@@ -131,7 +161,7 @@ def oracle_sql() -> dict[str, str]:
         FROM defects WHERE order_id IS NULL OR priority IS NULL"""
     every_reason = ", ".join(f"CASE WHEN {f} THEN '{name}' END" for f, name in REASONS.items())
     return {
-        "table_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders",
+        "table_scan": "SELECT * FROM orders",
         "explicit_projection": """
             SELECT o_orderkey AS order_id, o_orderkey + 1 AS next_key, o_orderstatus, o_orderpriority
             FROM orders""",
@@ -139,6 +169,7 @@ def oracle_sql() -> dict[str, str]:
         "limit_preview": "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 5",
         "csv_scan": CUSTOMER,
         "csv_scan_declared_columns": CUSTOMER,
+        "csv_scan_many_files": CUSTOMER,
         "detected_format_scan": f"""
             WITH customers AS ({CUSTOMER})
             {detected}
@@ -148,13 +179,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, 'orders.parquet' AS "_file_name", TRUE AS path_ends, TRUE AS has_size,
                    TRUE AS has_mod, TRUE AS load_day_matches
             FROM orders""",
-        "table_overwrite_roundtrip": "SELECT c_custkey, c_name, c_nationkey FROM customer",
-        "table_append_roundtrip": """
-            SELECT c_custkey, c_name, c_nationkey FROM customer
-            UNION ALL
-            SELECT c_custkey, c_name, c_nationkey FROM customer""",
+        "table_overwrite_roundtrip": "SELECT * FROM customer",
+        "table_append_roundtrip": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
         "pipeline_tables": """
-            SELECT s_suppkey, s_name, layer
+            SELECT supplier.*, layer
             FROM supplier CROSS JOIN (VALUES ('bronze'), ('silver'), ('bad')) AS l(layer)""",
         "ingest_job": f"SELECT *, TRUE AS has_times, TRUE AS has_file FROM ({CUSTOMER}) AS customers",
         "surrogate_key_unique": """
@@ -172,6 +200,7 @@ def oracle_sql() -> dict[str, str]:
                        AS "_is_l_shipdate_invalid",
                    count(*) AS row_count
             FROM lineitem GROUP BY l_returnflag""",
+        "typed_format_flags": TYPED_LINES,
         "strict_format_flags": f"""
             WITH {DEFECTS}
             SELECT rid,
@@ -194,6 +223,10 @@ def oracle_sql() -> dict[str, str]:
             WITH {DEFECTS}
             SELECT rid, {DATA}, row_number() OVER (PARTITION BY {DATA} ORDER BY rid) AS rn
             FROM defects WHERE order_id IS NOT NULL""",
+        "later_copies": f"""
+            WITH {DEFECTS}
+            SELECT rid, {DATA}, row_number() OVER (PARTITION BY {DATA} ORDER BY rid) AS rn
+            FROM defects WHERE order_id IS NOT NULL QUALIFY rn > 1""",
         "row_number_documents": """
             SELECT doc_id, source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn
             FROM documents""",
@@ -221,6 +254,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE copy_no = 1 AND text IN (SELECT text FROM clashing)""",
         "all_duplicates_by_name": _records("flag", "dup_key", "dup_row"),
         "all_duplicates_by_position": _records("flag", "dup_key", "dup_row"),
+        "all_duplicates_in_one_pass": _records("flag", "dup_key", "dup_row"),
         "melt_flags": f"""
             WITH {_checks("flag")}
             SELECT rid, {DATA}, '_is_order_id_invalid' AS reason FROM flagged WHERE id_invalid
@@ -282,6 +316,10 @@ def oracle_sql() -> dict[str, str]:
                CAST(CAST(file_dt AS DATE) AS VARCHAR) AS file_dt, 'date' AS day_type"""
         ),
         "good_untyped": _good(DATA),
+        "dual_write_bucketed": f"""
+            WITH {_checks("pass")},
+            listed AS (SELECT {DATA}, concat_ws(',', {every_reason}) AS reason FROM flagged)
+            SELECT CASE WHEN reason = '' THEN 'good' ELSE 'bad' END AS side, {DATA}, reason FROM listed""",
         "dual_write_roundtrip": f"""
             WITH {_checks("pass")},
             listed AS (SELECT {DATA}, concat_ws(',', {every_reason}) AS reason FROM flagged)

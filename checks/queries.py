@@ -27,8 +27,8 @@ from rowgate.operators import (
     row_duplicates,
     rows_without,
     select_data,
-    split_columns,
     typed,
+    union_records,
     with_flags,
     with_row_id,
 )
@@ -66,8 +66,9 @@ def count_rows(name: str):
 
 def scratch_schema(spark: SparkSession) -> str:
     """A schema of its own for each run, its tables in the shared folder."""
-    name = f"rowgate_{uuid.uuid4().hex[:12]}"
-    ensure_schema(spark, name, Staging(spark).path("tables"))
+    name, staging = f"rowgate_{uuid.uuid4().hex[:12]}", Staging(spark)
+    ensure_schema(spark, name, staging.path("tables"))
+    staging.delete_at_end()
     return name
 
 
@@ -77,7 +78,7 @@ def scratch_schema(spark: SparkSession) -> str:
 def table_scan(spark, sf_dir):
     schema = scratch_schema(spark)
     ensure_schema(spark, schema)
-    write_table(table(spark, sf_dir, "orders").drop("o_totalprice", "o_orderdate"), f"{schema}.orders")
+    write_table(table(spark, sf_dir, "orders"), f"{schema}.orders")
     return read_table(spark, f"{schema}.orders")
 
 
@@ -162,7 +163,7 @@ def lineage_columns(spark, sf_dir):
 
 def table_overwrite_roundtrip(spark, sf_dir):
     name = f"{scratch_schema(spark)}.customer"
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    customers = table(spark, sf_dir, "customer")
     write_table(customers.withColumn("c_name", F.lit("old")), name)
     write_table(customers, name, "overwrite")
     return read_table(spark, name)
@@ -170,7 +171,7 @@ def table_overwrite_roundtrip(spark, sf_dir):
 
 def table_append_roundtrip(spark, sf_dir):
     name = f"{scratch_schema(spark)}.customer"
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    customers = table(spark, sf_dir, "customer")
     write_table(customers, name, "error")
     write_table(customers, name, "append", even_files=True)
     write_table(customers, name, "ignore")
@@ -179,7 +180,7 @@ def table_append_roundtrip(spark, sf_dir):
 
 def pipeline_tables(spark, sf_dir):
     names = table_names("supplier", schema=scratch_schema(spark))
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    suppliers = table(spark, sf_dir, "supplier")
     for layer, name in (("bronze", names.bronze), ("silver", names.silver), ("bad", names.bad)):
         write_table(suppliers.withColumn("layer", F.lit(layer)), name)
     written = [read_table(spark, name) for name in (names.bronze, names.silver, names.bad)]
@@ -244,6 +245,45 @@ def format_flags_lineitem(spark, sf_dir):
     return counts
 
 
+TYPED_LINES = {
+    "l_orderkey": "bigint",
+    "l_linenumber": "long",
+    "l_quantity": "double",
+    "l_extendedprice": "decimal(12,2)",
+    "shipped": "timestamp",
+    "returned": "boolean",
+}
+
+
+def typed_format_flags(spark, sf_dir):
+    """Every line item as strings of all checked types, with defects by arithmetic; how many break which rule."""
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    shipped = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    price = F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
+    quantity = F.col("l_quantity").cast("int").cast("string")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag",
+        F.when(k % 37 == 0, F.concat(F.lit("-"), k)).otherwise(k.cast("string")).alias("l_orderkey"),
+        F.when(k % 41 == 0, F.concat(n, F.lit("L"))).otherwise(n.cast("string")).alias("l_linenumber"),
+        F.when(n == 2, F.concat(quantity, F.lit("e1"))).when(n == 3, F.concat(quantity, F.lit("e"))).otherwise(quantity).alias("l_quantity"),
+        F.when(n == 4, F.concat(F.lit("$"), price)).when(n == 5, F.concat(F.lit("-"), price)).otherwise(price).alias("l_extendedprice"),
+        F.when(n == 1, F.substring(shipped, 1, 10)).when(n == 2, F.translate(shipped, " ", "T")).otherwise(shipped).alias("shipped"),
+        F.when(n == 6, "yes").when(n == 1, "TRUE").when(n > 6, F.lit(None)).otherwise("false").alias("returned"),
+    )
+    shape = Contract(TYPED_LINES, ["l_orderkey", "l_linenumber"])
+    flags = invalid_flags(shape)
+    counted = with_flags(lines, flags).groupBy("l_returnflag")
+    return counted.agg(*[F.count_if(name).alias(name) for name in flags], count_rows("row_count"))
+
+
+def csv_scan_many_files(spark, sf_dir):
+    """A landing folder with a file per nation; every header is checked against the first."""
+    landing = Staging(spark).path("customers.csv")
+    rows = customer_strings(spark, sf_dir)
+    rows.repartition(8, "c_nationkey").write.csv(landing, sep="|", header=True)
+    return read_raw(spark, landing)
+
+
 def strict_format_flags(spark, sf_dir):
     """A month of 13 passes the format rule but not the strict check."""
     df = defect_orders(spark, sf_dir)
@@ -332,7 +372,6 @@ def lineitem_rows(spark, sf_dir):
     shape = Contract(
         {"l_orderkey": "bigint", "l_linenumber": "int", "l_returnflag": "string", "l_shipdate": "date"},
         ["l_orderkey", "l_linenumber"],
-        rules=contract().rules,
     )
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("l_orderkey"),
@@ -354,12 +393,25 @@ def key_duplicates_documents(spark, sf_dir):
 
 
 def all_dups(by_name):
+    """Both record sets below one another; the operator that gives them in one pass must agree."""
+
     def query(spark, sf_dir):
-        return listed(all_duplicates(base_of_defects(spark, sf_dir), contract(), by_name))
+        base = base_of_defects(spark, sf_dir)
+        parts = [row_duplicates(base, contract()), key_duplicates(base, contract())]
+        return listed(union_records(parts, by_name))
 
     return query
 
 
+def all_duplicates_in_one_pass(spark, sf_dir):
+    return listed(all_duplicates(base_of_defects(spark, sf_dir), contract()))
+
+
+def later_copies(spark, sf_dir):
+    """A filter on a window's result: every copy of an order but the first."""
+    return row_number_all_columns(spark, sf_dir).where(F.col("rn") > 1)
+
+
 def melted_flags(spark, sf_dir):
     flags = {**invalid_flags(contract()), **null_flags(["order_id"])}
     df = with_flags(defect_orders(spark, sf_dir), flags)
@@ -369,20 +421,20 @@ def melted_flags(spark, sf_dir):
 def collected_reasons(spark, sf_dir):
     flags = {**invalid_flags(contract()), **null_flags(["order_id"])}
     df = with_flags(defect_orders(spark, sf_dir), flags)
-    return listed(melt_flags(df, IDS, list(flags)).transform(collect_reasons, IDS))
+    return listed(melt_flags(df, IDS, list(flags)).transform(collect_reasons, "rid"))
 
 
 def reasons_by_naming_convention(spark, sf_dir):
-    """The flags are told from the other columns by their names."""
-    df = with_flags(defect_orders(spark, sf_dir), null_flags(["order_id", "priority"]))
-    ids, flags = split_columns(df.columns)
-    return listed(df.transform(flagged_records, ids, flags))
+    """The names of the flag columns follow from the contract."""
+    shape = contract().with_options(key=["order_id", "priority"])
+    df = with_flags(defect_orders(spark, sf_dir), null_flags(shape.key))
+    return listed(flagged_records(df, IDS, shape.null_flags))
 
 
 def flattened_reasons(spark, sf_dir):
     df = defect_orders(spark, sf_dir)
     parts = [invalid_records(df, contract()), null_key_records(df, contract())]
-    return listed(merge_reasons(parts, IDS))
+    return listed(merge_reasons(parts, "rid"))
 
 
 def staged_quarantine(policy):
@@ -391,7 +443,7 @@ def staged_quarantine(policy):
     def build(spark, sf_dir):
         df, shape = defect_orders(spark, sf_dir), contract(policy)
         dups = all_duplicates(nonnull_base(df, shape), shape)
-        return df, merge_reasons([invalid_records(df, shape), null_key_records(df, shape), dups], IDS)
+        return df, merge_reasons([invalid_records(df, shape), null_key_records(df, shape), dups], "rid")
 
     return build
 
@@ -496,6 +548,19 @@ def dual_write_roundtrip(spark, sf_dir):
     return good_side.unionByName(bad_side)
 
 
+def dual_write_bucketed(spark, sf_dir):
+    """The cleansing job over a bucketed table, by the plan for large tables with few repeated keys."""
+    schema = scratch_schema(spark)
+    rows = defect_orders(spark, sf_dir).drop("rid")
+    rows.write.bucketBy(7, "order_id").sortBy("status").saveAsTable(f"{schema}.raw")
+    shape = contract("pass", typed=False).with_options(row_id="_sk")
+    tables = {"source": f"{schema}.raw", "good_table": f"{schema}.good", "bad_table": f"{schema}.bad"}
+    clean_rows, bad_rows = CleanseJob(spark, "orders", shape, **tables, **FEW_REPEATED).run()
+    good_side = clean_rows.select(F.lit("good").alias("side"), *COLUMNS, F.lit("").alias("reason"))
+    # Which copy is the first depends on where rows lie, so copies are told apart by their number only.
+    return good_side.unionByName(listed(bad_rows).select(F.lit("bad").alias("side"), *COLUMNS, "reason"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "table_scan": table_scan,
@@ -503,6 +568,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "schema_projection": schema_projection,
         "limit_preview": limit_preview,
         "csv_scan": csv_scan,
+        "csv_scan_many_files": csv_scan_many_files,
         "csv_scan_declared_columns": csv_scan_declared_columns,
         "detected_format_scan": detected_format_scan,
         "lineage_columns": lineage_columns,
@@ -514,6 +580,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "format_flags_null_pass": format_flags("pass"),
         "format_flags_null_flag": format_flags("flag"),
         "format_flags_lineitem": format_flags_lineitem,
+        "typed_format_flags": typed_format_flags,
         "strict_format_flags": strict_format_flags,
         "flagged_rows_filter": flagged_rows_filter,
         "invalid_records_pass": invalid("pass"),
@@ -523,6 +590,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nonnull_base": base_of_defects,
         "nonnull_base_anti_join": base_by_anti_join,
         "row_number_all_columns": row_number_all_columns,
+        "later_copies": later_copies,
         "row_number_documents": row_number_documents,
         "row_number_parts_sliced": row_number_parts_sliced,
         "count_over_key": count_over_key,
@@ -535,6 +603,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_duplicates_documents": key_duplicates_documents,
         "all_duplicates_by_name": all_dups(True),
         "all_duplicates_by_position": all_dups(False),
+        "all_duplicates_in_one_pass": all_duplicates_in_one_pass,
         "melt_flags": melted_flags,
         "collect_reasons": collected_reasons,
         "reasons_by_naming_convention": reasons_by_naming_convention,
@@ -551,6 +620,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantine_events_by_type": quarantine_events_by_type,
         "good_typed": good_typed,
         "good_untyped": good_untyped,
+        "dual_write_bucketed": dual_write_bucketed,
         "dual_write_roundtrip": dual_write_roundtrip,
         "reason_counts": counted_reasons(defect_shape),
         "reason_counts_lineitem": counted_reasons(lineitem_rows),

@@ -1,13 +1,19 @@
 from rowgate.operators.duplicates import (
     all_duplicates,
     copy_numbers,
-    first_copies,
     key_counts,
     key_duplicates,
     row_duplicates,
 )
-from rowgate.operators.projection import select_data, typed, with_flags, with_row_id
-from rowgate.operators.reasons import collect_reasons, flagged_records, melt_flags, merge_reasons, split_columns
+from rowgate.operators.marking import first_copies, mark_duplicates
+from rowgate.operators.projection import select_data, typed, with_file_row_id, with_flags, with_row_id
+from rowgate.operators.reasons import (
+    collect_reasons,
+    flagged_records,
+    melt_flags,
+    merge_reasons,
+    union_records,
+)
 from rowgate.operators.records import (
     good_records,
     invalid_records,
@@ -26,6 +32,7 @@ __all__ = [
     "invalid_records",
     "key_counts",
     "key_duplicates",
+    "mark_duplicates",
     "melt_flags",
     "merge_reasons",
     "nonnull_base",
@@ -33,8 +40,9 @@ __all__ = [
     "row_duplicates",
     "rows_without",
     "select_data",
-    "split_columns",
     "typed",
+    "union_records",
+    "with_file_row_id",
     "with_flags",
     "with_row_id",
 ]

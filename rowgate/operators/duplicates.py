@@ -1,8 +1,7 @@
 """Copies of whole rows and rows that share a key, safe for groups of any size.
 
-A copy group or a key may hold a large part of the table, so nothing here puts a whole group
-into one task: the record sets come from aggregates that combine before the shuffle and from
-joins on the unique row number, and the two numbering operators cut large groups into slices.
+The record sets filter rows that ``marking`` has flagged in one pass, and the two numbering
+operators cut groups that are too large for one task into slices.
 All functions take rows whose key is whole (``nonnull_base``).
 """
 
@@ -16,7 +15,8 @@ from pyspark.sql import functions as F
 
 from rowgate.contract import DUP_KEY, DUP_ROW, REASON, Contract
 from rowgate.functions import column
-from rowgate.operators.records import rows_without
+from rowgate.operators.marking import BROADCAST_ROWS, mark_duplicates
+from rowgate.staging import Staging
 
 # A group of more rows than this is cut into slices; row numbers are unique, so a slice of
 # 2**SLICE_BITS consecutive numbers holds at most that many rows.
@@ -34,49 +34,27 @@ _COUNT = "_rowgate_count"
 _BEFORE = "_rowgate_before"
 
 
-def first_copies(df: DataFrame, contract: Contract) -> DataFrame:
-    """One row per distinct tuple of the data columns (null equals null): the lowest numbered copy."""
-    return (
-        df.groupBy(*map(column, contract.data_columns))
-        .agg(F.min(column(contract.row_id)).alias(contract.row_id))
-        .select(*map(column, [contract.row_id, *contract.data_columns]))
-    )
-
-
-def lone_copies(firsts: DataFrame, contract: Contract) -> DataFrame:
-    """Row numbers of those first copies whose key no other tuple has."""
-    return (
-        firsts.groupBy(*map(column, contract.key))
-        .agg(F.min(column(contract.row_id)).alias(contract.row_id), F.count(F.lit(1)).alias(_COUNT))
-        .where(F.col(_COUNT) == 1)
-        .select(column(contract.row_id))
-    )
-
-
-def row_duplicates(df: DataFrame, contract: Contract) -> DataFrame:
+def row_duplicates(df: DataFrame, contract: Contract, staging: Staging | None = None) -> DataFrame:
     """Every copy of a row but the first."""
-    later = rows_without(df, first_copies(df, contract), contract.row_id)
-    return _records(later, contract, DUP_ROW)
+    marked, _ = mark_duplicates(df, contract, staging)
+    return _records(marked.where(DUP_ROW), contract)
 
 
-def key_duplicates(df: DataFrame, contract: Contract) -> DataFrame:
+def key_duplicates(df: DataFrame, contract: Contract, staging: Staging | None = None) -> DataFrame:
     """Without the later copies: all rows of a key that still has more than one. None survives."""
-    firsts = first_copies(df, contract)
-    clashing = rows_without(firsts, lone_copies(firsts, contract), contract.row_id)
-    return _records(clashing, contract, DUP_KEY)
+    marked, _ = mark_duplicates(df, contract, staging)
+    return _records(marked.where(DUP_KEY), contract)
 
 
-def all_duplicates(df: DataFrame, contract: Contract, by_name: bool = True) -> DataFrame:
-    """Row and key duplicates together; no row is in both."""
-    rows, keys = row_duplicates(df, contract), key_duplicates(df, contract)
-    return rows.unionByName(keys) if by_name else rows.union(keys)
+def all_duplicates(df: DataFrame, contract: Contract, staging: Staging | None = None) -> DataFrame:
+    """Row and key duplicates together, in one pass; no row is in both."""
+    marked, _ = mark_duplicates(df, contract, staging)
+    return _records(marked.where(F.col(DUP_ROW) | F.col(DUP_KEY)), contract)
 
 
-def _records(df: DataFrame, contract: Contract, reason: str) -> DataFrame:
-    return df.select(
-        *map(column, [contract.row_id, *contract.data_columns]),
-        F.array(F.lit(reason)).alias(REASON),
-    )
+def _records(marked: DataFrame, contract: Contract) -> DataFrame:
+    reason = F.when(F.col(DUP_ROW), DUP_ROW).otherwise(DUP_KEY)
+    return marked.select(*map(column, [contract.row_id, *contract.data_columns]), F.array(reason).alias(REASON))
 
 
 def copy_numbers(
@@ -88,14 +66,17 @@ def copy_numbers(
 ) -> DataFrame:
     """Add ``rn``: 1, 2, 3 ... within each group of equal ``columns``, in ``row_id`` order.
 
-    Needs unique, non-negative row numbers. A group of up to 2**slice_bits rows is numbered by
-    one window. A larger one is numbered slice by slice, each slice starting after the rows
-    counted in the slices before it.
+    Needs unique, non-negative row numbers. Groups are counted by hash first. If none has over
+    2**slice_bits rows, one window numbers them all. A larger group is numbered slice by slice,
+    each slice starting after the rows counted in the slices before it.
     """
     group = [column(name) for name in columns]
     number = column(row_id)
-    large = _large_groups(df, group, 1 << slice_bits).select(_HASH, F.lit(True).alias(_LARGE))
-    rows = df.withColumn(_HASH, F.xxhash64(*group)).join(F.broadcast(large), _HASH, "left")
+    large, some = _large_groups(df, group, 1 << slice_bits)
+    if not some:
+        return df.withColumn(NUMBER, F.row_number().over(W.partitionBy(*group).orderBy(number)).cast("long"))
+    large = large.select(_HASH, F.lit(True).alias(_LARGE))
+    rows = df.withColumn(_HASH, F.xxhash64(*group)).join(_small(large, some), _HASH, "left")
     rows = rows.withColumn(_SLICE, F.when(F.col(_LARGE), F.shiftright(number, slice_bits)).otherwise(-1))
     slices = rows.where(F.col(_LARGE)).groupBy(*group, _SLICE).agg(F.count(F.lit(1)).alias(_COUNT))
     heads = _counted_before(
@@ -119,15 +100,17 @@ def key_counts(
 ) -> DataFrame:
     """Add ``rn``: how many rows share the row's ``key``.
 
-    A key of up to ``large_rows`` rows is counted by one window. A larger one is counted by an
-    aggregate, and its total is handed to as many slices of its rows as it takes to keep each
+    Keys are counted by hash first. If none has over ``large_rows`` rows, one window counts them
+    all. A larger key is counted by an aggregate, and its total is handed to as many slices of its rows as it takes to keep each
     near ``large_rows``.
     """
     group = [column(name) for name in key]
     number = column(row_id)
-    large = _large_groups(df, group, large_rows)
+    large, some = _large_groups(df, group, large_rows)
+    if not some:
+        return df.withColumn(NUMBER, F.count(F.lit(1)).over(W.partitionBy(*group)))
     large = large.select(_HASH, F.ceil(F.col(_COUNT) / large_rows).alias(_SLICES))
-    rows = df.withColumn(_HASH, F.xxhash64(*group)).join(F.broadcast(large), _HASH, "left")
+    rows = df.withColumn(_HASH, F.xxhash64(*group)).join(_small(large, some), _HASH, "left")
     any_slice = F.pmod(F.xxhash64(number), F.col(_SLICES))
     rows = rows.withColumn(_SLICE, F.when(F.col(_SLICES).isNotNull(), any_slice).otherwise(-1))
     totals = (
@@ -147,14 +130,16 @@ def key_counts(
     )
 
 
-def _large_groups(df: DataFrame, group: Sequence[Column], rows: int) -> DataFrame:
-    """Hashes of the groups with more than ``rows`` rows, and how many rows they have.
-
-    A table of N rows has fewer than N / ``rows`` of them, two numbers each, so the result is
-    safe to broadcast: about 16 MB for 10**12 rows and 2**20 rows a group.
-    """
+def _large_groups(df: DataFrame, group: Sequence[Column], rows: int) -> tuple[DataFrame, int]:
+    """Hashes of the groups with more than ``rows`` rows and how many rows they have; and their number."""
     hashes = df.select(F.xxhash64(*group).alias(_HASH))
-    return hashes.groupBy(_HASH).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > rows)
+    large = hashes.groupBy(_HASH).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > rows)
+    return large, large.count()
+
+
+def _small(large: DataFrame, some: int) -> DataFrame:
+    """``large`` to be broadcast if its ``some`` rows of two numbers are few enough, else joined by a shuffle."""
+    return F.broadcast(large) if some <= BROADCAST_ROWS else large.hint("merge")
 
 
 def _counted_before(counts: DataFrame, columns: Sequence[str], bits: int, slice_bits: int) -> DataFrame:

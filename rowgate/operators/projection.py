@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from rowgate.contract import UNCHECKED_TYPE, Contract
 from rowgate.functions import column
 
+# Files whose paths fit a broadcast, and rows a file may have.
+MOST_FILES = 100_000
+FILE_ROW_BITS = 40
+
+_FILE = "_rowgate_file"
+_PLACE = "_rowgate_place"
+_BEGIN = "_rowgate_begin"
+
 
 def select_data(df: DataFrame, contract: Contract) -> DataFrame:
     """The declared columns, in declared order."""
@@ -17,11 +25,10 @@ def select_data(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def with_row_id(df: DataFrame, contract: Contract) -> DataFrame:
-    """A unique row number in front of the declared columns.
+    """A unique row number in front of the declared columns: the row's place in its input partition.
 
-    The number is the row's place in its input partition, so it repeats from run to run for a
-    file or table scan, whose partitions are fixed by the files, and must sit right above it.
-    For any other input, keep the numbered rows (``Staging.keep``) before reading them twice.
+    How a scan is cut into partitions depends on the plan around it, so the number does too. Keep
+    the numbered rows (``Staging.keep``) before reading them twice, or use ``with_file_row_id``.
     """
     return df.select(
         F.monotonically_increasing_id().alias(contract.row_id),
@@ -29,6 +36,25 @@ def with_row_id(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def with_file_row_id(df: DataFrame, contract: Contract, most_files: int = MOST_FILES) -> DataFrame | None:
+    """A unique row number in front of the declared columns: the row's file and its place in that file.
+
+    It is the same in every plan, however the scan is cut or bucketed. ``df`` must still be a scan of
+    parquet files, which number their rows. The files are numbered in the order of their paths, by a
+    broadcast join; None if there are over ``most_files`` of them.
+    """
+    path = F.col("_metadata.file_path")
+    files = sorted(row[0] for row in df.select(path).distinct().limit(most_files + 1).collect())
+    if len(files) > most_files:
+        return None
+    begins = [(name, number << FILE_ROW_BITS) for number, name in enumerate(files)]
+    numbers = df.sparkSession.createDataFrame(begins, f"{_FILE} string, {_BEGIN} long")
+    placed = df.select(path.alias(_FILE), F.col("_metadata.row_index").alias(_PLACE), *map(column, contract.data_columns))
+    return placed.join(F.broadcast(numbers), _FILE).select(
+        (F.col(_BEGIN) + F.col(_PLACE)).alias(contract.row_id), *map(column, contract.data_columns)
+    )
+
+
 def with_flags(df: DataFrame, flags: Mapping[str, Column]) -> DataFrame:
     """Add all flags in one projection."""
     return df.withColumns(dict(flags)) if flags else df

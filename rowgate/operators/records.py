@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
 
-from rowgate.contract import Contract
-from rowgate.functions import column, has_key, invalid_flags, null_flags
-from rowgate.operators.projection import with_flags
-from rowgate.operators.reasons import flagged_records
+from pyspark.sql import Column, DataFrame
+
+from rowgate.contract import REASON, Contract
+from rowgate.functions import any_flag, column, has_key, invalid_flags, null_flags, reason_array
 
 
 def invalid_records(df: DataFrame, contract: Contract) -> DataFrame:
     """Rows that break a format rule, with one reason per broken column."""
-    flags = invalid_flags(contract)
-    return with_flags(df, flags).transform(flagged_records, _ids(contract), list(flags))
+    return _failing(df, contract, invalid_flags(contract))
 
 
 def null_key_records(df: DataFrame, contract: Contract) -> DataFrame:
     """Rows with a null in the key, with one reason per null key column."""
-    flags = null_flags(contract.key)
-    return with_flags(df, flags).transform(flagged_records, _ids(contract), list(flags))
+    return _failing(df, contract, null_flags(contract.key))
+
+
+def _failing(df: DataFrame, contract: Contract, flags: Mapping[str, Column]) -> DataFrame:
+    """The rows with any true flag and the names of those: decided on the row alone, without a shuffle."""
+    ids = map(column, [contract.row_id, *contract.data_columns])
+    return df.where(any_flag(list(flags.values()))).select(*ids, reason_array(flags).alias(REASON))
 
 
 def rows_without(df: DataFrame, taken: DataFrame, row_id: str) -> DataFrame:
@@ -39,6 +43,3 @@ def good_records(df: DataFrame, bad: DataFrame, contract: Contract) -> DataFrame
     """The rows no check has failed, still raw."""
     return rows_without(df, bad, contract.row_id)
 
-
-def _ids(contract: Contract) -> list[str]:
-    return [contract.row_id, *contract.data_columns]

@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from rowgate.contract import Contract
+from rowgate.functions import any_flag, uncastable
 from rowgate.operators import (
     all_duplicates,
     good_records,
@@ -16,7 +18,9 @@ from rowgate.operators import (
     merge_reasons,
     nonnull_base,
     null_key_records,
+    select_data,
     typed,
+    with_file_row_id,
     with_row_id,
 )
 from rowgate.plans import scoring
@@ -29,7 +33,7 @@ from rowgate.sources import (
     with_load_time,
     write_table,
 )
-from rowgate.staging import Staging, fixed_splits
+from rowgate.staging import Staging
 
 
 @dataclass
@@ -104,12 +108,25 @@ class CleanseJob:
             raise ValueError("source, good and bad tables must be three different tables")
 
     def read(self) -> DataFrame:
-        """The declared columns of the raw table behind a unique row number.
+        """The declared columns of the raw table behind a unique row number, the same in every plan.
 
-        Run stages that share these rows inside ``fixed_splits``, as ``run`` does, so that each
-        of them sees the same numbers.
+        Rows of a stored parquet table are numbered by file and place in the file, also if it is
+        bucketed or partitioned. Rows of any other source are numbered once and written down.
         """
-        return with_row_id(read_table(self.spark, self.source), self.contract)
+        return self._numbered(Staging(self.spark))
+
+    def _numbered(self, staging: Staging) -> DataFrame:
+        rows = read_table(self.spark, self.source)
+        if self.spark.catalog.getTable(self.source).tableType in ("MANAGED", "EXTERNAL"):
+            try:
+                rows.select("_metadata.row_index")
+            except AnalysisException:
+                pass  # files of a format that does not number its rows
+            else:
+                numbered = with_file_row_id(rows, self.contract)
+                if numbered is not None:
+                    return numbered
+        return staging.keep(with_row_id(rows, self.contract), "rows")
 
     def invalid(self, df: DataFrame) -> DataFrame:
         return invalid_records(df, self.contract)
@@ -121,8 +138,7 @@ class CleanseJob:
         return all_duplicates(nonnull_base(df, self.contract), self.contract)
 
     def quarantine(self, invalid: DataFrame, null_key: DataFrame, duplicates: DataFrame) -> DataFrame:
-        ids = [self.contract.row_id, *self.contract.data_columns]
-        return merge_reasons([invalid, null_key, duplicates], ids)
+        return merge_reasons([invalid, null_key, duplicates], self.contract.row_id)
 
     def good(self, df: DataFrame, bad: DataFrame) -> DataFrame:
         return good_records(df, bad, self.contract)
@@ -138,35 +154,34 @@ class CleanseJob:
     def run(self) -> tuple[DataFrame, DataFrame]:
         """Score the raw table, write quarantine first and then the clean rows; return both tables.
 
-        In that order a fault between the two writes never shows clean data whose quarantine is
-        missing.
+        If a good value cannot be cast, a ValueError says so before either table is touched. After
+        any other fault before the first write both tables are as they were; after one between the
+        writes quarantine is new and the clean table old; a table whose own write fails has to be
+        written again, by a new run.
         """
-        staging = Staging(self.spark)
-        try:
-            with fixed_splits(self.spark):
-                rows = self.read()
-                if not self._scans_repeat():
-                    rows = staging.keep(rows, "rows")
-                scored = scoring.score(
-                    rows,
-                    self.contract,
-                    staging,
-                    window_rows=self.window_rows,
-                    broadcast_rows=self.broadcast_rows,
-                    bitmap_rows=self.bitmap_rows,
-                    read_twice=True,
-                )
-                self.load_bad(scoring.bad(scored, self.contract))
-                self.load_good(scoring.good(scored, self.contract))
-        finally:
-            staging.clear()
+        with Staging(self.spark) as staging:
+            scored = scoring.score(
+                self._numbered(staging),
+                self.contract,
+                staging,
+                window_rows=self.window_rows,
+                broadcast_rows=self.broadcast_rows,
+                bitmap_rows=self.bitmap_rows,
+                read_twice=True,
+            )
+            good_rows = scoring.good(scored, self.contract)
+            self._check_casts(good_rows)
+            self.load_bad(scoring.bad(scored, self.contract))
+            self.load_good(good_rows)
         return read_table(self.spark, self.good_table), read_table(self.spark, self.bad_table)
 
-    def _scans_repeat(self) -> bool:
-        """True if every scan of the source meets the same rows in the same order.
-
-        A stored table is listed once, when ``read`` resolves it. A view may shuffle, and a
-        partitioned table is listed anew by each scan, so their numbered rows are kept first.
-        """
-        stored = self.spark.catalog.getTable(self.source).tableType in ("MANAGED", "EXTERNAL")
-        return stored and not any(c.isPartition for c in self.spark.catalog.listColumns(self.source))
+    def _check_casts(self, good_rows: DataFrame) -> None:
+        """Stops for a good value that the write would stop for: not with a strict contract, nor without ANSI mode."""
+        ansi = self.spark.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
+        if not self.contract.typed or self.contract.strict or not ansi:
+            return
+        flags = uncastable(self.contract)
+        if flags:
+            found = select_data(good_rows.where(any_flag(list(flags.values()))), self.contract).first()
+            if found:
+                raise ValueError(f"a good row cannot be cast to the declared types: {found.asDict()}")

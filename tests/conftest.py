@@ -27,48 +27,47 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-# The sample shop file: line number -> (row, reasons when nulls pass the format check).
-# Lines not listed are the clean rows 101..130 (shop and branch numbered from 1) and 141..145.
-SAMPLE_DAY = "2025-11-21"
-SAMPLE_TAIL = {
-    32: (None, "valen", "bangyai", SAMPLE_DAY),
-    33: (None, "bank", "bangyai", SAMPLE_DAY),
-    34: (None, "poy", "rangsit", SAMPLE_DAY),
-    35: ("x", "jib", "ramintra", SAMPLE_DAY),
-    36: ("y", "guy", "siam", SAMPLE_DAY),
-    37: ("110", "lek", "wongwian_yai", "20251121"),
-    38: ("115", "piti", "pharam2", "20251121"),
-    39: ("108", "bank", None, SAMPLE_DAY),
-    40: ("114", "orn", None, SAMPLE_DAY),
-    41: ("105", "jib", "ramintra", SAMPLE_DAY),
-    42: ("105", "jib", "ramintra", SAMPLE_DAY),
-    43: ("106", "john", "ramintra", SAMPLE_DAY),
-    44: ("106", "view", "ramintra", SAMPLE_DAY),
-    45: ("141", "peter", "satupardit", SAMPLE_DAY),
-    46: ("142", "456", "sathu", SAMPLE_DAY),
-    47: ("143", "789", "ratchada", SAMPLE_DAY),
-    48: ("144", "daily", "siam", SAMPLE_DAY),
-    49: ("145", "fresh", "silom", SAMPLE_DAY),
-}
-SAMPLE_REASONS = {
-    **{line: {"_is_dup_key"} for line in (6, 7, 9, 11, 15, 16, 39, 40, 41, 43, 44)},
-    **{line: {"_is_shop_id_null"} for line in (32, 33, 34)},
-    **{line: {"_is_shop_id_invalid"} for line in (35, 36)},
-    **{line: {"_is_file_dt_invalid", "_is_dup_key"} for line in (37, 38)},
-    42: {"_is_dup_row"},
-}
+# A landing file of depots, one row class after another: how many rows, their fields, their reasons
+# when nulls pass the format check. ``{n}`` is the row's place in its class.
+SAMPLE_DAY = "2024-02-29"
+SAMPLE_CLASSES = [
+    (17, ("{n}1", "depot {n}", "dock {n}", SAMPLE_DAY), set()),  # sound
+    (3, ("{n}1", "second name", "dock {n}", SAMPLE_DAY), {"_is_dup_key"}),  # keys of the first three again
+    (2, (None, "no id {n}", "dock", SAMPLE_DAY), {"_is_depot_id_null"}),
+    (2, ("A-{n}", "letters", "dock", SAMPLE_DAY), {"_is_depot_id_invalid"}),
+    (1, ("9000", "short day", "dock", "240229"), {"_is_opened_invalid"}),
+    (1, ("51", "short day", None, "240229"), {"_is_opened_invalid", "_is_dup_key"}),
+    (1, ("61", None, None, SAMPLE_DAY), {"_is_dup_key"}),  # a null in an unchecked column
+    (2, ("7000", "twin", "dock", SAMPLE_DAY), set()),  # a copy: the second one is marked below
+    (12, ("80{n}", "8{n}", "007", SAMPLE_DAY), set()),  # digits in unchecked columns
+]
+CLASHING = range(6)  # the first rows of the first class share their key with later ones
+
+
+def _sample():
+    rows, reasons = [], {}
+    for count, fields, marks in SAMPLE_CLASSES:
+        for n in range(count):
+            if marks:
+                reasons[len(rows)] = set(marks)
+            rows.append(tuple(f.format(n=n + 1) if f else None for f in fields))
+    twins = [i for i, row in enumerate(rows) if row[0] == "7000"]
+    reasons[twins[1]] = {"_is_dup_row"}
+    for i in CLASHING:
+        if rows[i][0] in {row[0] for row in rows[17:]}:
+            reasons[i] = {"_is_dup_key"}
+    return rows, reasons
 
 
 @pytest.fixture(scope="session")
 def sample_rows():
-    head = [(str(100 + i), f"shop{i}", f"branch{i}", SAMPLE_DAY) for i in range(1, 31)]
-    return head + [SAMPLE_TAIL[line] for line in sorted(SAMPLE_TAIL)]
+    return _sample()[0]
 
 
 @pytest.fixture(scope="session")
 def sample_file(tmp_path_factory, sample_rows):
-    path = tmp_path_factory.mktemp("landing") / "shops.csv"
-    lines = ["shop_id|shop_name|branch_name|file_dt"]
+    path = tmp_path_factory.mktemp("landing") / "depots.csv"
+    lines = ["depot_id|depot_name|dock|opened"]
     lines += ["|".join(value or "" for value in row) for row in sample_rows]
     path.write_text("\n".join(lines))
     return str(path)
@@ -76,15 +75,15 @@ def sample_file(tmp_path_factory, sample_rows):
 
 @pytest.fixture(scope="session")
 def sample_columns():
-    return {"shop_id": "int", "shop_name": "string", "branch_name": "string", "file_dt": "date"}
+    return {"depot_id": "int", "depot_name": "string", "dock": "string", "opened": "date"}
 
 
 @pytest.fixture(scope="session")
 def sample_reasons():
-    """Row number (line - 2) -> reasons, for each null policy."""
-    passing = {line - 2: reasons for line, reasons in SAMPLE_REASONS.items()}
+    """Row number -> reasons, for each null policy."""
+    passing = _sample()[1]
     flagged = {
-        number: reasons | {"_is_shop_id_invalid"} if "_is_shop_id_null" in reasons else reasons
+        number: reasons | {"_is_depot_id_invalid"} if "_is_depot_id_null" in reasons else reasons
         for number, reasons in passing.items()
     }
     return {"pass": passing, "flag": flagged}

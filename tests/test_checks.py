@@ -12,6 +12,7 @@ from rowgate.contract import DATE_RULE, INT_RULE
 from rowgate.functions import any_flag, fails_format, invalid_flags, reason_array
 from rowgate.operators import (
     all_duplicates,
+    collect_reasons,
     copy_numbers,
     flagged_records,
     good_records,
@@ -25,9 +26,10 @@ from rowgate.operators import (
     row_duplicates,
     rows_without,
     typed,
+    union_records,
     with_flags,
 )
-from rowgate.plans.scoring import _mark_maybe_repeated, _repeated_hashes
+from rowgate.operators.marking import _mark_maybe_repeated, _repeated_hashes
 
 PATHS = {
     "windows": {},
@@ -76,6 +78,8 @@ def test_strict_calls_uncastable_values_invalid(spark):
     found = reasons(score(frame(spark, rows), strict), strict)
     assert found == {1: ["_is_k_invalid"], 2: ["_is_day_invalid"], 3: ["_is_day_invalid"], 4: []}
     assert typed(good(score(frame(spark, rows), strict), strict), strict).dtypes[0] == ("k", "int")
+    tail = frame(spark, [(1, "1\n", "a", DAY), (2, "2", "a", "xx" + DAY)])
+    assert reasons(score(tail, strict), strict) == {1: ["_is_k_invalid"], 2: ["_is_day_invalid"]}
     with pytest.raises(PySparkException):
         typed(good(score(frame(spark, rows), loose), loose), loose).collect()
 
@@ -134,8 +138,8 @@ def test_every_way_gives_the_same_split(spark, name):
     base = nonnull_base(df, contract)
     assert base.count() == rows_without(df, null_records, contract.row_id).count()
     dups = all_duplicates(base, contract)
-    ids = [contract.row_id, *contract.data_columns]
-    merged = merge_reasons([invalid_records(df, contract), null_records, dups], ids)
+    merged = merge_reasons([invalid_records(df, contract), null_records, dups], contract.row_id)
+    assert merged.columns == [contract.row_id, *contract.data_columns, "reason"]
     assert as_sets(reasons(merged, contract)) == {n: r for n, r in expected.items() if r}
     left = good_records(df, merged, contract)
     assert {r[0] for r in left.collect()} == {n for n, r in expected.items() if not r}
@@ -194,8 +198,11 @@ def test_duplicate_record_sets(spark):
     df = frame(spark, rows)
     assert reasons(row_duplicates(df, SHAPE)) == {2: ["_is_dup_row"], 5: ["_is_dup_row"]}
     assert reasons(key_duplicates(df, SHAPE)) == {1: ["_is_dup_key"], 3: ["_is_dup_key"]}
+    both = {**reasons(row_duplicates(df, SHAPE)), **reasons(key_duplicates(df, SHAPE))}
+    assert reasons(all_duplicates(df, SHAPE)) == both
     for by_name in (True, False):
-        assert set(reasons(all_duplicates(df, SHAPE, by_name))) == {1, 2, 3, 5}
+        parts = [row_duplicates(df, SHAPE), key_duplicates(df, SHAPE)]
+        assert reasons(union_records(parts, by_name)) == both
 
 
 @pytest.mark.parametrize("slice_bits, row_id_bits", [(20, 63), (2, 8), (4, 20)])
@@ -237,8 +244,12 @@ def test_melt_keeps_true_flags_only(spark):
     melted = melt_flags(df, ["_sk"], list(flags), sort_by=["_sk"]).collect()
     assert sorted(map(tuple, melted)) == [(1, "_is_day_invalid"), (1, "_is_k_invalid"), (3, "_is_k_invalid")]
     assert [row["_sk"] for row in melted] == [1, 1, 3]
-    collected = flagged_records(df, ["_sk"], list(flags)).collect()
-    assert {r["_sk"]: sorted(r["reason"]) for r in collected} == {
-        1: ["_is_day_invalid", "_is_k_invalid"],
-        3: ["_is_k_invalid"],
-    }
+    for collected in (
+        flagged_records(df, ["_sk"], list(flags)),
+        collect_reasons(melt_flags(df, ["_sk"], list(flags)), "_sk"),
+        collect_reasons(melt_flags(df, ["_sk", "v"], list(flags)), "_sk").drop("v"),
+    ):
+        assert {r["_sk"]: sorted(r["reason"]) for r in collected.collect()} == {
+            1: ["_is_day_invalid", "_is_k_invalid"],
+            3: ["_is_k_invalid"],
+        }

@@ -7,8 +7,20 @@ from test_checks import SHAPE, skewed
 
 from rowgate import Contract, good, score
 from rowgate.functions import invalid_flags
-from rowgate.operators import first_copies, melt_flags, with_flags, with_row_id
-from rowgate.plans.scoring import _repeated_hashes
+from rowgate.operators import (
+    all_duplicates,
+    copy_numbers,
+    first_copies,
+    good_records,
+    invalid_records,
+    key_counts,
+    melt_flags,
+    merge_reasons,
+    null_key_records,
+    with_flags,
+    with_row_id,
+)
+from rowgate.operators.marking import _repeated_hashes
 
 SF = "/root/testdata/sf0.001"
 LINES = Contract(
@@ -105,3 +117,26 @@ def test_no_python_in_any_plan(lines):
     for sizes in ({}, {"window_rows": 0}):
         text = plan(score(lines, LINES, **sizes))
         assert "Python" not in text and "Arrow" not in text
+
+
+def test_row_local_records_do_not_shuffle(lines):
+    for records in (invalid_records, null_key_records):
+        text = plan(records(lines, LINES))
+        assert exchanges(text) == [] and text.count("FileScan") == 1
+
+
+def test_staged_records_take_few_scans_and_exchanges(lines):
+    parts = [invalid_records(lines, LINES), null_key_records(lines, LINES), all_duplicates(lines, LINES)]
+    merged = merge_reasons(parts, "_sk")
+    text = plan(merged)
+    assert len(exchanges(text)) == 2 and text.count("FileScan") == 3
+    assert not any("l_returnflag" in line for line in exchanges(text) if "_sk" in line.split("hashpartitioning")[1][:8])
+    text = plan(all_duplicates(lines, LINES))
+    assert len(exchanges(text)) == 1 and text.count("FileScan") == 1
+    assert "Join" in plan(good_records(lines, merged, LINES))
+
+
+def test_numbers_within_small_groups_take_one_window(lines):
+    for numbered in (copy_numbers(lines, ["l_orderkey"], "_sk"), key_counts(lines, ["l_orderkey"], "_sk")):
+        text = plan(numbered)
+        assert len(exchanges(text)) == 1 and text.count("FileScan") == 1 and "Join" not in text

@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from rowgate import CleanseJob, Contract, IngestJob, Staging, fixed_splits
 from rowgate.sources import detect_format, ensure_schema, preview, read_raw, read_table, with_load_time, write_table
@@ -48,6 +49,13 @@ def test_declared_columns_are_checked_against_headers(spark, tmp_path):
         read_raw(spark, str(tmp_path), "csv", columns=["a", "c"]).collect()
 
 
+def test_headers_in_another_order_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k|v\n1|x\n")
+    (tmp_path / "b.csv").write_text("v|k\ny|2\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        read_raw(spark, str(tmp_path), "csv").collect()
+
+
 def test_load_time(spark):
     moment = datetime.datetime(2025, 3, 4, 5, 6, 7)
     row = with_load_time(spark.range(1), "_", moment).first()
@@ -107,7 +115,6 @@ def test_cleanse_a_view_and_append(spark):
         bad_table="views.bad",
         mode="append",
     )
-    assert not job._scans_repeat()
     job.run()
     clean, quarantine = job.run()
     assert sorted(r["k"] for r in clean.collect()) == [1, 1, 2, 2]
@@ -128,12 +135,89 @@ def test_cleanse_a_partitioned_table(spark):
         bad_table="parts.bad",
         window_rows=0,
     )
-    assert not job._scans_repeat()
     clean, quarantine = job.run()
     assert sorted(r["k"] for r in clean.collect()) == ["2", "3"]
     assert quarantine.count() == 2
 
 
+REPEATED = Contract({"k": "int", "v": "string"}, ["k"], typed=False)
+
+
+def repeated_rows(spark, count):
+    """Of ``count`` rows one in a hundred is a copy, and one in a hundred shares its key with another."""
+    n = F.col("id")
+    key = F.when(n % 100 == 1, n - 1).when(n % 100 == 3, n - 1).otherwise(n)
+    value = F.when(n % 100 == 3, "other").otherwise("same")
+    return spark.range(0, count, 1, 8).select(key.cast("string").alias("k"), value.alias("v"))
+
+
+@pytest.mark.parametrize("kind", ["plain", "bucketed", "partitioned", "orc", "view"])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_every_source_gets_the_same_split_from_every_plan(spark, kind, broadcast):
+    schema = f"sources_{kind}_{broadcast}".lower()
+    ensure_schema(spark, schema)
+    rows, source = repeated_rows(spark, 6000), f"{schema}.raw"
+    if kind == "view":
+        rows.repartition(5, "v").createOrReplaceTempView(source := f"{schema}_raw")
+    elif kind == "bucketed":
+        rows.write.bucketBy(6, "k").saveAsTable(source)
+    elif kind == "partitioned":
+        rows.write.partitionBy("v").saveAsTable(source)
+    else:
+        rows.write.format("orc" if kind == "orc" else "parquet").saveAsTable(source)
+    expected = {"_is_dup_row": 60, "_is_dup_key": 120}
+    names = {"source": source, "good_table": f"{schema}.good", "bad_table": f"{schema}.bad"}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        if not broadcast:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        for sizes in ({}, {"window_rows": 1}, {"window_rows": 2, "broadcast_rows": 10}):
+            job = CleanseJob(spark, "p", REPEATED, **names, **sizes)
+            clean, bad = job.run()
+            assert {r["reason"][0]: r["count"] for r in bad.groupBy("reason").count().collect()} == expected
+            assert clean.count() == 6000 - 180
+        df = job.read()
+        quarantine = job.quarantine(job.invalid(df), job.null_key(df), job.duplicates(df))
+        assert {r["reason"][0]: r["count"] for r in quarantine.groupBy("reason").count().collect()} == expected
+        assert job.good(df, quarantine).count() == 6000 - 180
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_bucketed_table_beyond_the_default_limit(spark):
+    ensure_schema(spark, "beyond")
+    repeated_rows(spark, 1_200_000).write.bucketBy(8, "k").saveAsTable("beyond.raw")
+    names = {"source": "beyond.raw", "good_table": "beyond.good", "bad_table": "beyond.bad"}
+    _, bad = CleanseJob(spark, "p", REPEATED, **names).run()
+    assert {r["reason"][0]: r["count"] for r in bad.groupBy("reason").count().collect()} == {
+        "_is_dup_row": 12_000,
+        "_is_dup_key": 24_000,
+    }
+
+
+def test_a_value_that_cannot_be_cast_leaves_both_tables_alone(spark):
+    ensure_schema(spark, "casts")
+    shape = Contract({"k": "int", "day": "date"}, ["k"])
+    names = {"source": "casts.raw", "good_table": "casts.good", "bad_table": "casts.bad"}
+    for rows in ([("1", "2025-01-01"), ("x", "2025-01-01")], [("2", "2025-13-01"), ("y", "2025-01-01")]):
+        spark.createDataFrame(rows, "k string, day string").write.mode("overwrite").saveAsTable("casts.raw")
+        job = CleanseJob(spark, "p", shape, **names)
+        if rows[0][0] == "1":
+            job.run()
+        else:
+            with pytest.raises(ValueError, match="2025-13-01"):
+                job.run()
+    assert [r["k"] for r in read_table(spark, "casts.good").collect()] == [1]
+    assert [r["k"] for r in read_table(spark, "casts.bad").collect()] == ["x"]
+
+
+def test_staging_as_a_block(spark):
+    with Staging(spark) as staging:
+        assert staging.keep(spark.range(3), "three").count() == 3
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(staging.path("three"))
+
+
 def test_ingest_other_formats(spark, tmp_path):
     ensure_schema(spark, "landing")
     spark.createDataFrame([("1", "a")], "k string, v string").write.json(str(tmp_path / "shop.json"))
