@@ -58,16 +58,17 @@ ROLES = frozenset(
 )
 HINTED = frozenset("div section ul ol dl li p span table td aside details figure a small strong em ins center".split())
 HINTS = frozenset(
-    "ad ads adsense adslot adunit agegate banner banners byline consent copyright disclaimer disqus feedback gdpr ignore "
-    "legal login meta modal notice notices notification outbrain overlay pager pagination paywall popup print promo "
-    "promos recommended related rss search share sharing shares sharebar signin signup sitemap skip social submeta "
-    "subscribe subscription taboola tags teaser teasers toolbar topbar trending widget widgets".split()
+    "ad adbox ads adsense adslot adunit agegate alert alerts banner banners consent copyright disclaimer discussion "
+    "disqus dropdown feedback gdpr hamburger legal login modal notice notices notification outbrain overlay pager "
+    "pagination paywall popup promo promos promotion rail recommended related rss search share sharing shares sharebar "
+    "side signin signup sitemap social submenu subnav subscribe subscription taboola teaser teasers toolbar topbar topnav "
+    "trending warning widget widgets".split()
 )
 HINT_STARTS = (
     "advert", "breadcrumb", "comment", "cookie", "footer", "header", "masthead", "menu", "nav", "newsletter", "replies",
-    "reply", "respond", "sidebar", "sponsor",
+    "reply", "respond", "response", "sidebar", "sponsor",
 )
-NAMES = re.compile(r"[a-z0-9]+")
+NAMES = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 

@@ -38,6 +38,8 @@ def page(body):
         ("plain words only", "plain words only"),
         ("<article></article><p>outside</p>", ""),
         ("<ul><li><a href='/1'>menu one</a></li></ul><p>text with <a href='/2'>a link</a> inside it</p>", "text with a link inside it"),
+        ("<article><p class='byline'>By A</p><div class='ad1'>b</div><ul id='topNav'><li>m</ul><p>t</p></article>", "By A\nt"),
+        ("<div class='wrapper page-sidebar-layout'><article><p>t</p></article><div id='readerComments'>c</div></div>", "t"),
         ("<TITLE>t</TITLE><P>upper<SCRIPT>x</SCRIPT></P>", "upper"),
     ],
 )
