@@ -4,69 +4,141 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import islice
+from operator import eq
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import carried, staging_for, unpacked
+from rowgate.llm.common import carried, slices, staging_for, unpacked
 from rowgate.staging import Staging
 
 STATS = "__stats"
+LOT = 1 << 18
+SHORT, LONG = 3, 12
 Condition = tuple[str, str, float]
 
-# What is counted per character of the text, by Java pattern.
-PER_CHARACTER = {
-    "capitals": r"\p{Lu}",
-    "digits": r"\p{Nd}",
-    "symbols": r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()-]",
-    "exclaims": r"[!?]",
-    "stops": r"[.,;:]",
-    "spaces": r"\s",
-    "breaks": r"\n",
-}
-# What is counted per word.
-PER_WORD = {
-    "repeats": r"(?<!\S)(\S+)(?=\s\1(?!\S))",
-    "bars": r"\|",
-    "symbol_ends": r"[^\p{L}\p{N}\s.,;:!?'\"()-](?!\S)",
-    "exclaim_ends": r"[!?](?!\S)",
-    "short_words": r"(?<!\S)\S{1,3}(?!\S)",
-    "long_words": r"\S{12,}",
-    "capital_words": r"(?<!\S)\p{Lu}{2,}",
-}
-
-
-def _ratio(part: Column, whole: Column) -> Column:
-    return F.coalesce(part / F.nullif(whole, F.lit(0)), F.lit(0.0))
-
-
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text by name, all doubles; a null text counts as empty, where each is 0 or 1."""
-    text = F.coalesce(text.cast("string"), F.lit(""))
-    length, words = F.length(text), F.regexp_count(text, F.lit(r"\S+"))
-    found = {name: _ratio(F.regexp_count(text, F.lit(p)), length) for name, p in PER_CHARACTER.items()}
-    found |= {name: _ratio(F.regexp_count(text, F.lit(p)), words) for name, p in PER_WORD.items()}
-    found["length"] = F.log1p(length.cast("double"))
-    found["words"] = F.log1p(words.cast("double"))
-    found["word_length"] = _ratio(length, words)
-    split = F.split(text, r"\s+")
-    found["distinct_words"] = _ratio(F.size(F.array_distinct(split)), F.size(split))
-    lines = F.split(text, "\n")
-    found["distinct_lines"] = _ratio(F.size(F.array_distinct(lines)), F.size(lines))
-    return {name: value.cast("double") for name, value in found.items()}
+# Classes of characters; all others are letters and marks.
+CAPITAL, DIGIT, SPACE, BREAK, STOP, EXCLAIM, QUOTE, BAR, SYMBOL = range(1, 10)
+CLASSES = 10
+NAMES = (
+    "length", "words", "word_length", "distinct_words", "distinct_lines", "repeats", "short_words", "long_words",
+    "symbol_ends", "exclaim_ends", "capital_words", "bars", "capitals", "digits", "symbols", "exclaims", "stops",
+    "spaces", "breaks",
+)
+
+
+def _class_of(char: str) -> int:
+    if char == "\n":
+        return BREAK
+    if char in ".,;:":
+        return STOP
+    if char in "!?":
+        return EXCLAIM
+    if char in "'\"()-":
+        return QUOTE
+    if char == "|":
+        return BAR
+    if char.isspace():
+        return SPACE
+    kind = unicodedata.category(char)
+    return CAPITAL if kind == "Lu" else DIGIT if kind == "Nd" else 0 if kind[0] in "LMN" else SYMBOL
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """The class of each character of the basic plane; beyond it all count as symbols."""
+    table = np.full(1 << 16, SYMBOL, np.uint8)
+    for code in range(0xFFFF):
+        if not 0xD800 <= code < 0xE000:
+            table[code] = _class_of(chr(code))
+    return table
+
+
+def measure(texts: list[str]) -> np.ndarray:
+    """The statistics of each text, in the order of ``NAMES``; all are 0 or 1 for the empty text."""
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    out = np.zeros((len(texts), len(NAMES)))
+    for low, high in slices(lengths, LOT):
+        out[low:high] = _measured(texts[low:high], lengths[low:high])
+    return out
+
+
+def _measured(texts: list[str], lengths: np.ndarray) -> np.ndarray:
+    """Characters are counted over the joined texts, each closed by a space of its own."""
+    rows = len(texts)
+    codes = np.frombuffer(" ".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = _classes()[np.minimum(codes, 0xFFFF)]
+    ends = np.cumsum(lengths + 1) - 1
+    owner = np.repeat(np.arange(rows), lengths + 1)
+    counts = np.bincount(owner * CLASSES + kinds, minlength=rows * CLASSES).reshape(rows, CLASSES).astype(float)
+    counts[:, SPACE] -= 1
+    gap = (kinds == SPACE) | (kinds == BREAK)
+    first = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
+    last = np.flatnonzero(~gap[:-1] & gap[1:])
+    of_word, size = owner[first], last - first + 1
+    capital = (kinds[first] == CAPITAL) & (size > 1) & (kinds[np.minimum(first + 1, len(kinds) - 1)] == CAPITAL)
+    final = kinds[last]
+
+    def per_text(chosen: np.ndarray) -> np.ndarray:
+        return np.bincount(of_word[chosen], minlength=rows)
+
+    words = np.bincount(of_word, minlength=rows)
+    repeats, distinct, lines = np.zeros(rows), np.ones(rows), np.ones(rows)
+    for i, text in enumerate(texts):
+        parts = text.split()
+        if parts:
+            repeats[i] = sum(map(eq, parts, islice(parts, 1, None)))
+            distinct[i] = len(set(parts)) / len(parts)
+        split = text.split("\n")
+        lines[i] = len(set(split)) / len(split)
+    one, some = np.maximum(lengths, 1), np.maximum(words, 1)
+    found = {
+        "length": np.log1p(lengths),
+        "words": np.log1p(words),
+        "word_length": np.where(words > 0, lengths / some, 0),
+        "distinct_words": distinct,
+        "distinct_lines": lines,
+        "repeats": repeats / some,
+        "short_words": per_text(size <= SHORT) / some,
+        "long_words": per_text(size >= LONG) / some,
+        "symbol_ends": per_text((final == SYMBOL) | (final == BAR)) / some,
+        "exclaim_ends": per_text(final == EXCLAIM) / some,
+        "capital_words": per_text(capital) / some,
+        "bars": counts[:, BAR] / some,
+        "capitals": counts[:, CAPITAL] / one,
+        "digits": counts[:, DIGIT] / one,
+        "symbols": (counts[:, SYMBOL] + counts[:, BAR]) / one,
+        "exclaims": counts[:, EXCLAIM] / one,
+        "stops": counts[:, STOP] / one,
+        "spaces": (counts[:, SPACE] + counts[:, BREAK]) / one,
+        "breaks": counts[:, BREAK] / one,
+    }
+    return np.stack([found[name] for name in NAMES], axis=1)
+
+
+def statistics(text: Column) -> Column:
+    """The statistics of each whole text as a struct of doubles; a null text counts as empty."""
+
+    @F.arrow_udf(", ".join(f"{name} double" for name in NAMES))
+    def measured(texts: pa.Array) -> pa.Array:
+        table = measure(texts.to_pylist())
+        return pa.StructArray.from_arrays([pa.array(column) for column in table.T.copy()], names=list(NAMES))
+
+    return measured(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def with_statistics(frame: DataFrame, text: str) -> DataFrame:
-    """``frame`` with the statistics as the struct ``__stats`` in place of ``text``.
-
-    The one-row generator keeps filters on the score from being pushed below and computed twice.
-    """
-    made = F.struct(*[value.alias(name) for name, value in statistics(F.col(text)).items()])
+    """``frame`` with the statistics as the struct ``__stats`` in place of ``text``."""
     rest = [c for c in frame.columns if c != text]
-    return frame.select(*rest, F.explode(F.array(made)).alias(STATS))
+    return frame.select(*rest, statistics(F.col(text)).alias(STATS))
 
 
 @dataclass(frozen=True)
@@ -128,7 +200,7 @@ def train(
     ``learned`` is a condition on ``doc_id``. Several labels of an id are averaged (from a half on: 1);
     null labels and ids without a text row are left out. A random forest of shallow trees gives the
     rules, a lasso logistic regression their weights; rules of weight 0 are dropped. With one
-    class or none the model is constant.
+    class or none, or where no tree finds a split, the model is constant.
     """
     staging = staging_for(docs.sparkSession, staging)
     marked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).where(learned)
@@ -136,19 +208,23 @@ def train(
     chosen = averaged.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     texts = docs.select("doc_id", F.col("text").alias("__text")).join(F.broadcast(chosen), "doc_id")
     measured = with_statistics(texts, "__text")
-    names = list(statistics(F.lit("")))
+    names = list(NAMES)
     features = array_to_vector(F.array(*[F.col(f"{STATS}.{n}") for n in names]))
     rows = staging.keep(measured, "labelled").coalesce(1).sortWithinPartitions("doc_id", *[f"{STATS}.{n}" for n in names])
     frame = rows.select("label", STATS, features.alias("features")).cache()
     share = frame.agg(F.avg("label")).first()[0]
-    if share is None or share in (0.0, 1.0):
+    chance = 0.5 if share is None else share
+    constant = RuleModel(math.log((chance + 1e-3) / (1 - chance + 1e-3)), ())
+    if chance in (0.0, 1.0) or share is None:
         frame.unpersist()
-        chance = 0.5 if share is None else share
-        return RuleModel(math.log((chance + 1e-3) / (1 - chance + 1e-3)), ())
+        return constant
     forest = RandomForestClassifier(
         numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird", subsamplingRate=0.7, seed=17
     ).fit(frame)
     rules = sorted({rule for tree in forest.trees for rule in tree_rules(tree.toDebugString, names)})
+    if not rules:
+        frame.unpersist()
+        return constant
     held = F.array(*[_holds(rule).cast("double") for rule in rules])
     indicated = frame.select("label", array_to_vector(held).alias("features"))
     fitted = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60).fit(indicated)

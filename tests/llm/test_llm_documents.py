@@ -1,5 +1,6 @@
 """Operators on documents against brute force, and on edge cases."""
 
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -307,21 +308,48 @@ def test_quality_query_on_held_out_documents(spark):
     assert sum(r["predicted"] == labels[r["doc_id"]] for r in held) >= 0.95 * len(held)
 
 
-def test_statistics_by_brute_force(spark):
-    texts = ["A a a b | c|\nA a a b | c|\n12 %% !! x$$", None, "", "one", "  lead  twice twice\ntail "]
-    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, __text string")
-    rows = {r["doc_id"]: r["__stats"].asDict() for r in quality.with_statistics(frame, "__text").collect()}
-    for i, text in enumerate(texts):
-        text, words = text or "", (text or "").split()
-        n, w = len(text) or 1, len(words) or 1
-        found = rows[i]
-        assert found["capitals"] == pytest.approx(sum(c.isupper() for c in text) / n)
-        assert found["digits"] == pytest.approx(sum(c.isdigit() for c in text) / n)
-        assert found["bars"] == pytest.approx(text.count("|") / w)
-        assert found["word_length"] == pytest.approx(len(text) / w if words else 0)
-        lines = text.split("\n")
-        assert found["distinct_lines"] == pytest.approx(len(set(lines)) / len(lines))
-    assert rows[4]["repeats"] == pytest.approx(1 / 4)
+def brute_statistics(text):
+    """The statistics, a character and a word at a time."""
+    words, n, w = text.split(), max(1, len(text)), max(1, len(text.split()))
+    lines = text.split("\n")
+
+    def symbol(c):
+        return not (c.isspace() or c in ".,;:!?'\"()-" or unicodedata.category(c)[0] in "LMN" and ord(c) < 0xFFFF)
+
+    return {
+        "length": np.log1p(len(text)),
+        "words": np.log1p(len(words)),
+        "word_length": len(text) / w if words else 0,
+        "distinct_words": len(set(words)) / w if words else 1,
+        "distinct_lines": len(set(lines)) / len(lines),
+        "repeats": sum(a == b for a, b in zip(words, words[1:], strict=False)) / w,
+        "short_words": sum(len(x) <= 3 for x in words) / w,
+        "long_words": sum(len(x) >= 12 for x in words) / w,
+        "symbol_ends": sum(symbol(x[-1]) for x in words) / w,
+        "exclaim_ends": sum(x[-1] in "!?" for x in words) / w,
+        "capital_words": sum(len(x) > 1 and all(unicodedata.category(c) == "Lu" for c in x[:2]) for x in words) / w,
+        "bars": text.count("|") / w,
+        "capitals": sum(unicodedata.category(c) == "Lu" for c in text) / n,
+        "digits": sum(unicodedata.category(c) == "Nd" for c in text) / n,
+        "symbols": sum(map(symbol, text)) / n,
+        "exclaims": sum(c in "!?" for c in text) / n,
+        "stops": sum(c in ".,;:" for c in text) / n,
+        "spaces": sum(c.isspace() for c in text) / n,
+        "breaks": text.count("\n") / n,
+    }
+
+
+@pytest.mark.parametrize("lot", [1 << 18, 9])
+def test_statistics_by_brute_force(spark, monkeypatch, lot):
+    monkeypatch.setattr(quality, "LOT", lot)
+    random = Random(8)
+    texts = ["A a a b | c|\nA a a b | c|\n12 %% !! x$$", "", "one", "  lead  twice twice\ntail ", "\n", " "]
+    texts += ["".join(random.choices("abAB É ß 12.,!?|#\u00a0\n\t\U0001f600ٱ", k=random.randint(0, 40))) for _ in range(200)]
+    for text, row in zip(texts, quality.measure(texts), strict=True):
+        assert dict(zip(quality.NAMES, row, strict=True)) == pytest.approx(brute_statistics(text)), text
+    frame = spark.createDataFrame([(0, texts[0]), (1, None)], "doc_id long, __text string")
+    found = {r["doc_id"]: r["__stats"].asDict() for r in quality.with_statistics(frame, "__text").collect()}
+    assert found[0] == pytest.approx(brute_statistics(texts[0])) and found[1] == pytest.approx(brute_statistics(""))
 
 
 def test_rules_score_like_their_conditions(spark):
