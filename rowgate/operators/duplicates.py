@@ -101,8 +101,8 @@ def key_counts(
     """Add ``rn``: how many rows share the row's ``key``.
 
     Keys are counted by hash first. If none has over ``large_rows`` rows, one window counts them
-    all. A larger key is counted by an aggregate, and its total is handed to as many slices of its rows as it takes to keep each
-    near ``large_rows``.
+    all. A larger key is counted by an aggregate, and its total is handed to as many slices of its
+    rows as it takes to keep each near ``large_rows``.
     """
     group = [column(name) for name in key]
     number = column(row_id)
