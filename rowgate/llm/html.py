@@ -24,7 +24,7 @@ from rowgate.llm.urlfilter import host_and_path
 OPEN, ARTICLE, BOILERPLATE, OUTSIDE = "o", "a", "b", "x"
 RUN = 8
 PAGES = 3
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 4 << 20
 MOST_HOT = 50_000
 CUT = "\x1e"
 
