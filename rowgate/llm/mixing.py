@@ -14,7 +14,7 @@ from rowgate.llm.common import ROW, carried, sums_before, unpacked
 
 REST = -1
 MOST_UNITS = 100_000
-RUN = 4096
+RUN = 512
 
 
 def schedule(units: Mapping[int, int]) -> list[tuple[int, int, int]]:
