@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence, Sized
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,13 +68,13 @@ def binaries(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x if x is not None else b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Runs of neighbouring entries whose lengths sum to ``limit`` at most; a longer entry stands alone."""
+def lots(texts: Sequence[Sized], limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of neighbouring texts with lengths of ``limit`` at most together; a longer text stands alone."""
     start, held = 0, 0
-    for i, n in enumerate(lengths.tolist()):
+    for i, n in enumerate(map(len, texts)):
         if i > start and held + n > limit:
             yield start, i
             start, held = i, 0
         held += n
-    if start < len(lengths):
-        yield start, len(lengths)
+    if start < len(texts):
+        yield start, len(texts)

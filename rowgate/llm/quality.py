@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import carried, slices, staging_for, unpacked
+from rowgate.llm.common import carried, lots, staging_for, unpacked
 from rowgate.staging import Staging
 
 STATS = "__stats"
@@ -66,7 +66,7 @@ def measure(texts: list[str]) -> np.ndarray:
     """The statistics of each text, in the order of ``NAMES``; all are 0 or 1 for the empty text."""
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
     out = np.zeros((len(texts), len(NAMES)))
-    for low, high in slices(lengths, LOT):
+    for low, high in lots(texts, LOT):
         out[low:high] = _measured(texts[low:high], lengths[low:high])
     return out
 

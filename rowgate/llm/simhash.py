@@ -124,18 +124,20 @@ def _linker(distance: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         return np.concatenate(a), np.concatenate(b)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(cell: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+            both = [pa.array(x.view(np.int64)) for x in links(cell, fps)]
+            return pa.RecordBatch.from_arrays(both, names=["a", "b"])
+
         held_cell, held_fps = np.empty(0, np.int64), np.empty(0, np.uint64)
         for batch in batches:
             held_cell = np.concatenate((held_cell, batch.column("cell").to_numpy()))
             held_fps = np.concatenate((held_fps, batch.column("fp").to_numpy().view(np.uint64)))
             last = int(np.searchsorted(held_cell, held_cell[-1])) if len(held_cell) else 0
             if last:
-                a, b = links(held_cell[:last], held_fps[:last])
+                yield found(held_cell[:last], held_fps[:last])
                 held_cell, held_fps = held_cell[last:], held_fps[last:]
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
         if len(held_cell):
-            a, b = links(held_cell, held_fps)
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+            yield found(held_cell, held_fps)
 
     return rows
 
@@ -149,9 +151,10 @@ def linked_fingerprints(distinct: DataFrame, distance: int, cell: int = CELL) ->
     of its links, at most one row for each fingerprint, and not its pairs.
     """
     masks = key_masks(distinct.count(), distance)
-    keys = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bits")) for i, m in enumerate(masks)]))
-    keyed = distinct.select("fp", keys.alias("key")).select("fp", F.xxhash64("key.k", "key.bits").alias("key"))
-    large = keyed.groupBy("key").count().where(F.col("count") > cell).select("key", F.ceil(F.col("count") / cell).alias("parts"))
+    keys = [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)]
+    keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
+    large = keyed.groupBy("key").count().where(F.col("count") > cell)
+    large = large.select("key", F.ceil(F.col("count") / cell).alias("parts"))
     parted = keyed.join(large, "key", "left").withColumn("part", F.pmod(F.xxhash64("fp"), F.coalesce("parts", F.lit(1))))
     others = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1))
     celled = parted.withColumn("other", others).select(

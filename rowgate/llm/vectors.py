@@ -417,11 +417,10 @@ def near_duplicates(
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     groups = components(found.where("b IS NOT NULL").select("a", "b"), staging, "links")
     labelled = nodes.select("node", "low", "times", "hash", "vector").join(groups, "node", "left")
+    group, others = F.coalesce("component", "node"), F.col("times") - 1 + F.coalesce("n", F.lit(0))
+    counted = labelled.join(counts, "node", "left")
     labelled = staging.keep(
-        labelled.join(counts, "node", "left").select(
-            "hash", "vector", "low", F.coalesce("component", "node").alias("group"), (F.col("times") - 1 + F.coalesce("n", F.lit(0))).alias("n_links")
-        ),
-        "labelled",
+        counted.select("hash", "vector", "low", group.alias("group"), others.alias("n_links")), "labelled"
     )
     lowest = labelled.groupBy("group").agg(F.min("low").alias("component_id"))
     known = labelled.join(lowest, "group").select("hash", "vector", "n_links", "component_id")
