@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from html import unescape
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -254,25 +253,27 @@ def main_texts(pages: list[list[tuple[str, str]]], run: int = RUN, least_pages:
 
     The article, where there is one, even an empty one; else the open blocks, without those whose tokens all stand in
     repeated runs. If that leaves a page nothing, its open blocks stay: it is a copy, not boilerplate.
-    Pages with the same blocks count once.
+    Pages with the same words count once.
     """
     if not pages:
         return []
-    split = [[text.split(" ") for _, text in page] for page in pages]
-    _, first, copy_of = np.unique([CUT.join(t for _, t in page) for page in pages], return_index=True, return_inverse=True)
-    words = [w for i in first for block in split[i] for w in block]
-    numbers, _ = pd.factorize(np.array(words, dtype=object)) if words else (np.empty(0, np.int64), None)
-    sizes = [sum(map(len, split[i])) for i in first]
-    streams = np.split(numbers.astype(np.int64), np.cumsum(sizes)[:-1])
+    different: dict[str, int] = {}
+    copy_of = [different.setdefault(" ".join(text for _, text in page), len(different)) for page in pages]
+    numbers: dict[str, int] = {}
+    streams = []
+    for words in different:
+        tokens = words.split(" ") if words else []
+        streams.append(np.array([numbers.setdefault(t, len(numbers)) for t in tokens], dtype=np.int64))
     covered = repeated_tokens(streams, run, least_pages)
     out = []
-    for page, parts, number in zip(pages, split, copy_of.tolist(), strict=True):
+    for page, number in zip(pages, copy_of, strict=True):
         mask, at = covered[number], 0
         article, unique, open_ = [], [], []
         has_article = False
-        for (zone, text), tokens in zip(page, parts, strict=True):
-            repeated = bool(mask[at : at + len(tokens)].all())
-            at += len(tokens)
+        for zone, text in page:
+            tokens = text.count(" ") + 1
+            repeated = bool(mask[at : at + tokens].all())
+            at += tokens
             has_article = has_article or zone in (ARTICLE, OUTSIDE)
             if zone == ARTICLE:
                 article.append(text)
@@ -291,8 +292,8 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         pages = []
-        for html in binaries(batch.column("html")):
-            found = blocks(html.decode("utf-8", "replace").replace("\x00", ""))
+        for value in batch.column("html"):
+            found = blocks(value.as_py().replace("\x00", ""))
             pages.append(packer.compress(CUT.join(zone + text for zone, text in found).encode("utf-8", "surrogatepass")))
         kept = batch.drop_columns(["html"])
         yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(pages, pa.binary())], names=[*kept.schema.names, "blocks"])
