@@ -6,7 +6,6 @@ from random import Random
 import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from rowgate.llm import html, urlfilter, vectors
 from rowgate.llm import queries as registered
