@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from rowgate.llm.common import binaries, staging_for, sums_before, text_bytes
+from rowgate.llm.common import binaries, lots, staging_for, sums_before, text_bytes
 from rowgate.staging import Staging
 
-WORDS_HELD = 400_000
+WORDS_HELD = 800_000
+LOT_BYTES = 1 << 20
 # The pattern that the tokenizer file splits words by, here for words whose letters
 # are all ASCII or Latin-1, which have no case or composition of their own.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
@@ -25,6 +26,29 @@ SPECIAL = "<|"
 RANKS = 1 << 40
 
 
+class Memory(dict):
+    """What was seen lately: when it is full, the entries not used since it was full before are forgotten."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most = most
+        self.old: dict = {}
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that are not known; all others can be looked up."""
+        if len(self) > self.most // 2:
+            self.old = dict(self)
+            self.clear()
+        unknown = []
+        for key in keys.difference(self):
+            value = self.old.get(key)
+            if value is None:
+                unknown.append(key)
+            else:
+                self[key] = value
+        return unknown
+
+
 class Encoder:
     """Token ids of whole texts, as little-endian 32-bit bytes, with the ids of words remembered.
 
@@ -38,9 +62,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.words_held = words_held
+        self.words: Memory = Memory(words_held)
+        self.parts: Memory = Memory(words_held // 2)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -61,8 +84,6 @@ class Encoder:
             self.parts.update(zip(lot, pieces, strict=True))
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.words) + len(words) > self.words_held:
-            self.words, self.parts = {}, {}
         plain: dict[bytes, list[str]] = {}
         others: list[tuple[bytes, str]] = []
         for word in words:
@@ -71,8 +92,7 @@ class Encoder:
                 plain[word] = PARTS.findall(text.lower())
             else:
                 others.append((word, text))
-        new = {part for parts in plain.values() for part in parts if part not in self.parts}
-        self._learn_parts(sorted(new))
+        self._learn_parts(self.parts.missing({part for parts in plain.values() for part in parts}))
         for word, parts in plain.items():
             self.words[word] = b"".join([self.parts[p] for p in parts])
         for (word, _), ids in zip(others, self._encode([t for _, t in others]), strict=True):
@@ -81,11 +101,7 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, which is given as UTF-8. A word of any length is encoded whole."""
         split = [t.split() for t in texts]
-        known = self.words
-        new = {w for words in split for w in words if w not in known}
-        if new:
-            used = {w for words in split for w in words} if len(known) + len(new) > self.words_held else new
-            self._learn(list(used))
+        self._learn(self.words.missing(set().union(*split)))
         known = self.words
         return [b"".join([known[w] for w in words]) for words in split]
 
@@ -100,17 +116,6 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _lots(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= most:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _cutter(path: str, capacity: int, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Encodes documents, ends each with ``end_id``, cuts it; numbers the pieces of each length in the partition."""
 
@@ -121,7 +126,7 @@ def _cutter(path: str, capacity: int, end_id: int) -> Callable[[Iterator[pa.Reco
         for batch in batches:
             texts, ids = binaries(batch.column("text")), batch.column("doc_id").to_pylist()
             parts = batch.column("part").to_pylist()
-            for low, high in _lots(texts):
+            for low, high in lots(texts, LOT_BYTES):
                 out: dict[str, list] = {c: [] for c in ("doc_id", "piece", "start", "length", "ids", "part", "rank")}
                 for k, coded in enumerate(encode(texts[low:high]), low):
                     coded += end
