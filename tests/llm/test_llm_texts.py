@@ -128,8 +128,8 @@ def test_chances_of_all_continuations_sum_to_one():
     model = lm.Model(
         coder,
         random.integers(-4000, 4000, (lm.TABLES, lm.SLOTS)).astype(np.int16),
-        random.normal(0, 0.001, (lm.TABLES + 1, lm.GATES)).astype(np.float32),
-        random.uniform(0.1, 0.9, lm.GATES * lm.MAP_CELLS).astype(np.float32),
+        lm.mixing_weights(random.normal(0, 0.5, (lm.GATES, lm.TABLES + 1))),
+        lm.costs(random.uniform(0.1, 0.9, (lm.GATES, lm.MAP_CELLS))),
         30,
         5,
     )
@@ -155,8 +155,8 @@ def test_scores_do_not_depend_on_the_lot():
     model = lm.Model(
         coder,
         np.random.default_rng(2).integers(-4000, 4000, (lm.TABLES, lm.SLOTS)).astype(np.int16),
-        np.full((lm.TABLES + 1, lm.GATES), 1e-3, np.float32),
-        np.full(lm.GATES * lm.MAP_CELLS, 0.5, np.float32),
+        lm.mixing_weights(np.full((lm.GATES, lm.TABLES + 1), 0.5)),
+        lm.costs(np.full((lm.GATES, lm.MAP_CELLS), 0.5)),
         30,
         5,
     )
