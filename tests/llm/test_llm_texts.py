@@ -180,3 +180,22 @@ def test_lm_edge_cases(edge_docs, empty_docs):
     assert lm.scored(empty_docs, F.lit(True)).collect() == []
     untrained = lm.scored(edge_docs, F.lit(False)).collect()
     assert len(untrained) == len(rows) and all(r["train_tokens"] == 0 and r["n_known"] == 0 for r in untrained)
+
+
+def test_words_out_of_context_keep_their_whole_counts():
+    """The odds of table 0 at the nodes of a path are those of the counts, however large these are."""
+    frequent = [(b"the", 3 * 10**10), (b"of", 10**7), (b"cat", 70_000), (b"mat", 9)]
+    coder = lm.Coder.over(frequent, 10**6, 3 * 10**10 + 10**7 + 70_009 + 10**6 + 200_000)
+    tables = np.zeros((lm.TABLES, 2 * lm.SLOTS), np.int64)
+    lm._count_dictionary(tables, coder, 200_000)
+    spelled = np.zeros_like(tables)
+    lm._count_dictionary(spelled, lm.Coder(coder.words, np.zeros_like(coder.counts), coder.word_tree, coder.byte_tree), 0)
+    counts = [10**6, 200_000, *[n for _, n in frequent]]
+    zeros_ones = {}
+    for symbol, n in enumerate(counts):
+        at, _ = coder.word_tree.expand(np.array([symbol]))
+        for slot, bit in zip(coder.word_tree.alone[at].tolist(), coder.word_tree.bits[at].tolist(), strict=True):
+            zeros_ones[2 * slot + bit] = zeros_ones.get(2 * slot + bit, 0) + n
+    assert {i: int((tables - spelled)[0, i]) for i in zeros_ones} == zeros_ones
+    block = np.full(2 * lm.BLOCK, 10**12, np.int64)
+    assert lm._fold_counts(iter([{"block": 0, "payload": lm._packed(block)}]))[0, 0] == 10**12
