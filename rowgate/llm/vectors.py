@@ -32,6 +32,7 @@ STARTS = 12
 BEAM = 32
 QUERIES = 512
 SLACK = 1e-4
+STRATA = (0, 4, 64)
 
 
 def usable(vector: Column) -> Column:
@@ -258,7 +259,10 @@ def _build(table: pa.Table) -> pa.Table:
 
 
 def _searcher(threshold: float) -> Callable[[pa.Table], pa.Table]:
-    """Searches a cell for its own vectors and its guests; yields counts (``b`` null) and connecting links."""
+    """Searches a cell for its own vectors and its guests; yields counts (``b`` null) and connecting links.
+
+    ``n`` counts every copy of the vectors linked with, ``partners`` counts them once.
+    """
 
     def search(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([("guest", "ascending"), ("node", "ascending")])
@@ -290,6 +294,7 @@ def _searcher(threshold: float) -> Callable[[pa.Table], pa.Table]:
         for k in np.flatnonzero(several[low] & several[high]).tolist():
             ours[k] = not earlier[low[k]] & earlier[high[k]]
         counts = np.bincount(low[ours], times[high[ours]], len(ids)) + np.bincount(high[ours], times[low[ours]], len(ids))
+        partners = np.bincount(low[ours], minlength=len(ids)) + np.bincount(high[ours], minlength=len(ids))
         label = np.arange(len(ids))
         while True:
             least = np.minimum(label[low], label[high])
@@ -305,15 +310,35 @@ def _searcher(threshold: float) -> Callable[[pa.Table], pa.Table]:
                 "a": pa.array(np.concatenate((ids[some], ids[tied]))),
                 "b": pa.array([*[None] * len(some), *ids[label[tied]].tolist()], pa.int64()),
                 "n": pa.array(np.concatenate((counts[some].astype(np.int64), np.zeros(len(tied), np.int64)))),
+                "partners": pa.array(np.concatenate((partners[some].astype(np.int64), np.zeros(len(tied), np.int64)))),
             }
         )
 
     return search
 
 
+def _stratum(partners: Column) -> Column:
+    """0 for no partner, then by the bounds of ``STRATA``."""
+    return sum((partners > most).cast("int") for most in STRATA)
+
+
 def _audit(nodes: DataFrame, found: DataFrame, threshold: float, queries: int) -> float:
-    """The share of all true links of ``queries`` vectors (the first by a hash) that were found, by comparing with all."""
-    asked = nodes.orderBy(F.xxhash64("node"), "node").limit(queries).select("node", "vector").collect()
+    """The recall of the worst stratum, where recall is a vector's share of its true partners that were found.
+
+    ``queries`` vectors of each number of partners found (by ``STRATA``, the first by a hash) are
+    compared with all. Their recalls are averaged by the number of true partners, each vector standing
+    for as many as it was drawn from; every partner counts once, however many copies it has.
+    """
+    partners = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("partners").alias("met"))
+    known = nodes.select("node").join(partners, "node", "left")
+    known = known.select("node", F.coalesce("met", F.lit(0)).alias("met")).withColumn("stratum", _stratum(F.col("met")))
+    drawn: dict[int, tuple[int, float]] = {}
+    for row in known.groupBy("stratum").count().collect():
+        of_stratum = known.where(F.col("stratum") == row["stratum"])
+        taken = of_stratum.orderBy(F.xxhash64("node"), "node").limit(queries).select("node", "met").collect()
+        drawn |= {r["node"]: (r["met"], row["count"] / len(taken)) for r in taken}
+    ids = nodes.sparkSession.createDataFrame([(i,) for i in drawn], "node long")
+    asked = nodes.join(F.broadcast(ids), "node").select("node", "vector").collect()
     groups: dict[int, list] = {}
     for row in asked:
         groups.setdefault(len(row["vector"]), []).append(row)
@@ -332,14 +357,15 @@ def _audit(nodes: DataFrame, found: DataFrame, threshold: float, queries: int) -
                     near = matrix @ _matrix(part.column("vector")).T >= threshold
                     near &= ids[:, None] != part.column("node").to_numpy()[None, :]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids), pa.array(near @ part.column("times").to_numpy())], names=["node", "n"]
+                        [pa.array(ids), pa.array(near.sum(axis=1, dtype=np.int64))], names=["node", "n"]
                     )
 
-    truth = nodes.select("node", "vector", "times").mapInArrow(compare, "node long, n long").groupBy("node").agg(F.sum("n").alias("true"))
-    counted = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n"))
-    both = truth.join(counted, truth["node"] == counted["a"], "left")
-    sums = both.agg(F.sum("true"), F.sum(F.coalesce("n", F.lit(0)))).first()
-    return 1.0 if not sums[0] else sums[1] / sums[0]
+    truth = nodes.select("node", "vector").mapInArrow(compare, "node long, n long").groupBy("node").agg(F.sum("n").alias("near"))
+    shares: dict[int, list[tuple[float, float]]] = {}
+    for row in truth.where("near > 0").withColumn("stratum", _stratum(F.col("near"))).collect():
+        met, weight = drawn[row["node"]]
+        shares.setdefault(row["stratum"], []).append((min(1.0, met / row["near"]), weight))
+    return min((sum(r * w for r, w in x) / sum(w for _, w in x) for x in shares.values()), default=1.0)
 
 
 def _centres(spark: SparkSession, nodes: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
@@ -376,7 +402,7 @@ def _searched(nodes: DataFrame, threshold: float, overlap: int, staging: Staging
     visits = visits.join(united, "node").withColumn("guest", F.col("cell") < F.col("part"))
     visits = visits.withColumn("links", F.when(~F.col("guest"), F.col("links")))
     searched = visits.select("shard", "cell", "node", "times", "vector", "shards", "links", "guest").groupBy("shard", "cell")
-    return staging.keep(searched.applyInArrow(_searcher(threshold), "a long, b long, n long"), f"{name}-found")
+    return staging.keep(searched.applyInArrow(_searcher(threshold), "a long, b long, n long, partners long"), f"{name}-found")
 
 
 def near_duplicates(
@@ -393,7 +419,8 @@ def near_duplicates(
     do vectors of different dimensions. Equal vectors are one node with a count. ``component_id`` is
     the smallest vec_id reachable; repeated rows count as further vectors. Clusters are fitted on
     ``SAMPLE`` vectors, but all are indexed and searched. After each build the recall is measured for
-    ``audited`` vectors against all; below ``least_recall`` the build is repeated with twice the
+    ``audited`` vectors of each number of links against all; where it is below ``least_recall`` for vectors
+    with few, some or many partners, the build is repeated with twice the
     overlap, and if that does not help, an error says so. Shards of over ``CELL`` vectors are cut into
     cells, and every two cells are searched, so no task holds an unbounded shard.
     """

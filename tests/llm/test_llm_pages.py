@@ -232,3 +232,19 @@ def test_graph_reaches_every_vector():
     assert lists.max() < len(unit)
     query, row = vectors.in_range(unit, lists, unit, 0.95)
     assert len(query) == int(((unit @ unit.T) >= 0.95).sum())
+
+
+def test_audit_is_not_decided_by_one_hot_group(spark):
+    """All links of ordinary pairs are missed, those beside a vector with 10,000 copies are found."""
+    random = np.random.default_rng(8)
+    rows, found = [], []
+    for pair in range(40):
+        one = random.normal(size=24)
+        for k in (0, 1):
+            rows.append((2 * pair + k, [float(x) for x in one + random.normal(size=24) * 0.02], 10_000 if pair == k == 0 else 1))
+    found = [(0, None, 1, 1), (1, None, 10_000, 1)]
+    nodes = spark.createDataFrame(rows, "node long, vector array<double>, times long")
+    links = spark.createDataFrame(found, "a long, b long, n long, partners long")
+    assert vectors._audit(nodes, links, 0.95, 256) < 0.5
+    links = spark.createDataFrame([(i, None, 1, 1) for i in range(80)], "a long, b long, n long, partners long")
+    assert vectors._audit(nodes, links, 0.95, 256) == 1
