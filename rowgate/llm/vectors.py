@@ -259,7 +259,7 @@ def _build(table: pa.Table) -> pa.Table:
 
 
 def _searcher(threshold: float) -> Callable[[pa.Table], pa.Table]:
-    """Searches a cell for its own vectors and its guests; yields counts (``b`` null) and connecting links.
+    """Searches a cell for its own vectors, or for its guests of one other cell; yields counts (``b`` null) and connecting links.
 
     ``n`` counts every copy of the vectors linked with, ``partners`` counts them once.
     """
@@ -269,6 +269,9 @@ def _searcher(threshold: float) -> Callable[[pa.Table], pa.Table]:
         ids, times = table.column("node").to_numpy(), table.column("times").to_numpy()
         exact = _matrix(table.column("vector").combine_chunks())
         members = int((~table.column("guest").to_numpy(zero_copy_only=False)).sum())
+        asked = 0 if table.column("cell")[0].as_py() == table.column("far")[0].as_py() else members
+        if not members or asked == len(ids):
+            return pa.table({name: pa.array([], pa.int64()) for name in ("a", "b", "n", "partners")})
         shards, shard = table.column("shards").to_pylist(), table.column("shard")[0].as_py()
         unit = exact.astype(np.float32)
         linked = [x if x is not None else [] for x in table.column("links").to_pylist()[:members]]
@@ -279,7 +282,8 @@ def _searcher(threshold: float) -> Callable[[pa.Table], pa.Table]:
                 place = np.searchsorted(ids[:members], other)
                 place[place == members] = 0
                 lists[row, : len(other)] = np.where(ids[place] == other, place, -1)
-        query, row = in_range(unit[:members], lists, unit, threshold - SLACK)
+        query, row = in_range(unit[:members], lists, unit[asked:], threshold - SLACK)
+        query += asked
         low, high = np.minimum(query, row), np.maximum(query, row)
         pairs = np.unique(low[low < high] * len(ids) + high[low < high])
         low, high = np.divmod(pairs, len(ids))
@@ -398,10 +402,12 @@ def _searched(nodes: DataFrame, threshold: float, overlap: int, staging: Staging
     )
     united = links.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("links"))).alias("links"))
     united = staging.keep(united, f"{name}-graph")
-    visits = parted.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("part"))))
+    visits = parted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    visits = visits.withColumn("cell", F.least("part", "other")).withColumn("far", F.greatest("part", "other"))
     visits = visits.join(united, "node").withColumn("guest", F.col("cell") < F.col("part"))
     visits = visits.withColumn("links", F.when(~F.col("guest"), F.col("links")))
-    searched = visits.select("shard", "cell", "node", "times", "vector", "shards", "links", "guest").groupBy("shard", "cell")
+    columns = ("shard", "cell", "far", "node", "times", "vector", "shards", "links", "guest")
+    searched = visits.select(*columns).groupBy("shard", "cell", "far")
     return staging.keep(searched.applyInArrow(_searcher(threshold), "a long, b long, n long, partners long"), f"{name}-found")
 
 
@@ -422,7 +428,7 @@ def near_duplicates(
     ``audited`` vectors of each number of links against all; where it is below ``least_recall`` for vectors
     with few, some or many partners, the build is repeated with twice the
     overlap, and if that does not help, an error says so. Shards of over ``CELL`` vectors are cut into
-    cells, and every two cells are searched, so no task holds an unbounded shard.
+    cells of half as many, and a task holds two of these at most.
     """
     staging = staging_for(embeddings.sparkSession, staging)
     kind = embeddings.schema["embedding"].dataType

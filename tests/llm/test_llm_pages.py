@@ -248,3 +248,25 @@ def test_audit_is_not_decided_by_one_hot_group(spark):
     assert vectors._audit(nodes, links, 0.95, 256) < 0.5
     links = spark.createDataFrame([(i, None, 1, 1) for i in range(80)], "a long, b long, n long, partners long")
     assert vectors._audit(nodes, links, 0.95, 256) == 1
+
+
+def test_no_task_gets_a_whole_large_shard(spark, monkeypatch, brute_roots):
+    searcher, most = vectors._searcher, 2 * 60
+
+    def watched(threshold):
+        search = searcher(threshold)
+
+        def bounded(table):
+            assert table.num_rows <= most
+            return search(table)
+
+        return bounded
+
+    monkeypatch.setattr(vectors, "CELL", 60)
+    monkeypatch.setattr(vectors, "_searcher", watched)
+    rows = near_copies(4, groups=4, each=40, loose=200)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = vectors.near_duplicates(frame, 0.95).collect()
+    expected = brute_links(rows, 0.95, brute_roots)
+    assert {(r["vec_id"], r["component_id"]) for r in found} == {(i, c) for i, _, c, _ in expected}
+    assert sum(r["n_links"] for r in found) >= 0.97 * sum(n for _, n, _, _ in expected)
