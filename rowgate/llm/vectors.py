@@ -41,6 +41,12 @@ def usable(vector: Column) -> Column:
     return F.coalesce(numbers & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def scaled(vector: Column) -> Column:
+    """A vector of doubles whose largest number is 1 or -1, the same for all exact multiples."""
+    most = F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double"))))
+    return F.transform(F.array(most), lambda m: F.transform(vector, lambda x: x.cast("double") / m + F.lit(0.0)))[0]
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one dimension as rows of doubles with length 1, whatever their scale."""
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -258,6 +264,30 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(ids, pa.int64()), "links": pa.array(named, pa.list_(pa.int64()))})
 
 
+def _tally(ids: np.ndarray, times: np.ndarray, low: np.ndarray, high: np.ndarray, ours: np.ndarray) -> pa.Table:
+    """Counts of the links ``low``-``high`` that are ``ours``, and links that connect what all of them do."""
+    counts = np.bincount(low[ours], times[high[ours]], len(ids)) + np.bincount(high[ours], times[low[ours]], len(ids))
+    partners = np.bincount(low[ours], minlength=len(ids)) + np.bincount(high[ours], minlength=len(ids))
+    label = np.arange(len(ids))
+    while True:
+        least = np.minimum(label[low], label[high])
+        old = label.copy()
+        np.minimum.at(label, low, least)
+        np.minimum.at(label, high, least)
+        label = label[label]
+        if (label == old).all():
+            break
+    tied, some = np.flatnonzero(label != np.arange(len(ids))), np.flatnonzero(counts)
+    return pa.table(
+        {
+            "a": pa.array(np.concatenate((ids[some], ids[tied]))),
+            "b": pa.array([*[None] * len(some), *ids[label[tied]].tolist()], pa.int64()),
+            "n": pa.array(np.concatenate((counts[some].astype(np.int64), np.zeros(len(tied), np.int64)))),
+            "partners": pa.array(np.concatenate((partners[some].astype(np.int64), np.zeros(len(tied), np.int64)))),
+        }
+    )
+
+
 def _searcher(threshold: float) -> Callable[[pa.Table], pa.Table]:
     """Searches a cell for its own vectors, or for its guests of one other cell; yields counts (``b`` null) and connecting links.
 
@@ -297,30 +327,105 @@ def _searcher(threshold: float) -> Callable[[pa.Table], pa.Table]:
         ours = np.ones(len(low), dtype=bool)
         for k in np.flatnonzero(several[low] & several[high]).tolist():
             ours[k] = not earlier[low[k]] & earlier[high[k]]
-        counts = np.bincount(low[ours], times[high[ours]], len(ids)) + np.bincount(high[ours], times[low[ours]], len(ids))
-        partners = np.bincount(low[ours], minlength=len(ids)) + np.bincount(high[ours], minlength=len(ids))
-        label = np.arange(len(ids))
-        while True:
-            least = np.minimum(label[low], label[high])
-            old = label.copy()
-            np.minimum.at(label, low, least)
-            np.minimum.at(label, high, least)
-            label = label[label]
-            if (label == old).all():
-                break
-        tied, some = np.flatnonzero(label != np.arange(len(ids))), np.flatnonzero(counts)
-        return pa.table(
-            {
-                "a": pa.array(np.concatenate((ids[some], ids[tied]))),
-                "b": pa.array([*[None] * len(some), *ids[label[tied]].tolist()], pa.int64()),
-                "n": pa.array(np.concatenate((counts[some].astype(np.int64), np.zeros(len(tied), np.int64)))),
-                "partners": pa.array(np.concatenate((partners[some].astype(np.int64), np.zeros(len(tied), np.int64)))),
-            }
-        )
+        return _tally(ids, times, low, high, ours)
 
     return search
 
 
+def _homing(broadcast, reach: float, widest: np.ndarray | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Gives each vector its nearest cluster, its angle to that, and the clusters up to that one it must visit.
+
+    A member of a cluster is no nearer to another one, and at most ``widest`` off its own. So no member
+    within ``reach`` of a vector is in a cluster that is over twice ``reach`` farther from the vector
+    than its own, or over ``reach`` outside what is widest.
+    """
+
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_size = broadcast.value
+        for batch in batches:
+            vectors = batch.column("vector")
+            sizes = np.diff(vectors.offsets.to_numpy())
+            homes, angles = np.zeros(len(sizes), np.int32), np.zeros(len(sizes))
+            cells: list = [[]] * len(sizes)
+            for size in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == size)
+                first, centres = by_size[size]
+                angle = np.arccos(np.clip(_matrix(vectors.take(pa.array(rows))) @ centres.T, -1, 1))
+                own = angle.argmin(axis=1)
+                least = angle.min(axis=1)
+                homes[rows], angles[rows] = own + first, least
+                if widest is not None:
+                    visits = angle <= least[:, None] + 2 * reach + SLACK
+                    visits &= angle <= widest[first : first + len(centres)] + reach + SLACK
+                    visits &= np.arange(len(centres)) < own[:, None]
+                    visits[np.arange(len(rows)), own] = True
+                    for row, some in zip(rows.tolist(), visits, strict=True):
+                        cells[row] = (np.flatnonzero(some) + first).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in ("node", "times", "vector")], pa.array(homes), pa.array(angles), pa.array(cells, pa.list_(pa.int32()))],
+                names=["node", "times", "vector", "home", "angle", "cells"],
+            )
+
+    return home
+
+
+def _comparer(threshold: float) -> Callable[[pa.Table], pa.Table]:
+    """Compares a cell's vectors with a lot of guests, and in the first lot with one another; yields like ``_searcher``."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by([("guest", "ascending"), ("node", "ascending")])
+        ids, times = table.column("node").to_numpy(), table.column("times").to_numpy()
+        exact = _matrix(table.column("vector").combine_chunks())
+        members = int((~table.column("guest").to_numpy(zero_copy_only=False)).sum())
+        begin = 0 if table.column("lot")[0].as_py() == 0 else members
+        lows, highs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in range(begin, len(ids), QUERIES):
+            high, low = np.nonzero(exact[at : at + QUERIES] @ exact[:members].T >= threshold - SLACK)
+            high += at
+            low, high = low[low < high], high[low < high]
+            for run in range(0, len(low), 1 << 16):
+                a, b = low[run : run + (1 << 16)], high[run : run + (1 << 16)]
+                near = np.einsum("ad,ad->a", exact[a], exact[b]) >= threshold
+                lows.append(a[near])
+                highs.append(b[near])
+        low, high = np.concatenate(lows), np.concatenate(highs)
+        return _tally(ids, times, low, high, np.ones(len(low), dtype=bool))
+
+    return compare
+
+
+def _compared(nodes: DataFrame, threshold: float, staging: Staging, name: str) -> DataFrame:
+    """Counts and connecting links of all nodes without loss: each is compared with all clusters that can hold partners.
+
+    Clusters are cut into cells of some ``CELL`` / 2 vectors and their guests into lots of ``CELL``.
+    """
+    spark = nodes.sparkSession
+    fitted = _centres(spark, nodes)
+    broadcast, reach = spark.sparkContext.broadcast(fitted), float(np.arccos(np.clip(threshold, -1, 1)))
+    kind = f"node long, times long, vector {nodes.schema['vector'].dataType.simpleString()}, home int, angle double, cells array<int>"
+    given = nodes.select("node", "times", "vector")
+    homes = given.mapInArrow(_homing(broadcast, reach), kind).groupBy("home").agg(F.max("angle"), F.count("*")).collect()
+    widest = np.full(sum(len(x) for _, x in fitted.values()), -10.0)
+    for row in homes:
+        widest[row[0]] = row[1]
+    visits = staging.keep(given.mapInArrow(_homing(broadcast, reach, widest), kind), f"{name}-visits")
+    visits = visits.drop("angle").withColumn("cell", F.explode("cells")).drop("cells")
+    shapes = visits.groupBy("cell").agg(F.count("*").alias("all"), F.count(F.when(F.col("cell") == F.col("home"), 1)).alias("own"))
+    shapes = shapes.select("cell", F.ceil(F.col("own") / (CELL // 2)).cast("int").alias("parts"), F.ceil(F.col("all") / CELL).cast("int").alias("lots"))
+    shapes = staging.keep(shapes.where("parts > 0"), f"{name}-shapes")
+    placed = visits.join(F.broadcast(shapes), "cell")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    lot = F.pmod(F.xxhash64(F.lit("lot"), "node"), F.col("lots")).cast("int")
+    is_home, columns = F.col("cell") == F.col("home"), ("cell", "part", "lot", "node", "times", "vector", "guest")
+    members = placed.where(is_home).withColumn("part", part).withColumn("guest", F.lit(False))
+    members = members.withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).select(*columns)
+    guests = placed.withColumn("lot", lot).withColumn("guest", F.lit(True))
+    guests = guests.withColumn("last", F.when(is_home, part).otherwise(F.col("parts")))
+    guests = guests.withColumn("part", F.explode(F.filter(F.sequence(F.lit(0), F.col("parts")), lambda x: x < F.col("last"))))
+    groups = members.union(guests.select(*columns)).groupBy("cell", "part", "lot")
+    return staging.keep(groups.applyInArrow(_comparer(threshold), "a long, b long, n long, partners long"), f"{name}-found")
+
+
 def _stratum(partners: Column) -> Column:
     """0 for no partner, then by the bounds of ``STRATA``."""
     return sum((partners > most).cast("int") for most in STRATA)
@@ -422,12 +527,13 @@ def near_duplicates(
     """``vec_id, n_links, component_id, kept`` of every row: links are pairs with a cosine of ``threshold`` or more.
 
     Vectors that are null, empty, zero or hold nulls or non-finite numbers link with nothing, and so
-    do vectors of different dimensions. Equal vectors are one node with a count. ``component_id`` is
+    do vectors of different dimensions. Equal vectors and exact multiples are one node with a count. ``component_id`` is
     the smallest vec_id reachable; repeated rows count as further vectors. Clusters are fitted on
     ``SAMPLE`` vectors, but all are indexed and searched. After each build the recall is measured for
     ``audited`` vectors of each number of links against all; where it is below ``least_recall`` for vectors
     with few, some or many partners, the build is repeated with twice the
-    overlap, and if that does not help, an error says so. Shards of over ``CELL`` vectors are cut into
+    overlap. If that does not help, all clusters are compared that can hold partners by their angles,
+    which loses no link. Shards of over ``CELL`` vectors are cut into
     cells of half as many, and a task holds two of these at most.
     """
     staging = staging_for(embeddings.sparkSession, staging)
@@ -435,7 +541,8 @@ def near_duplicates(
     if not (isinstance(kind, ArrayType) and isinstance(kind.elementType, (FloatType, DoubleType))):
         kind = ArrayType(DoubleType())
     rows = embeddings.select("vec_id", F.col("embedding").cast(kind).alias("vector"))
-    rows = rows.withColumn("vector", F.when(usable(F.col("vector")), F.col("vector"))).withColumn("hash", F.xxhash64("vector"))
+    rows = rows.withColumn("vector", F.when(usable(F.col("vector")), scaled(F.col("vector"))))
+    rows = rows.withColumn("hash", F.xxhash64("vector"))
     given = rows.where("vector IS NOT NULL")
     grouped = given.groupBy("hash", "vector").agg(F.min("vec_id").alias("low"), F.count("*").alias("times"))
     nodes = staging.keep(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -446,7 +553,7 @@ def near_duplicates(
         if recall >= least_recall:
             break
     else:
-        raise RuntimeError(f"recall {recall:.3f} is below {least_recall}")
+        found = _compared(nodes, threshold, staging, "compared")
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     groups = components(found.where("b IS NOT NULL").select("a", "b"), staging, "links")
     labelled = nodes.select("node", "low", "times", "hash", "vector").join(groups, "node", "left")

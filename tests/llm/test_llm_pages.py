@@ -270,3 +270,29 @@ def test_no_task_gets_a_whole_large_shard(spark, monkeypatch, brute_roots):
     expected = brute_links(rows, 0.95, brute_roots)
     assert {(r["vec_id"], r["component_id"]) for r in found} == {(i, c) for i, _, c, _ in expected}
     assert sum(r["n_links"] for r in found) >= 0.97 * sum(n for _, n, _, _ in expected)
+
+
+@pytest.mark.parametrize("cell", [60, 2048])
+def test_what_shards_lose_is_compared_exactly(spark, monkeypatch, brute_roots, cell):
+    """A search that finds nothing fails every audit; a dense group lies over many clusters."""
+    monkeypatch.setattr(vectors, "CELL", cell)
+    monkeypatch.setattr(vectors, "SHARD", 25)
+    nothing = spark.createDataFrame([], "a long, b long, n long, partners long")
+    monkeypatch.setattr(vectors, "_searched", lambda *_: nothing)
+    random = np.random.default_rng(6)
+    dense = random.normal(size=16) + random.normal(size=(150, 16)) * 0.16
+    rows = near_copies(5, groups=5, each=20, loose=150)
+    rows += [(10**6 + i, [float(x) for x in v]) for i, v in enumerate(dense)] + [(10**7, [1.0, 0.5]), (10**7 + 1, [1.0, 0.6])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {tuple(r) for r in vectors.near_duplicates(frame, 0.95).collect()}
+    assert found == brute_links(rows, 0.95, brute_roots)
+
+
+def test_multiples_are_one_node(spark, monkeypatch):
+    """Nothing is searched, so only what is merged before has links."""
+    nothing = spark.createDataFrame([], "a long, b long, n long, partners long")
+    monkeypatch.setattr(vectors, "_searched", lambda *_: nothing)
+    rows = [(k, [0.5 * 2**k, -0.0, -0.375 * 2**k]) for k in range(30)] + [(99, [-1.0, 0.0, 0.75])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = {tuple(r) for r in vectors.near_duplicates(frame, 0.95).collect()}
+    assert found == {(k, 29, 0, k == 0) for k in range(30)} | {(99, 0, 99, True)}
