@@ -8,12 +8,13 @@ stand in several different pages are boilerplate, and open blocks that such runs
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ PAGES = 3
 GROUP_BYTES = 4 << 20
 MOST_HOT = 50_000
 CUT = "\x1e"
+# A fixed value: the odd multiplier of window hashes.
+WINDOW_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 TAG = re.compile(
     r"<(?:!--.*?(?:--!?>|\Z)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+(?:>|\Z))|[!?/][^>]*+(?:>|\Z))",
@@ -248,23 +251,55 @@ def repeated_tokens(streams: list[np.ndarray], run: int = RUN, pages: int = PAGE
     return [covered[end - n + 1 : end] for n, end in zip(lengths, ends, strict=True)]
 
 
-def main_texts(pages: list[list[tuple[str, str]]], run: int = RUN, least_pages: int = PAGES) -> list[tuple[str, int, int]]:
+def _numbered(different: Iterable[str]) -> tuple[list[np.ndarray], dict[str, int]]:
+    """Texts as streams of token numbers, and the number of each token."""
+    numbers: dict[str, int] = {}
+    streams = []
+    for words in different:
+        tokens = words.split(" ") if words else []
+        streams.append(np.array([numbers.setdefault(t, len(numbers)) for t in tokens], dtype=np.int64))
+    return streams, numbers
+
+
+def window_hashes(streams: list[np.ndarray], numbers: dict[str, int], run: int, host: str) -> list[np.ndarray]:
+    """Of each stream the 64-bit hashes of all its runs of ``run`` tokens; other hosts have other hashes."""
+    seed = xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass"))
+    hashed = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), seed) for t in numbers], np.uint64)
+    out = []
+    for stream in streams:
+        tokens = hashed[stream] if len(stream) else np.zeros(0, np.uint64)
+        folded = np.zeros(max(0, len(stream) - run + 1), np.uint64)
+        for k in range(run):
+            folded = folded * WINDOW_MIX + tokens[k : k + len(folded)]
+        out.append(folded.view(np.int64))
+    return out
+
+
+def main_texts(
+    pages: list[list[tuple[str, str]]],
+    run: int = RUN,
+    least_pages: int = PAGES,
+    host: str = "",
+    elsewhere: np.ndarray | None = None,
+) -> list[tuple[str, int, int]]:
     """Of a host's pages the main text, the number of tokens, and how many of them repeat across pages.
 
     The article, where there is one, even an empty one; else the open blocks, without those whose tokens all stand in
     repeated runs. If that leaves a page nothing, its open blocks stay: it is a copy, not boilerplate.
-    Pages with the same words count once.
+    Pages with the same words count once. ``elsewhere`` holds the hashes of runs that repeat in the
+    whole of a ``host`` of which these are some pages.
     """
     if not pages:
         return []
     different: dict[str, int] = {}
     copy_of = [different.setdefault(" ".join(text for _, text in page), len(different)) for page in pages]
-    numbers: dict[str, int] = {}
-    streams = []
-    for words in different:
-        tokens = words.split(" ") if words else []
-        streams.append(np.array([numbers.setdefault(t, len(numbers)) for t in tokens], dtype=np.int64))
+    streams, numbers = _numbered(different)
     covered = repeated_tokens(streams, run, least_pages)
+    if elsewhere is not None and len(elsewhere):
+        for mask, hashes in zip(covered, window_hashes(streams, numbers, run, host), strict=True):
+            begins = np.flatnonzero(np.isin(hashes, elsewhere))
+            for k in range(run):
+                mask[begins + k] = True
     out = []
     for page, number in zip(pages, copy_of, strict=True):
         mask, at = covered[number], 0
@@ -291,24 +326,55 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        pages = []
+        pages, words = [], []
         for value in batch.column("html"):
             found = blocks(value.as_py().replace("\x00", ""))
+            joined = " ".join(text for _, text in found).encode("utf-8", "surrogatepass")
+            words.append(xxhash.xxh64_intdigest(joined) >> 1)
             pages.append(packer.compress(CUT.join(zone + text for zone, text in found).encode("utf-8", "surrogatepass")))
         kept = batch.drop_columns(["html"])
-        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(pages, pa.binary())], names=[*kept.schema.names, "blocks"])
+        yield pa.RecordBatch.from_arrays(
+            [*kept.columns, pa.array(words, pa.int64()), pa.array(pages, pa.binary())],
+            names=[*kept.schema.names, "words", "blocks"],
+        )
+
 
+def _given(table: pa.Table) -> list[list[tuple[str, str]]]:
+    import zstandard
+
+    unpacker = zstandard.ZstdDecompressor()
+    given = []
+    for packed in binaries(table.column("blocks")):
+        text = unpacker.decompress(packed).decode("utf-8", "surrogatepass")
+        given.append([(x[0], x[1:]) for x in text.split(CUT)] if text else [])
+    return given
+
+
+def _windows(run: int) -> Callable[[pa.Table], pa.Table]:
+    """Of a group's pages the hashes of all runs, each with the number of different pages that hold it."""
+
+    def windows(table: pa.Table) -> pa.Table:
+        host, part = table.column("host")[0].as_py(), table.column("part")[0].as_py()
+        different = dict.fromkeys(" ".join(text for _, text in page) for page in _given(table))
+        own = [np.unique(x) for x in window_hashes(*_numbered(different), run, host or "")]
+        hashes, pages = np.unique(np.concatenate(own), return_counts=True)
+        n = len(hashes)
+        return pa.table(
+            {
+                "host": pa.array([host] * n, pa.string()),
+                "part": pa.array(np.full(n, part, np.int64)),
+                "hash": pa.array(hashes, pa.int64()),
+                "pages": pa.array(pages, pa.int64()),
+            }
+        )
 
-def _extractor(run: int, pages: int) -> Callable[[pa.Table], pa.Table]:
-    def extract(table: pa.Table) -> pa.Table:
-        import zstandard
+    return windows
 
-        unpacker = zstandard.ZstdDecompressor()
-        given = []
-        for packed in binaries(table.column("blocks")):
-            text = unpacker.decompress(packed).decode("utf-8", "surrogatepass")
-            given.append([(x[0], x[1:]) for x in text.split(CUT)] if text else [])
-        texts = main_texts(given, run, pages)
+
+def _extractor(run: int, pages: int) -> Callable[..., pa.Table]:
+    def extract(table: pa.Table, elsewhere: np.ndarray | None = None) -> pa.Table:
+        host = (table.column("host")[0].as_py() or "") if table.num_rows else ""
+        texts = main_texts(_given(table), run, pages, host, elsewhere)
         columns = {
             "page_id": table.column("page_id"),
             "url": table.column("url"),
@@ -327,9 +393,10 @@ def extracted(pages: DataFrame, run: int = RUN, least_pages: int = PAGES, group_
     Null and empty html give an empty text. ``n_tokens`` are the tokens of all visible blocks,
     ``n_repeated`` those in runs of ``run`` tokens that ``least_pages`` different pages of the host
     hold. Pages go to tasks by host, compressed. Hosts of over ``group_bytes`` of html, among them
-    pages without a url, are dealt to several groups by a hash of the html, so that no task gets an
-    unbounded host; a group of that size holds thousands of pages, in each of which a host's
-    boilerplate repeats. Repeated rows and further columns do not matter.
+    pages without a url, are dealt to several groups by a hash of their words, so that no task gets an
+    unbounded host. Their runs are counted by 64-bit hashes over all groups, and each group gets the
+    hashes of its runs that repeat in the host, so the size of groups changes no result. Repeated rows
+    and further columns do not matter.
     """
     rows = pages.select(
         F.col("page_id").cast("long"),
@@ -339,11 +406,21 @@ def extracted(pages: DataFrame, run: int = RUN, least_pages: int = PAGES, group_
     )
     sizes = rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("size")).where(F.col("size") > group_bytes)
     large = sizes.select("host", F.ceil(F.col("size") / group_bytes).alias("groups"))
-    few = large.limit(MOST_HOT + 1).count() <= MOST_HOT
-    dealt = rows.join(F.broadcast(large) if few else large, "host", "left")
-    part = F.pmod(F.xxhash64("html"), F.coalesce("groups", F.lit(1))).alias("part")
-    dealt = dealt.select("page_id", "url", "host", part, "html")
-    parsed = dealt.mapInArrow(_parsed, "page_id long, url string, host string, part long, blocks binary")
-    return parsed.groupBy("host", "part").applyInArrow(
-        _extractor(run, least_pages), "page_id long, url string, text string, n_tokens long, n_repeated long"
+    hot = large.limit(MOST_HOT + 1).count()
+    dealt = rows.join(F.broadcast(large) if hot <= MOST_HOT else large, "host", "left")
+    dealt = dealt.select("page_id", "url", "host", F.coalesce("groups", F.lit(1)).cast("long").alias("groups"), "html")
+    kind = "page_id long, url string, host string, groups long, words long, blocks binary"
+    parsed = dealt.mapInArrow(_parsed, kind).withColumn("part", F.pmod("words", "groups")).drop("words")
+    out, extract = "page_id long, url string, text string, n_tokens long, n_repeated long", _extractor(run, least_pages)
+    if not hot:
+        return parsed.groupBy("host", "part").applyInArrow(lambda table: extract(table), out)
+    windows = parsed.where("groups > 1").groupBy("host", "part").applyInArrow(
+        _windows(run), "host string, part long, hash long, pages long"
     )
+    counted = windows.groupBy("host", "hash").agg(F.sum("pages").alias("pages"), F.collect_list("part").alias("parts"))
+    repeated = counted.where(F.col("pages") >= least_pages).select("host", F.explode("parts").alias("part"), "hash")
+
+    def with_repeated(table: pa.Table, runs: pa.Table) -> pa.Table:
+        return extract(table, runs.column("hash").to_numpy())
+
+    return parsed.groupBy("host", "part").cogroup(repeated.groupBy("host", "part")).applyInArrow(with_repeated, out)

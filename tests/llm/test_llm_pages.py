@@ -296,3 +296,21 @@ def test_multiples_are_one_node(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     found = {tuple(r) for r in vectors.near_duplicates(frame, 0.95).collect()}
     assert found == {(k, 29, 0, k == 0) for k in range(30)} | {(99, 0, 99, True)}
+
+
+def test_groups_of_a_host_change_no_result(spark):
+    """Passages on 3 and on 12 pages of a host, each page in a group of its own or all in one."""
+    random = Random(7)
+    notice = "Welcome to the site of the town where all news of the day is kept for you"
+    rare = "Three pages of this host hold this line of text and no others do so"
+    rows = []
+    for i in range(12):
+        story = " ".join(f"w{random.randrange(10**6)}" for _ in range(60))
+        rows.append((i, "http://a.org/x", page(f"<div>{notice}</div><div>{story}</div>" + (f"<div>{rare}</div>" if i < 3 else ""))))
+    rows += [(20, "http://b.org/x", page(f"<div>{notice}</div><div>other</div>")), (21, None, page(f"<p>{rare}</p>")), (22, None, None)]
+    rows += [(30 + i, "http://c.org/x", page(f"<{'p' if i else 'div'}>{rare} copied</{'p' if i else 'div'}>")) for i in range(3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    whole = {tuple(r) for r in html.extracted(frame, group_bytes=1 << 30).collect()}
+    assert {tuple(r) for r in html.extracted(frame, group_bytes=100).collect()} == whole
+    assert {tuple(r) for r in html.extracted(frame, group_bytes=2000).collect()} == whole
+    assert not any(notice in text or rare in text for i, _, text, _, _ in whole if i < 12)
