@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm import html, langid, lm, minhash, mixing, packing, quality, simhash, urlfilter, vectors
+from rowgate.llm import adaptive, html, langid, lm, minhash, mixing, packing, quality, simhash, urlfilter, vectors
 from rowgate.llm.common import fold
 
 SHINGLE_WORDS, MOST_BITS = 4, 4
@@ -168,6 +168,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), F.col("text").cast("string")), model)
 
 
+def op13_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = adaptive.judged(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *adaptive.BASE, "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_main_text": op1_html_main_text,
@@ -180,8 +185,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pack_sequences": op8_pack_sequences,
         "op9_mixing_lm": op9_mixing_lm,
         "op10_language_id": op10_language_id,
+        "op13_adaptive_quality": op13_adaptive_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": url_filter_sql()}
+    return {"op2_url_filter": url_filter_sql(), "op13_adaptive_quality": adaptive.judged_sql()}
