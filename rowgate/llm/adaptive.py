@@ -196,16 +196,13 @@ def thresholds(
     by_source = fences(quartiles(sketch, ["lang", "source"]), ["lang", "source"], rules, "s")
     of_lang = merged(sketch, ["lang"])
     by_lang = fences(quartiles(of_lang, ["lang"]), ["lang"], rules, "l")
-    overall = fences(quartiles(merged(of_lang, []), []), [], rules, "t")
-    joined = (
-        by_source.alias("a")
-        .join(by_lang.withColumnRenamed("lang", "of"), F.col("a.lang").eqNullSafe(F.col("of")))
-        .join(F.broadcast(overall))  # one row
-    )
+    overall = fences(quartiles(merged(of_lang, []), []), [], rules, "t").first()  # one row, one number a rule
+    same = F.col("a.lang").eqNullSafe(F.col("of"))
+    joined = by_source.alias("a").join(by_lang.withColumnRenamed("lang", "of"), same)
     own, langs = F.col("sdocuments") >= least_documents, F.col("ldocuments") >= least_documents
     level = F.when(own, "source").when(langs, "language").otherwise("table")
     chosen = [
-        F.when(own, F.col(f"s{i}")).when(langs, F.col(f"l{i}")).otherwise(F.col(f"t{i}")).alias(f"fence{i}")
+        F.when(own, F.col(f"s{i}")).when(langs, F.col(f"l{i}")).otherwise(F.lit(overall[f"t{i}"]).cast("double")).alias(f"fence{i}")
         for i in range(len(rules))
     ]
     return joined.select(

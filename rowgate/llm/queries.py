@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm import adaptive, html, langid, lm, minhash, mixing, packing, quality, simhash, urlfilter, vectors
+from rowgate.llm import adaptive, codes, html, langid, lm, minhash, mixing, packing, quality, simhash, spelling, urlfilter, vectors
 from rowgate.llm.common import fold
 
 SHINGLE_WORDS, MOST_BITS = 4, 4
@@ -168,6 +168,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), F.col("text").cast("string")), model)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def op13_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = adaptive.judged(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *adaptive.BASE, "base_failed", "kept")
@@ -185,9 +193,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pack_sequences": op8_pack_sequences,
         "op9_mixing_lm": op9_mixing_lm,
         "op10_language_id": op10_language_id,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_vector_codes": op12_vector_codes,
         "op13_adaptive_quality": op13_adaptive_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": url_filter_sql(), "op13_adaptive_quality": adaptive.judged_sql()}
+    return {
+        "op2_url_filter": url_filter_sql(),
+        "op11_spelling_variants": spelling.variants_sql(),
+        "op12_vector_codes": codes.compressed_sql(),
+        "op13_adaptive_quality": adaptive.judged_sql(),
+    }
