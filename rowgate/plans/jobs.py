@@ -7,10 +7,11 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from rowgate.contract import Contract
-from rowgate.functions import any_flag, uncastable
+from rowgate.functions import any_flag, column, uncastable
 from rowgate.operators import (
     all_duplicates,
     good_records,
@@ -18,16 +19,20 @@ from rowgate.operators import (
     merge_reasons,
     nonnull_base,
     null_key_records,
-    select_data,
     typed,
     with_file_row_id,
     with_row_id,
 )
 from rowgate.plans import scoring
 from rowgate.sources import (
+    Staged,
+    check_mode,
     detect_format,
+    publish,
     read_raw,
     read_table,
+    recover,
+    stage,
     table_names,
     with_file_lineage,
     with_load_time,
@@ -152,13 +157,16 @@ class CleanseJob:
         write_table(df, self.bad_table, self.mode, even_files=True)
 
     def run(self) -> tuple[DataFrame, DataFrame]:
-        """Score the raw table, write quarantine first and then the clean rows; return both tables.
+        """Score the raw table and publish quarantined and clean rows together; return both tables.
 
-        If a good value cannot be cast, a ValueError says so before either table is touched. After
-        any other fault before the first write both tables are as they were; after one between the
-        writes quarantine is new and the clean table old; a table whose own write fails has to be
-        written again, by a new run.
+        Both are written before either table is touched, so a fault while writing, or a good value that
+        cannot be cast (a ValueError), leaves both as they were. A fault while they are switched is made
+        good by the next run, or by ``recover``.
         """
+        tables = [self.bad_table, self.good_table]
+        self.recover()
+        for table in tables:
+            check_mode(self.spark, table, self.mode)
         with Staging(self.spark) as staging:
             scored = scoring.score(
                 self._numbered(staging),
@@ -169,19 +177,30 @@ class CleanseJob:
                 bitmap_rows=self.bitmap_rows,
                 read_twice=True,
             )
-            good_rows = scoring.good(scored, self.contract)
-            self._check_casts(good_rows)
-            self.load_bad(scoring.bad(scored, self.contract))
-            self.load_good(good_rows)
+            bad_rows = stage(scoring.bad(scored, self.contract), self.bad_table, self.mode, even_files=True)
+            publish(self.spark, [bad_rows, self._stage_good(scoring.good(scored, self.contract))])
         return read_table(self.spark, self.good_table), read_table(self.spark, self.bad_table)
 
-    def _check_casts(self, good_rows: DataFrame) -> None:
-        """Stops for a good value that the write would stop for: not with a strict contract, nor without ANSI mode."""
+    def recover(self) -> bool:
+        """Finish a publication of both tables that was cut short; says if there was one."""
+        return recover(self.spark, [self.bad_table, self.good_table])
+
+    def _stage_good(self, rows: DataFrame) -> Staged | None:
+        """Write the good rows, typed and with load time, counting on the way those that the cast would stop for.
+
+        There are such rows in ANSI mode only, and not with a strict contract, which has them in quarantine.
+        """
         ansi = self.spark.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
-        if not self.contract.typed or self.contract.strict or not ansi:
-            return
-        flags = uncastable(self.contract)
-        if flags:
-            found = select_data(good_rows.where(any_flag(list(flags.values()))), self.contract).first()
-            if found:
-                raise ValueError(f"a good row cannot be cast to the declared types: {found.asDict()}")
+        flags = uncastable(self.contract) if self.contract.typed and not self.contract.strict and ansi else {}
+        if not flags:
+            return stage(with_load_time(typed(rows, self.contract), "", self.loaded_at), self.good_table, self.mode)
+        seen, fails = Observation(), any_flag(list(flags.values()))
+        example = F.to_json(F.struct(*map(column, self.contract.data_columns)))
+        watched = rows.observe(
+            seen, F.count_if(fails).alias("rows"), F.max(F.when(fails, example)).alias("example")
+        )
+        loaded = with_load_time(typed(watched, self.contract, try_cast=True), "", self.loaded_at)
+        staged = stage(loaded, self.good_table, self.mode)
+        if staged and seen.get["rows"]:
+            raise ValueError(f"{seen.get['rows']} good rows cannot be cast to the declared types, such as {seen.get['example']}")
+        return staged

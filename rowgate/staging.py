@@ -50,6 +50,12 @@ def fixed_splits(spark: SparkSession) -> AbstractContextManager[None]:
     return setting(spark, MIN_SPLITS, spark.sparkContext.defaultParallelism)
 
 
+def file_system(spark: SparkSession, place: str) -> tuple:
+    """The file system of a path and the path as an object of it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
 class Staging:
     """One run's own folder below the shared folder.
 
@@ -86,14 +92,10 @@ class Staging:
 
     def delete_at_end(self) -> None:
         """Have the folder, once it is there, deleted when the driver ends."""
-        system, path = self._place()
+        system, path = file_system(self.spark, self.folder)
         system.deleteOnExit(path)
 
     def clear(self) -> None:
         """Delete the run's folder; call it only when no frame kept here is still needed."""
-        system, path = self._place()
+        system, path = file_system(self.spark, self.folder)
         system.delete(path, True)
-
-    def _place(self) -> tuple:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
