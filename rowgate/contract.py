@@ -33,6 +33,7 @@ ROW_ID = "_sk"
 REASON = "reason"
 DUP_ROW = "_is_dup_row"
 DUP_KEY = "_is_dup_key"
+BROKEN_LINE = "_is_line_broken"
 # Columns the library adds on the way and takes away again.
 INTERNAL_PREFIX = "_rowgate_"
 NULL_POLICIES = ("flag", "pass")
@@ -58,6 +59,8 @@ class Contract:
     calls a value invalid that holds more than its rule matches or cannot be cast, so a good row
     always casts.
     ``row_id`` is the unique 64-bit row number that breaks ties between copies.
+    ``rescue`` names the raw table's column of lines that did not fit their header (see ``read_raw``): such
+    a line is a format error, and quarantine keeps it beside the values that were read from it.
     """
 
     columns: Mapping[str, str]
@@ -67,6 +70,7 @@ class Contract:
     typed: bool = True
     strict: bool = False
     row_id: str = ROW_ID
+    rescue: str | None = None
 
     def __post_init__(self) -> None:
         if isinstance(self.key, str):
@@ -94,7 +98,9 @@ class Contract:
         names = [c.lower() for c in self.columns]
         if len(set(names)) != len(names):
             raise ValueError("column names must differ by more than letter case")
-        reserved = {n.lower() for n in (*self.flag_names, self.row_id, REASON)}
+        if self.rescue and self.rescue.lower() in (self.row_id.lower(), REASON, *map(str.lower, self.flag_names)):
+            raise ValueError(f"column name reserved for check results: {self.rescue!r}")
+        reserved = {n.lower() for n in (*self.flag_names, self.row_id, REASON, self.rescue or REASON)}
         clash = [c for c in self.columns if c.lower() in reserved or c.lower().startswith(INTERNAL_PREFIX)]
         if clash:
             raise ValueError(f"column names reserved for check results: {clash}")
@@ -110,13 +116,19 @@ class Contract:
     def data_columns(self) -> list[str]:
         return list(self.columns)
 
+    @property
+    def carried_columns(self) -> list[str]:
+        """The data columns, and the rescued line behind them if there is one."""
+        return [*self.columns, self.rescue] if self.rescue else list(self.columns)
+
     @property
     def checked_columns(self) -> list[str]:
         return [c for c, t in self.columns.items() if t != UNCHECKED_TYPE]
 
     @property
     def invalid_flags(self) -> list[str]:
-        return [invalid_flag_name(c) for c in self.checked_columns]
+        broken = [BROKEN_LINE] if self.rescue else []
+        return broken + [invalid_flag_name(c) for c in self.checked_columns]
 
     @property
     def null_flags(self) -> list[str]:

@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rowgate.contract import Contract, invalid_flag_name, null_flag_name
+from rowgate.contract import BROKEN_LINE, Contract, invalid_flag_name, null_flag_name
 
 
 def column(name: str) -> Column:
@@ -26,11 +26,11 @@ def fails_format(value: Column, rule: str, null_policy: str = "flag") -> Column:
 
 
 def invalid_flags(contract: Contract) -> dict[str, Column]:
-    """One flag per checked column, in contract order.
+    """One flag per checked column, in contract order, behind one for lines that did not fit their header.
 
     A strict contract wants its rules to match the whole value, and the value to be castable.
     """
-    flags = {}
+    flags = {BROKEN_LINE: column(contract.rescue).isNotNull()} if contract.rescue else {}
     cannot = uncastable(contract)
     for name in contract.checked_columns:
         rule = contract.rule(name)

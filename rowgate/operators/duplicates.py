@@ -54,7 +54,7 @@ def all_duplicates(df: DataFrame, contract: Contract, staging: Staging | None =
 
 def _records(marked: DataFrame, contract: Contract) -> DataFrame:
     reason = F.when(F.col(DUP_ROW), DUP_ROW).otherwise(DUP_KEY)
-    return marked.select(*map(column, [contract.row_id, *contract.data_columns]), F.array(reason).alias(REASON))
+    return marked.select(*map(column, [contract.row_id, *contract.carried_columns]), F.array(reason).alias(REASON))
 
 
 def copy_numbers(

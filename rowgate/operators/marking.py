@@ -16,6 +16,11 @@ shuffles 8-byte numbers, combined before the shuffle. The counts sort the rows i
   whose hash is not in a broadcast bitmap of the repeated ones, 128 MB at most, are alone and
   stay out. The few others it lets through by accident do no harm.
 
+Wide rows (texts) do not meet at all. Their keys and their whole tuples become SHA-256 digests; the digests, rows
+of some 80 bytes, are kept and marked by the same plan, and the numbers of the marked rows are looked up. So
+whatever is sorted or grouped is bounded in bytes as it is in rows. Two tuples with one SHA-256 digest are not
+known to anyone, so digests that meet are taken for equal tuples.
+
 So a table with few repeated keys is never shuffled, of any other at most all rows once, large
 keys apart. Hash counts and first copies are kept in the shared folder; their rows have a fixed
 width, so a row count proves their size before anything is broadcast.
@@ -23,11 +28,14 @@ width, so a row count proves their size before anything is broadcast.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rowgate.contract import DUP_KEY, DUP_ROW, Contract
+from rowgate.contract import DUP_KEY, DUP_ROW, UNCHECKED_TYPE, Contract
 from rowgate.functions import column, has_key, key_hash
 from rowgate.staging import Staging
 
@@ -38,6 +46,10 @@ PARTITION_ROWS = 1 << 20
 # Rows of two longs at most: some 100 MB as a broadcast hash table.
 BROADCAST_ROWS = 2_000_000
 
+# Rows of more bytes on average, by the optimizer's estimate, are marked by their digests.
+WIDE_BYTES = 512
+LEAST_WIDE_ROWS = 128
+
 # The bitmap of repeated hashes: this many rows of 4096 bytes.
 BITMAP_ROWS = 1 << 15
 BITS_PER_ROW = 4096 * 8
@@ -54,8 +66,8 @@ _BUCKET = "_rowgate_bucket"
 _BIT = "_rowgate_bit"
 _BITMAP = "_rowgate_bitmap"
 _MAYBE = "_rowgate_maybe"
-
-
+# Names of a table of digests, which has a contract of its own.
+_KEY_DIGEST, _ROW_DIGEST, _NUMBER = "key_digest", "row_digest", "number"
 
 
 def mark_duplicates(
@@ -65,15 +77,20 @@ def mark_duplicates(
     window_rows: int = WINDOW_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
     bitmap_rows: int = BITMAP_ROWS,
+    total: int | None = None,
+    wide_bytes: int = WIDE_BYTES,
 ) -> tuple[DataFrame, bool]:
     """``df`` (row number and data columns) with both duplicate flags, and whether that shuffles its rows.
 
-    The row numbers must be the same each time ``df`` is read. Counts the rows, and for a large table
-    keeps hash counts and first copies, before it returns.
+    The row numbers must be the same each time ``df`` is read. Counts the rows unless ``total`` gives
+    their number, and for a large table keeps hash counts and first copies, before it returns. Rows of over
+    ``wide_bytes`` bytes by the optimizer's estimate are marked by digests; the result is the same.
     """
     staging = staging or Staging(df.sparkSession)
-    rows = df.select(*map(column, [contract.row_id, *contract.data_columns]))
-    total = rows.count()
+    rows = df.select(*map(column, [contract.row_id, *contract.carried_columns]))
+    total = rows.count() if total is None else total
+    if _estimated_bytes(rows) > wide_bytes * max(total, LEAST_WIDE_ROWS) and _have_digests(rows, contract):
+        return _mark_by_digests(rows, contract, staging, total, window_rows, broadcast_rows, bitmap_rows)
     if total <= window_rows:
         return _mark_by_windows(rows, contract, total), True
     # Fewer than ``broadcast_rows`` keys can be larger than this.
@@ -81,6 +98,56 @@ def mark_duplicates(
     return _mark_large_table(rows, contract, staging, total, large, broadcast_rows, bitmap_rows)
 
 
+def _estimated_bytes(rows: DataFrame) -> int:
+    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def _have_digests(rows: DataFrame, contract: Contract) -> bool:
+    """Nested values have no text that tells all of them apart."""
+    return not any(isinstance(rows.schema[name].dataType, (T.ArrayType, T.MapType, T.StructType)) for name in contract.data_columns)
+
+
+def digest(rows: DataFrame, names: Sequence[str]) -> Column:
+    """SHA-256 of the values of some columns, each behind its length, so that no two tuples read the same; null equals null."""
+
+    def told(name: str) -> Column:
+        value = column(name)
+        kind = rows.schema[name].dataType
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0).cast(kind)  # one zero, not two
+        data = value if isinstance(kind, T.BinaryType) else value.cast("string").cast("binary")
+        return F.coalesce(F.concat(F.octet_length(data).cast("string").cast("binary"), F.lit(b":"), data), F.lit(b"n"))
+
+    return F.unhex(F.sha2(F.concat(*map(told, names)), 256))
+
+
+def _mark_by_digests(
+    rows: DataFrame,
+    contract: Contract,
+    staging: Staging,
+    total: int,
+    window_rows: int,
+    broadcast_rows: int,
+    bitmap_rows: int,
+) -> tuple[DataFrame, bool]:
+    """Marks digests of the same rows and looks the marked row numbers up."""
+    shape = Contract({_KEY_DIGEST: UNCHECKED_TYPE, _ROW_DIGEST: UNCHECKED_TYPE}, [_KEY_DIGEST], row_id=_NUMBER)
+    digests = rows.select(
+        column(contract.row_id).alias(_NUMBER),
+        F.when(has_key(contract.key), digest(rows, contract.key)).alias(_KEY_DIGEST),
+        digest(rows, contract.data_columns).alias(_ROW_DIGEST),
+    )
+    kept = staging.keep(digests, "digests")
+    marked, _ = mark_duplicates(
+        kept, shape, staging, window_rows, broadcast_rows, bitmap_rows, total, wide_bytes=1 << 40
+    )
+    flagged = marked.where(F.col(DUP_ROW) | F.col(DUP_KEY)).select(column(_NUMBER).alias(contract.row_id), DUP_ROW, DUP_KEY)
+    flagged = staging.keep(flagged, "flagged")
+    few = flagged.count() <= broadcast_rows
+    found = rows.join(F.broadcast(flagged) if few else flagged.hint("merge"), [contract.row_id], "left")
+    return found.withColumns({name: F.coalesce(name, F.lit(False)) for name in (DUP_ROW, DUP_KEY)}), not few
+
+
 def first_copies(df: DataFrame, contract: Contract) -> DataFrame:
     """One row per distinct tuple of the data columns (null equals null): the lowest numbered copy."""
     return (

@@ -22,7 +22,7 @@ def null_key_records(df: DataFrame, contract: Contract) -> DataFrame:
 
 def _failing(df: DataFrame, contract: Contract, flags: Mapping[str, Column]) -> DataFrame:
     """The rows with any true flag and the names of those: decided on the row alone, without a shuffle."""
-    ids = map(column, [contract.row_id, *contract.data_columns])
+    ids = map(column, [contract.row_id, *contract.carried_columns])
     return df.where(any_flag(list(flags.values()))).select(*ids, reason_array(flags).alias(REASON))
 
 

@@ -23,12 +23,14 @@ from rowgate.operators import (
     with_file_row_id,
     with_row_id,
 )
+from rowgate.operators.projection import BROADCAST_FILES
 from rowgate.plans import scoring
 from rowgate.sources import (
     Staged,
     check_mode,
     detect_format,
     publish,
+    read_by_header,
     read_raw,
     read_table,
     recover,
@@ -38,14 +40,16 @@ from rowgate.sources import (
     with_load_time,
     write_table,
 )
-from rowgate.staging import Staging
+from rowgate.staging import Staging, file_system
 
 
 @dataclass
 class IngestJob:
     """Scan raw files, add load and lineage columns, write the raw table.
 
-    The format follows from the path's ending unless ``format_type`` names it.
+    The format follows from the path's ending unless ``format_type`` names it. ``rescue`` names a column for
+    delimited lines with more or fewer fields than their header. ``by_header`` reads delimited files whose
+    headers differ by the names in them.
     """
 
     spark: SparkSession
@@ -59,12 +63,18 @@ class IngestJob:
     columns: Sequence[str] | None = None
     options: Mapping[str, object] = field(default_factory=dict)
     loaded_at: datetime | None = None
+    rescue: str | None = None
+    by_header: bool = False
 
     def __post_init__(self) -> None:
         self.table = self.table or table_names(self.pipeline_name).bronze
         self.format_type = self.format_type or detect_format(self.raw_path)
 
     def read(self) -> DataFrame:
+        if self.by_header:  # the format can only be a delimited one
+            return read_by_header(
+                self.spark, self.raw_path, self.delimiter, self.columns, self.options, self.rescue, self._with_audit
+            )
         raw = read_raw(
             self.spark,
             self.raw_path,
@@ -73,8 +83,12 @@ class IngestJob:
             header=self.header,
             columns=self.columns,
             options=self.options,
+            rescue=self.rescue,
         )
-        return with_file_lineage(with_load_time(raw, "_", self.loaded_at))
+        return self._with_audit(raw)
+
+    def _with_audit(self, scan: DataFrame) -> DataFrame:
+        return with_file_lineage(with_load_time(scan, "_", self.loaded_at))
 
     def save(self, df: DataFrame) -> None:
         write_table(df, self.table, self.mode)
@@ -83,6 +97,38 @@ class IngestJob:
         self.save(self.read())
         return read_table(self.spark, self.table)
 
+    def run_new_files(self, checkpoint: str) -> DataFrame:
+        """Land the files that no earlier run with this ``checkpoint`` folder has landed, and stop; return the table.
+
+        A file stream keeps in the folder which files it has taken, and the table's own log says which batches
+        are in it. So a run that was killed is finished by the next one, and no file lands twice. Delimited
+        files all have the columns of ``columns``, or of the first file's header. The table belongs to the
+        stream: one that other writes have filled is refused, as its rows would no longer be read.
+        """
+        if self.by_header:
+            raise ValueError("a stream has one header for all files")
+        scan = read_raw(
+            self.spark, self.raw_path, self.format_type, self.delimiter, self.header, self.columns, self.options, self.rescue
+        )
+        options = {"sep": self.delimiter, "header": self.header, **self.options}
+        if self.format_type == "csv":
+            options["enforceSchema"] = False
+            if self.rescue:
+                options["columnNameOfCorruptRecord"] = self.rescue
+        self._check_stream_table()
+        stream = self.spark.readStream.format(self.format_type).options(**options).schema(scan.schema).load(self.raw_path)
+        writer = self._with_audit(stream).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        writer.toTable(self.table).awaitTermination()
+        self.spark.catalog.refreshTable(self.table)
+        return read_table(self.spark, self.table)
+
+    def _check_stream_table(self) -> None:
+        if self.spark.catalog.tableExists(self.table):
+            found = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").collect()}
+            system, log = file_system(self.spark, f"{found.get('Location')}/_spark_metadata")
+            if not system.exists(log) and not read_table(self.spark, self.table).isEmpty():
+                raise ValueError(f"{self.table} has rows that no stream has written")
+
 
 @dataclass
 class CleanseJob:
@@ -103,6 +149,7 @@ class CleanseJob:
     window_rows: int = scoring.WINDOW_ROWS
     broadcast_rows: int = scoring.BROADCAST_ROWS
     bitmap_rows: int = scoring.BITMAP_ROWS
+    broadcast_files: int = BROADCAST_FILES
 
     def __post_init__(self) -> None:
         names = table_names(self.pipeline_name)
@@ -112,15 +159,17 @@ class CleanseJob:
         if len({self.source.lower(), self.good_table.lower(), self.bad_table.lower()}) < 3:
             raise ValueError("source, good and bad tables must be three different tables")
 
-    def read(self) -> DataFrame:
+    def read(self, staging: Staging | None = None) -> DataFrame:
         """The declared columns of the raw table behind a unique row number, the same in every plan.
 
         Rows of a stored parquet table are numbered by file and place in the file, also if it is
-        bucketed or partitioned. Rows of any other source are numbered once and written down.
+        bucketed or partitioned. Rows of any other source are numbered once and written down. What is
+        written down goes when the driver ends, or with ``staging`` if that is the caller's.
         """
-        return self._numbered(Staging(self.spark))
+        return self._numbered(staging or Staging(self.spark))[0]
 
-    def _numbered(self, staging: Staging) -> DataFrame:
+    def _numbered(self, staging: Staging) -> tuple[DataFrame, int | None]:
+        """The numbered rows, and how many they are where that is known."""
         rows = read_table(self.spark, self.source)
         if self.spark.catalog.getTable(self.source).tableType in ("MANAGED", "EXTERNAL"):
             try:
@@ -128,10 +177,10 @@ class CleanseJob:
             except AnalysisException:
                 pass  # files of a format that does not number its rows
             else:
-                numbered = with_file_row_id(rows, self.contract)
+                numbered = with_file_row_id(rows, self.contract, staging, self.broadcast_files)
                 if numbered is not None:
                     return numbered
-        return staging.keep(with_row_id(rows, self.contract), "rows")
+        return staging.keep(with_row_id(rows, self.contract), "rows"), None
 
     def invalid(self, df: DataFrame) -> DataFrame:
         return invalid_records(df, self.contract)
@@ -168,14 +217,16 @@ class CleanseJob:
         for table in tables:
             check_mode(self.spark, table, self.mode)
         with Staging(self.spark) as staging:
+            rows, total = self._numbered(staging)
             scored = scoring.score(
-                self._numbered(staging),
+                rows,
                 self.contract,
                 staging,
                 window_rows=self.window_rows,
                 broadcast_rows=self.broadcast_rows,
                 bitmap_rows=self.bitmap_rows,
                 read_twice=True,
+                total=total,
             )
             bad_rows = stage(scoring.bad(scored, self.contract), self.bad_table, self.mode, even_files=True)
             publish(self.spark, [bad_rows, self._stage_good(scoring.good(scored, self.contract))])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rowgate.contract import DUP_KEY, DUP_ROW, REASON, Contract
 from rowgate.functions import column, invalid_flags, null_flags, reason_array
-from rowgate.operators.marking import BITMAP_ROWS, BROADCAST_ROWS, WINDOW_ROWS, mark_duplicates
+from rowgate.operators.marking import BITMAP_ROWS, BROADCAST_ROWS, WIDE_BYTES, WINDOW_ROWS, mark_duplicates
 from rowgate.operators.projection import select_data
 from rowgate.staging import Staging
 
@@ -26,6 +26,8 @@ def score(
     broadcast_rows: int = BROADCAST_ROWS,
     bitmap_rows: int = BITMAP_ROWS,
     read_twice: bool = False,
+    total: int | None = None,
+    wide_bytes: int = WIDE_BYTES,
 ) -> DataFrame:
     """``df`` (row number and data columns) with ``reason``, an array that is empty for a good row.
 
@@ -33,10 +35,13 @@ def score(
     ``with_file_row_id``.
     Counts the rows, and for a large table keeps hash counts and first copies, before it returns.
     ``read_twice`` says that the caller reads the result more than once: then a result that
-    costs a shuffle of the table is kept as well, good and bad rows apart.
+    costs a shuffle of the table is kept as well, good and bad rows apart. ``total`` spares the count where
+    the number of rows is known.
     """
     staging = staging or Staging(df.sparkSession)
-    marked, shuffled = mark_duplicates(df, contract, staging, window_rows, broadcast_rows, bitmap_rows)
+    marked, shuffled = mark_duplicates(
+        df, contract, staging, window_rows, broadcast_rows, bitmap_rows, total, wide_bytes
+    )
     scored = _with_reasons(marked, contract)
     if read_twice and shuffled:
         return staging.keep(scored.withColumn(_BAD, F.size(REASON) > 0), "scored", _BAD)
@@ -51,7 +56,7 @@ def good(scored: DataFrame, contract: Contract) -> DataFrame:
 def bad(scored: DataFrame, contract: Contract) -> DataFrame:
     """The rows with a reason: row number, raw data columns, reasons."""
     return scored.where(_is_bad(scored)).select(
-        *map(column, [contract.row_id, *contract.data_columns]), REASON
+        *map(column, [contract.row_id, *contract.carried_columns]), REASON
     )
 
 
@@ -77,5 +82,5 @@ def _with_reasons(marked: DataFrame, contract: Contract) -> DataFrame:
         DUP_KEY: F.col(DUP_KEY),
     }
     return marked.select(
-        *map(column, [contract.row_id, *contract.data_columns]), reason_array(flags).alias(REASON)
+        *map(column, [contract.row_id, *contract.carried_columns]), reason_array(flags).alias(REASON)
     )

@@ -1,6 +1,6 @@
-from rowgate.sources.files import detect_format, read_raw, with_file_lineage, with_load_time
+from rowgate.sources.files import detect_format, read_by_header, read_raw, with_file_lineage, with_load_time
 from rowgate.sources.publication import Staged, check_mode, publish, recover, stage
-from rowgate.sources.tables import TableNames, ensure_schema, preview, read_table, table_names, write_table
+from rowgate.sources.tables import TableNames, ensure_schema, preview, read_table, replace_partitions, table_names, write_table
 
 __all__ = [
     "Staged",
@@ -10,9 +10,11 @@ __all__ = [
     "ensure_schema",
     "preview",
     "publish",
+    "read_by_header",
     "read_raw",
     "read_table",
     "recover",
+    "replace_partitions",
     "stage",
     "table_names",
     "with_file_lineage",

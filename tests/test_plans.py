@@ -20,7 +20,7 @@ from rowgate.operators import (
     with_flags,
     with_row_id,
 )
-from rowgate.operators.marking import _repeated_hashes
+from rowgate.operators.marking import _repeated_hashes, digest
 
 SF = "/root/testdata/sf0.001"
 LINES = Contract(
@@ -140,3 +140,40 @@ def test_numbers_within_small_groups_take_one_window(lines):
     for numbered in (copy_numbers(lines, ["l_orderkey"], "_sk"), key_counts(lines, ["l_orderkey"], "_sk")):
         text = plan(numbered)
         assert len(exchanges(text)) == 1 and text.count("FileScan") == 1 and "Join" not in text
+
+
+DOCUMENTS = Contract({"text": "string", "lang": "string", "source": "string"}, ["text"], row_id="doc_id")
+
+
+def test_texts_are_marked_by_digests_and_stay_in_place(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    text = plan(score(documents, DOCUMENTS))
+    assert exchanges(text) == [] and "Window" not in text and text.count("BroadcastHashJoin") == 1
+    # Beyond the broadcast the marked numbers are joined; that is the only way the rows move.
+    wide = plan(score(documents, DOCUMENTS, broadcast_rows=10))
+    assert "SortMergeJoin" in wide and all("hashpartitioning(doc_id" in line for line in exchanges(wide))
+
+
+@pytest.mark.parametrize("sizes", [{}, {"window_rows": 1}, {"window_rows": 2, "broadcast_rows": 10}, {"window_rows": 50, "bitmap_rows": 0, "broadcast_rows": 10}])
+def test_digests_mark_what_values_mark(spark, sizes):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = documents.union(documents.withColumn("doc_id", documents["doc_id"] + 1000).where("doc_id % 3 = 0"))
+    rows = rows.union(documents.selectExpr("doc_id + 2000", "text", "'xx'", "nullif(source, 'src1')", "n_chars").where("doc_id % 5 = 0"))
+    rows = rows.union(documents.selectExpr("doc_id + 3000", "cast(null as string)", "lang", "source", "n_chars").where("doc_id % 50 = 0"))
+
+    def reasons(wide_bytes):
+        scored = score(rows, DOCUMENTS, **sizes, wide_bytes=wide_bytes)
+        return sorted((r["doc_id"], r["reason"]) for r in scored.collect())
+
+    assert reasons(0) == reasons(1 << 40)
+
+
+def test_digests_tell_tuples_apart(spark):
+    rows = [(1, "a", "b"), (2, "ab", ""), (3, "", "ab"), (4, None, "ab"), (5, "n", "ab"), (6, "1:a", "1:b"), (7, "a1:b", None), (8, None, None)]
+    df = spark.createDataFrame(rows, "id long, x string, y string")
+    assert df.select(digest(df, ["x", "y"])).distinct().count() == len(rows)
+    zeros = spark.createDataFrame([(0.0, 1), (-0.0, 1)], "x double, y int")
+    assert zeros.select(digest(zeros, ["x", "y"])).distinct().count() == 1
+    listed = spark.createDataFrame([(1, "k", [1])], "id long, k string, v array<int>")
+    shape = Contract({"k": "string", "v": "string"}, ["k"], row_id="id")
+    assert score(listed, shape, wide_bytes=0).count() == 1
