@@ -139,6 +139,15 @@ clashing AS (
 )"""
 
 
+# Customers read from lines of which some have a spare field and some lack one.
+BROKEN = """
+    SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+           CASE WHEN c_custkey % 11 = 0 AND c_custkey % 7 <> 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS c_nationkey,
+           CASE WHEN c_custkey % 7 = 0 THEN concat_ws('|', c_custkey, c_name, c_nationkey, 'spare')
+                WHEN c_custkey % 11 = 0 THEN concat_ws('|', c_custkey, c_name) END AS line
+    FROM customer"""
+
+
 def _flag_rows(policy: str) -> str:
     return f"""WITH {_checks(policy)}
 SELECT rid, id_invalid AS "_is_order_id_invalid", day_invalid AS "_is_file_dt_invalid" FROM flagged"""
@@ -170,6 +179,20 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan": CUSTOMER,
         "csv_scan_declared_columns": CUSTOMER,
         "csv_scan_many_files": CUSTOMER,
+        "csv_scan_broken_lines": f"SELECT c_custkey, c_name, c_nationkey, line FROM ({BROKEN}) AS lines",
+        "csv_scan_by_header": f"""
+            SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+                   CASE WHEN CAST(c_custkey AS BIGINT) % 3 < 2 THEN c_mktsegment END AS c_mktsegment
+            FROM ({CUSTOMER}) AS customers""",
+        "ingest_new_files": CUSTOMER,
+        "replaced_partitions": """
+            SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'again' ELSE o_orderpriority END AS o_orderpriority,
+                   o_orderstatus
+            FROM orders""",
+        "quarantine_broken_lines": f"""
+            SELECT CASE WHEN line IS NULL THEN 'good' ELSE 'bad' END AS side, c_custkey, c_name, c_nationkey, line,
+                   CASE WHEN line IS NULL THEN '' ELSE '_is_line_broken' END AS reason
+            FROM ({BROKEN}) AS lines""",
         "detected_format_scan": f"""
             WITH customers AS ({CUSTOMER})
             {detected}
@@ -320,6 +343,10 @@ def oracle_sql() -> dict[str, str]:
             WITH {_checks("pass")},
             listed AS (SELECT {DATA}, concat_ws(',', {every_reason}) AS reason FROM flagged)
             SELECT CASE WHEN reason = '' THEN 'good' ELSE 'bad' END AS side, {DATA}, reason FROM listed""",
+        "dual_write_many_files": f"""
+            WITH {_checks("pass")},
+            listed AS (SELECT {DATA}, concat_ws(',', {every_reason}) AS reason FROM flagged)
+            SELECT CASE WHEN reason = '' THEN 'good' ELSE 'bad' END AS side, {DATA}, reason FROM listed""",
         "dual_write_roundtrip": f"""
             WITH {_checks("pass")},
             listed AS (SELECT {DATA}, concat_ws(',', {every_reason}) AS reason FROM flagged)

@@ -36,8 +36,10 @@ from rowgate.sources import (
     detect_format,
     ensure_schema,
     preview,
+    read_by_header,
     read_raw,
     read_table,
+    replace_partitions,
     table_names,
     with_file_lineage,
     with_load_time,
@@ -284,6 +286,70 @@ def csv_scan_many_files(spark, sf_dir):
     return read_raw(spark, landing)
 
 
+def broken_lines(spark, sf_dir, staging):
+    """Customers as lines of a file; every seventh has a spare field, of the others every eleventh lacks one."""
+    k = F.col("c_custkey")
+    whole = F.concat_ws("|", k, "c_name", "c_nationkey")
+    line = F.when(k % 7 == 0, F.concat(whole, F.lit("|spare"))).when(k % 11 == 0, F.concat_ws("|", k, "c_name")).otherwise(whole)
+    landing = staging.path("customer.csv")
+    table(spark, sf_dir, "customer").select(line).write.text(landing)
+    return landing
+
+
+LINE_COLUMNS = {"c_custkey": "int", "c_name": "string", "c_nationkey": "int"}
+
+
+def csv_scan_broken_lines(spark, sf_dir):
+    landing = broken_lines(spark, sf_dir, Staging(spark))
+    return read_raw(spark, landing, header=False, columns=list(LINE_COLUMNS), rescue="line")
+
+
+def quarantine_broken_lines(spark, sf_dir):
+    """The lines landed and cleansed: those that do not fit are in quarantine as they were."""
+    schema, landing = scratch_schema(spark), broken_lines(spark, sf_dir, Staging(spark))
+    raw = f"{schema}.lines"
+    IngestJob(spark, "lines", landing, raw, header=False, columns=list(LINE_COLUMNS), rescue="line").run()
+    shape = Contract(LINE_COLUMNS, ["c_custkey"], null_policy="pass", rescue="line")
+    clean_rows, bad_rows = CleanseJob(spark, "lines", shape, raw, f"{schema}.good", f"{schema}.bad").run()
+    data = [F.col(name).cast("string").alias(name) for name in LINE_COLUMNS]
+    nothing = F.lit(None).cast("string").alias("line")
+    return clean_rows.select(F.lit("good").alias("side"), *data, nothing, F.lit("").alias("reason")).unionByName(
+        listed(bad_rows).select(F.lit("bad").alias("side"), *data, "line", "reason")
+    )
+
+
+def csv_scan_by_header(spark, sf_dir):
+    """Files of three headers: two orders of the columns, and one without the last column."""
+    rows, staging = customer_strings(spark, sf_dir), Staging(spark)
+    headers = [rows.columns, rows.columns[::-1], rows.columns[:-1]]
+    for number, names in enumerate(headers):
+        part = rows.where(F.col("c_custkey").cast("long") % 3 == number).select(*names)
+        part.write.csv(staging.path(f"landing/customer{number}"), sep="|", header=True)
+    return read_by_header(spark, staging.path("landing/*"), columns=rows.columns)
+
+
+def ingest_new_files(spark, sf_dir):
+    """Landed in two lots with a run after each, and one more run: every customer is there once."""
+    rows, staging, name = customer_strings(spark, sf_dir), Staging(spark), f"{scratch_schema(spark)}.customer"
+    columns = list(rows.columns)
+    job = IngestJob(spark, "customer", staging.path("landing"), name, format_type="csv", columns=columns)
+    for lot in (0, 1):
+        part = rows.where(F.col("c_custkey").cast("long") % 2 == lot)
+        part.write.mode("append").csv(staging.path("landing"), sep="|", header=True)
+        job.run_new_files(staging.path("checkpoint"))
+    return job.run_new_files(staging.path("checkpoint")).select(*columns)
+
+
+def replaced_partitions(spark, sf_dir):
+    """Orders loaded by status, then one status loaded again."""
+    name = f"{scratch_schema(spark)}.orders"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    replace_partitions(orders, name, ["o_orderstatus"])
+    again = orders.where("o_orderstatus = 'F'").withColumn("o_orderpriority", F.lit("again"))
+    replace_partitions(again, name, ["o_orderstatus"])
+    return read_table(spark, name)
+
+
 def strict_format_flags(spark, sf_dir):
     """A month of 13 passes the format rule but not the strict check."""
     df = defect_orders(spark, sf_dir)
@@ -561,6 +627,17 @@ def dual_write_bucketed(spark, sf_dir):
     return good_side.unionByName(listed(bad_rows).select(F.lit("bad").alias("side"), *COLUMNS, "reason"))
 
 
+def dual_write_many_files(spark, sf_dir):
+    """The cleansing job where the files are too many to number: row numbers hold a hash of the path."""
+    schema = scratch_schema(spark)
+    defect_orders(spark, sf_dir).drop("rid").repartition(9, "status", "file_dt").write.saveAsTable(f"{schema}.raw")
+    shape = contract("pass", typed=False).with_options(row_id="_sk")
+    tables = {"source": f"{schema}.raw", "good_table": f"{schema}.good", "bad_table": f"{schema}.bad"}
+    clean_rows, bad_rows = CleanseJob(spark, "orders", shape, **tables, broadcast_files=1).run()
+    good_side = clean_rows.select(F.lit("good").alias("side"), *COLUMNS, F.lit("").alias("reason"))
+    return good_side.unionByName(listed(bad_rows).select(F.lit("bad").alias("side"), *COLUMNS, "reason"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "table_scan": table_scan,
@@ -570,12 +647,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_scan": csv_scan,
         "csv_scan_many_files": csv_scan_many_files,
         "csv_scan_declared_columns": csv_scan_declared_columns,
+        "csv_scan_broken_lines": csv_scan_broken_lines,
+        "csv_scan_by_header": csv_scan_by_header,
         "detected_format_scan": detected_format_scan,
         "lineage_columns": lineage_columns,
         "table_overwrite_roundtrip": table_overwrite_roundtrip,
         "table_append_roundtrip": table_append_roundtrip,
         "pipeline_tables": pipeline_tables,
         "ingest_job": ingest_job,
+        "ingest_new_files": ingest_new_files,
+        "replaced_partitions": replaced_partitions,
         "surrogate_key_unique": surrogate_key_unique,
         "format_flags_null_pass": format_flags("pass"),
         "format_flags_null_flag": format_flags("flag"),
@@ -621,7 +702,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "good_typed": good_typed,
         "good_untyped": good_untyped,
         "dual_write_bucketed": dual_write_bucketed,
+        "dual_write_many_files": dual_write_many_files,
         "dual_write_roundtrip": dual_write_roundtrip,
+        "quarantine_broken_lines": quarantine_broken_lines,
         "reason_counts": counted_reasons(defect_shape),
         "reason_counts_lineitem": counted_reasons(lineitem_rows),
         "reason_counts_lineitem_large": counted_reasons(lineitem_rows, MANY_REPEATED),
