@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +17,15 @@ from pyspark.sql.types import LongType, StructType
 from rowgate.llm.common import binaries, lots, staging_for, sums_before, text_bytes
 from rowgate.staging import Staging
 
-WORDS_HELD = 800_000
-LOT_BYTES = 1 << 20
+WORDS_HELD = 1_000_000
+LOT_BYTES = 1 << 21
 # The pattern that the tokenizer file splits words by, here for words whose letters
 # are all ASCII or Latin-1, which have no case or composition of their own.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+PARTS = re.compile("\0|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\0 \t\n\r\v\f]+")
+# What a text of plain words does not hold: other characters, and the beginning of a special token.
+ODD = re.compile(r"[^!-~À-ÖØ-öø-ÿ \t\n\r\v\f]|<\|")
+END = "\0"
 SPECIAL = "<|"
 RANKS = 1 << 40
 
@@ -34,13 +38,13 @@ class Memory(dict):
         self.most = most
         self.old: dict = {}
 
-    def missing(self, keys: set) -> list:
-        """Those of ``keys`` that are not known; all others can be looked up."""
+    def missing(self, keys: Iterable) -> list:
+        """Those of different ``keys`` that are not known; all others can be looked up."""
         if len(self) > self.most // 2:
             self.old = dict(self)
             self.clear()
         unknown = []
-        for key in keys.difference(self):
+        for key in [k for k in keys if k not in self]:
             value = self.old.get(key)
             if value is None:
                 unknown.append(key)
@@ -53,8 +57,9 @@ class Encoder:
     """Token ids of whole texts, as little-endian 32-bit bytes, with the ids of words remembered.
 
     The tokenizer drops white space and merges nothing across it, so a text's ids are those of its
-    words one after another. Words made of plain letters are cut by the tokenizer's own pattern and
-    their parts encoded many at a time; any other word is encoded as it stands.
+    words one after another. Texts of plain letters are cut by the tokenizer's own pattern and
+    their parts encoded many at a time. Any other text is taken word by word; a word that is not plain is
+    encoded as it stands.
     """
 
     def __init__(self, path: str, words_held: int = WORDS_HELD) -> None:
@@ -62,8 +67,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: Memory = Memory(words_held)
-        self.parts: Memory = Memory(words_held // 2)
+        self.words: Memory = Memory(words_held // 4)
+        self.parts: Memory = Memory(words_held)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -72,13 +77,13 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn_parts(self, parts: list[str]) -> None:
-        """Encodes parts a hundred to a text; each part ends with a token that ends a word."""
-        for at in range(0, len(parts), 100):
-            lot = parts[at : at + 100]
+        """Encodes parts a thousand to a text; each part ends with a token that ends a word."""
+        for at in range(0, len(parts), 1000):
+            lot = parts[at : at + 1000]
             ids = np.array(self._encode([" ".join(lot)])[0], dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(lot) and cuts[-1] == len(ids):
-                pieces = [piece.tobytes() for piece in np.split(ids, cuts[:-1])]
+                pieces = _cut(ids.tobytes(), cuts * 4)
             else:
                 pieces = [np.array(x, dtype="<u4").tobytes() for x in self._encode(lot)]
             self.parts.update(zip(lot, pieces, strict=True))
@@ -98,13 +103,46 @@ class Encoder:
         for (word, _), ids in zip(others, self._encode([t for _, t in others]), strict=True):
             self.words[word] = np.array(ids, dtype="<u4").tobytes()
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text, which is given as UTF-8. A word of any length is encoded whole."""
+    def _encode_words(self, texts: list[bytes]) -> list[bytes]:
+        """Word by word, for texts with letters or marks that are not plain."""
         split = [t.split() for t in texts]
         self._learn(self.words.missing(set().union(*split)))
         known = self.words
         return [b"".join([known[w] for w in words]) for words in split]
 
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        """All texts at once: their parts are numbered, so that only different ones are looked up, and ids gathered."""
+        cut = PARTS.findall("".join([t + END for t in texts]).lower())
+        index = pa.array(cut, pa.string()).dictionary_encode().indices.to_numpy()
+        # Numbers are given in order, so a part is new where the largest number so far grows.
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(index), prepend=-1))
+        parts = [cut[i] for i in first.tolist()]
+        del cut
+        self._learn_parts(self.parts.missing([p for p in parts if p != END]))
+        known = self.parts
+        pieces = [b"" if p == END else known[p] for p in parts]
+        flat = np.frombuffer(b"".join(pieces), "<u4")
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        starts, taken = np.cumsum(sizes) - sizes, sizes[index]
+        ends = np.cumsum(taken)
+        places = np.repeat(starts[index] - ends + taken, taken)
+        places += np.arange(len(places))
+        return _cut(flat[places].tobytes(), ends[index == parts.index(END)] * 4)
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, which is given as UTF-8, whatever its length."""
+        read = [t.decode("utf-8", "replace") for t in texts]
+        plain = [ODD.search(t) is None for t in read]
+        of_plain = iter(self._encode_plain([t for t, p in zip(read, plain, strict=True) if p]) if any(plain) else ())
+        of_others = iter(self._encode_words([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(of_plain if p else of_others) for p in plain]
+
+
+def _cut(data: bytes, ends: np.ndarray) -> list[bytes]:
+    """``data`` in pieces that end there."""
+    places = [0, *ends.tolist()]
+    return [data[low:high] for low, high in pairwise(places)]
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
