@@ -18,12 +18,17 @@ UNDETERMINED = "und"
 BITS = 15
 BUCKETS = 1 << BITS
 PIECE = 1 << 18
-LETTER = re.compile(r"[^\W\d_]")
+WORD_CHARACTER = re.compile(r"[^\W\d_]")
 # Odd multipliers of the n-gram hash, one for each place.
 PLACES = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 EDGE = "\x00\x00"
 
 
+def has_letter(text: str) -> bool:
+    """True for a character of the Unicode letter categories; numbers such as ½, ² and ① are none."""
+    return any(found[0].isalpha() for found in WORD_CHARACTER.finditer(text))
+
+
 def _pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
     """Texts cut into pieces with the two characters before each, in lots of about ``PIECE`` characters."""
     owners: list[int] = []
@@ -71,7 +76,7 @@ class LanguageModel:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """The language of each text and its probability; texts without a letter are ``und``."""
-        known = [i for i, t in enumerate(texts) if LETTER.search(t)] if self.languages else []
+        known = [i for i, t in enumerate(texts) if has_letter(t)] if self.languages else []
         names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         if not known:
             return names, scores

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
@@ -28,6 +29,12 @@ ODD = re.compile(r"[^!-~À-ÖØ-öø-ÿ \t\n\r\v\f]|<\|")
 END = "\0"
 SPECIAL = "<|"
 RANKS = 1 << 40
+#: Sequences packed together where the order of documents is kept, and the numbers set aside for them.
+WINDOW = 256
+SEQUENCES_A_WINDOW = 1 << 21
+#: Runs of rows whose begins are broadcast, some hundred bytes each.
+BROADCAST_RUNS = 200_000
+FILE, BLOCK = "__file", "__block"
 
 
 class Memory(dict):
@@ -154,7 +161,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _cutter(path: str, capacity: int, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = ()) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Encodes documents, ends each with ``end_id``, cuts it; numbers the pieces of each length in the partition."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,8 +171,10 @@ def _cutter(path: str, capacity: int, end_id: int) -> Callable[[Iterator[pa.Reco
         for batch in batches:
             texts, ids = binaries(batch.column("text")), batch.column("doc_id").to_pylist()
             parts = batch.column("part").to_pylist()
+            others = [batch.column(name) for name in extra]
             for low, high in lots(texts, LOT_BYTES):
                 out: dict[str, list] = {c: [] for c in ("doc_id", "piece", "start", "length", "ids", "part", "rank")}
+                rows: list[int] = []
                 for k, coded in enumerate(encode(texts[low:high]), low):
                     coded += end
                     for piece, at in enumerate(range(0, len(coded), 4 * capacity)):
@@ -174,10 +183,12 @@ def _cutter(path: str, capacity: int, end_id: int) -> Callable[[Iterator[pa.Reco
                         values = (ids[k], piece, at // 4, n, chunk, parts[k], int(seen[n]))
                         for column, value in zip(out.values(), values, strict=True):
                             column.append(value)
+                        rows.append(k)
                         seen[n] += 1
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
                 arrays = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=list(out))
+                taken = [other.take(pa.array(rows, pa.int64())) for other in others]
+                yield pa.RecordBatch.from_arrays([*arrays, *taken], names=[*out, *extra])
 
     return cut
 
@@ -265,37 +276,49 @@ def _places(found: list[Pattern]) -> dict[str, np.ndarray]:
     return dict(zip(("key", "begin", "first", "each", "offset", "length"), table.T.copy(), strict=True))
 
 
+def _spots(table: dict[str, np.ndarray], length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence and the offset of pieces given by their length and their number among those of that length."""
+    row = np.searchsorted(table["key"], length * RANKS + rank, "right") - 1
+    turn, slot = np.divmod(rank - table["begin"][row], table["each"][row])
+    return table["first"][row] + turn, table["offset"][row] + slot * length
+
+
 def _placer(broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = broadcast.value
         for batch in batches:
             length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
-            row = np.searchsorted(table["key"], length * RANKS + rank, "right") - 1
-            turn, slot = np.divmod(rank - table["begin"][row], table["each"][row])
+            sequence, offset = _spots(table, length, rank)
             kept = batch.drop_columns(["rank"])
             yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(table["first"][row] + turn), pa.array(table["offset"][row] + slot * length)],
+                [*kept.columns, pa.array(sequence), pa.array(offset)],
                 names=[*kept.schema.names, "sequence_id", "offset"],
             )
 
     return place
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, extra: Mapping[str, str] | None = None
+) -> DataFrame:
     """``doc_id, piece, start, length, ids, part, rank``: every document's ids and ``end_id``, cut at ``capacity``.
 
     ``tokenizer`` is the path of a tokenizer file that drops white space, readable on every machine.
     A null, empty or blank text is just ``end_id``. Only longer documents are cut; the last piece may
     be shorter. ``ids`` holds little-endian 32-bit numbers. ``part`` and ``rank`` number the pieces
-    of each length, for ``placed``. Texts are encoded whole, word by word, whatever their length.
+    of each length, for ``placed``. Texts are encoded whole, word by word, whatever their length. ``extra``
+    names further columns of the result and the columns of ``docs`` that they are.
     """
+    extra = extra or {}
     rows = docs.select(
-        F.col("doc_id").cast("long"), text_bytes(F.col("text")).alias("text"), F.spark_partition_id().alias("part")
-    )
-    return rows.mapInArrow(
-        _cutter(tokenizer, capacity, end_id),
-        "doc_id long, piece int, start long, length long, ids binary, part int, rank long",
+        F.col("doc_id").cast("long"),
+        text_bytes(F.col("text")).alias("text"),
+        F.spark_partition_id().alias("part"),
+        *[F.col(column).alias(name) for name, column in extra.items()],
     )
+    schema = StructType.fromDDL("doc_id long, piece int, start long, length long, ids binary, part int, rank long")
+    schema = StructType([*schema.fields, *[rows.schema[name] for name in extra]])
+    return rows.mapInArrow(_cutter(tokenizer, capacity, end_id, list(extra)), schema)
 
 
 def placed(cut: DataFrame, capacity: int = 2048, staging: Staging | None = None) -> DataFrame:
@@ -325,3 +348,80 @@ def packed(
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids, sequence_id, offset``: all documents packed into sequences of ``capacity``."""
     return placed(pieces(docs, tokenizer, capacity, end_id), capacity, staging)
+
+
+def _in_file_order(docs: DataFrame) -> tuple[Column, Column]:
+    """What tells the runs of rows that a task reads in order: file and first byte, else the partition."""
+    try:
+        docs.select("_metadata.file_block_start")
+    except AnalysisException:
+        return F.lit(""), F.spark_partition_id().cast("long")
+    return F.col("_metadata.file_name"), F.col("_metadata.file_block_start")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``within``: the tokens before each piece in its run of rows, which come in order."""
+    last, total = None, 0
+    for batch in batches:
+        length = batch.column("length").to_numpy()
+        runs = list(zip(batch.column("file").to_pylist(), batch.column("block").to_pylist(), strict=True))
+        within = np.zeros(len(length), np.int64)
+        for i, (run, n) in enumerate(zip(runs, length.tolist(), strict=True)):
+            if run != last:
+                last, total = run, 0
+            within[i] = total
+            total += n
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(within)], names=[*batch.schema.names, "within"])
+
+
+def _window_packer(capacity: int, columns: list[str]) -> Callable[[pa.Table], pa.Table]:
+    def pack(rows: pa.Table) -> pa.Table:
+        length = rows.column("length").to_numpy()
+        order = np.lexsort((rows.column("within").to_numpy(), length))
+        starts = np.flatnonzero(np.diff(length[order], prepend=-1))
+        rank = np.empty(len(length), np.int64)
+        rank[order] = np.arange(len(length)) - np.repeat(starts, np.diff([*starts, len(length)]))
+        sizes, counts = np.unique(length, return_counts=True)
+        found = _places(minimum_slack(dict(zip(sizes.tolist(), counts.tolist(), strict=True)), capacity))
+        sequence, offset = _spots(found, length, rank)
+        first = rows.column("window")[0].as_py() * SEQUENCES_A_WINDOW
+        return rows.select(columns).append_column("sequence_id", pa.array(first + sequence)).append_column("offset", pa.array(offset))
+
+    return pack
+
+
+def packed_in_order(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = 2048,
+    end_id: int = 0,
+    window: int = WINDOW,
+    staging: Staging | None = None,
+) -> DataFrame:
+    """``packed``, with sequences in the order of the documents from window to window.
+
+    Documents are taken in the order of their files' names and the rows in them, as ``mixing.in_order``
+    writes them (rows of no file: from partition to partition). Every ``window`` sequences' worth of tokens
+    is packed for itself and its sequences are numbered after those before, so the first part of the
+    sequences holds the first part of the documents, to within a window. A task packs a window at a time, of
+    bounded size whatever the documents, as long ones are cut first; the driver sees no length. Pieces are
+    shuffled once, by window. Null, empty and repeated documents are as in ``packed``; no document, no piece.
+    """
+    staging = staging_for(docs.sparkSession, staging)
+    file, block = _in_file_order(docs)
+    cut = pieces(docs.withColumns({FILE: file, BLOCK: block}), tokenizer, capacity, end_id, {"file": FILE, "block": BLOCK})
+    columns = ["doc_id", "piece", "start", "length", "ids"]
+    within = StructType([cut.schema[c] for c in (*columns, "file", "block")]).add("within", LongType())
+    kept = staging.keep(cut.select(*columns, "file", "block").mapInArrow(_counted, within), "pieces-in-order")
+    totals = kept.groupBy("file", "block").agg(F.max(F.col("within") + F.col("length")).alias("tokens"))
+    # One row a run of rows, as many as the scan has splits; names with more digits come later.
+    earlier = Window.orderBy(F.length("file"), "file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = staging.keep(totals.select("file", "block", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("begin")), "begins")
+    few = begins.count() <= BROADCAST_RUNS
+    placed_ = kept.join(F.broadcast(begins) if few else begins, ["file", "block"])
+    windowed = placed_.select(
+        *columns, (F.col("begin") + F.col("within")).alias("within"),
+        F.floor((F.col("begin") + F.col("within")) / (window * capacity)).alias("window"),
+    )
+    schema = StructType([kept.schema[c] for c in columns]).add("sequence_id", LongType()).add("offset", LongType())
+    return windowed.groupBy("window").applyInArrow(_window_packer(capacity, columns), schema)

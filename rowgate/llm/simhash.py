@@ -20,6 +20,8 @@ SEED = 42
 LOT = 1 << 18
 LONGEST_KEY = 32
 CELL = 4096
+#: Row numbers that are broadcast, 50 MB or so as a hash table.
+BROADCAST_ROWS = 2_000_000
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -196,15 +198,25 @@ def deduplicated(docs: DataFrame, words: int, distance: int, staging: Staging |
     """One row of each group of near duplicates, all columns as they were.
 
     The row with the smallest doc_id stays (null ids last); of several rows with that id, one stays.
-    Rows are told apart by a number written down with their fingerprints, so no text is compared.
-    Further columns with any name stay.
+    Rows are written once with their fingerprint and a number. Groups, and the numbers that stay, come from
+    these two and the id; texts are then read where they lie and rows dropped by number, a lookup
+    in a broadcast of up to ``BROADCAST_ROWS`` numbers, of those that stay or those that go, whichever are
+    fewer. Only where both are more do rows meet the numbers by a shuffle. Columns with any name stay.
     """
     staging = staging_for(docs.sparkSession, staging)
     packed = carried(docs, fp=fingerprints(F.col("text"), words), id=F.col("doc_id").cast("long"))
     rows = staging.keep(packed.withColumn("number", F.monotonically_increasing_id()), "rows")
+    prints = rows.select("fp", "id", "number")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "number")
-    first = rows.groupBy("fp").agg(F.min(order).alias("first"))
+    first = staging.keep(prints.groupBy("fp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows")), "firsts")
     groups = fingerprint_components(first.select("fp"), distance, staging)
-    chosen = first.join(groups, "fp", "left").groupBy(F.coalesce("group", "fp").alias("group")).agg(F.min("first").alias("first"))
-    kept = chosen.select(F.col("first.number").alias("kept_number"))
-    return unpacked(rows.join(kept, rows["number"] == kept["kept_number"], "left_semi"))
+    by_group = first.join(groups, "fp", "left").groupBy(F.coalesce("group", "fp").alias("group"))
+    chosen = by_group.agg(F.min("first").alias("first"), F.sum("rows").alias("rows"))
+    stay = staging.keep(chosen.select(F.col("first.number").alias("kept_number"), "rows"), "stay")
+    kept, total = stay.agg(F.count(F.lit(1)), F.sum("rows")).first()
+    stay = stay.select("kept_number")
+    same = F.col("number") == F.col("kept_number")
+    if kept > BROADCAST_ROWS >= (total or 0) - kept:
+        gone = prints.select("number").join(stay, same, "left_anti").withColumnRenamed("number", "kept_number")
+        return unpacked(rows.join(F.broadcast(gone), same, "left_anti"))
+    return unpacked(rows.join(F.broadcast(stay) if kept <= BROADCAST_ROWS else stay, same, "left_semi"))

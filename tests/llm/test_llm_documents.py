@@ -377,3 +377,28 @@ def test_quality_edge_cases(spark, edge_docs, empty_docs):
     assert constant.rules == () and quality.scored(edge_docs, constant).first()["score"] > 0.9
     unknown = quality.train(empty_docs, labels, F.lit(True))
     assert quality.scored(edge_docs, unknown).first()["score"] == pytest.approx(0.5)
+
+
+def test_letters_are_letters():
+    assert not any(map(langid.has_letter, ["½", "²³", "①", "", "12 _ 3", "\u0661\u2167"]))
+    assert all(map(langid.has_letter, ["a½", "① é", "漢", "1ª", "\U0001d400"]))
+
+
+def test_packing_in_order_is_a_round_trip(spark, edge_docs, empty_docs, documents):
+    path = TOKENIZER
+    for docs in (edge_docs, empty_docs, documents):
+        plain = packing.pieces(docs, path, 64).select("doc_id", "piece", "start", "length", "ids").collect()
+        found = packing.packed_in_order(docs, path, 64, window=3).collect()
+        assert Counter(plain) == Counter(r[:5] for r in found)
+        spots = Counter((r["sequence_id"], r["offset"] + i) for r in found for i in range(r["length"]))
+        assert not spots or max(spots.values()) == 1 and max(s for _, s in spots) < 64
+
+
+def test_near_duplicates_go_by_stay_or_by_go(spark, edge_docs, documents, monkeypatch):
+    for docs in (edge_docs, documents):
+        expected = Counter(simhash.deduplicated(docs, 4, 4).collect())
+        groups = {r["component_id"] for r in simhash.near_duplicates(docs, 4, 4).collect()}
+        assert sum(expected.values()) == len(groups)
+        for most in (1, 0, len(groups) - 1):
+            monkeypatch.setattr(simhash, "BROADCAST_ROWS", most)
+            assert Counter(simhash.deduplicated(docs, 4, 4).collect()) == expected

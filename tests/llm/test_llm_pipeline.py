@@ -10,6 +10,7 @@ import corpus_pipeline
 from rowgate.llm import langid, packing, quality, simhash
 from rowgate.llm import queries as settings
 from rowgate.llm.common import fold
+from rowgate.staging import Staging
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,3 +54,28 @@ def test_stages_on_edge_cases(spark, edge_docs, empty_docs, tmp_path, number):
         else:
             pieces = rows.collect()
             assert Counter(r["doc_id"] for r in pieces if r["piece"] == 0) == Counter(r["doc_id"] for r in docs.collect())
+
+
+def test_sequences_follow_the_mix(spark):
+    """While all weighted sources last, the first sequences hold each by its weight; later ones follow in order."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    staging = Staging(spark)
+    mixed = staging.keep(corpus_pipeline.mix_sources(spark, docs, folder), "mixed")
+    packed = staging.keep(corpus_pipeline.pack(spark, mixed, folder), "packed")
+    sources = {r["doc_id"]: r["source"] for r in docs.select("doc_id", "source").collect()}
+    pieces = packed.select("doc_id", "piece", "length", "sequence_id", "offset").collect()
+    order = {s: i for i, s in enumerate(sorted({r["sequence_id"] for r in pieces}))}
+    total, tokens = len(order), sum(r["length"] for r in pieces)
+    assert total <= 1.01 * -(-tokens // settings.CAPACITY)
+    first = Counter(sources[r["doc_id"]] for r in pieces if r["piece"] == 0 and order[r["sequence_id"]] < total // 10)
+    units = sum(settings.WEIGHTS.values()) + settings.REST_UNITS
+    for source, weight in settings.WEIGHTS.items():
+        assert abs(first[source] / first.total() - weight / units) < 0.02
+    filled = {}
+    for r in pieces:
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in filled.values():
+        places.sort()
+        assert places[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(places, places[1:], strict=False))
+        assert places[-1][0] + places[-1][1] <= settings.CAPACITY
