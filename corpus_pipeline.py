@@ -46,8 +46,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their ids and their places in sequences."""
-    return packing.packed(docs, public_tokenizers.path(settings.TOKENIZER), settings.CAPACITY)
+    """The pieces of all documents with their ids and their places in sequences, which follow the mix."""
+    return packing.packed_in_order(docs, public_tokenizers.path(settings.TOKENIZER), settings.CAPACITY)
 
 
 STAGES: list[tuple[str, Stage]] = [
