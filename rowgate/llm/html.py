@@ -1,8 +1,8 @@
 """Main text of web pages: structure first, then a suffix array over each host's pages.
 
 A page becomes a row of text blocks, each in the article, in boilerplate by its markup, or open.
-The token streams of a host's pages are joined and their suffixes sorted; runs of tokens that
-stand in several different pages are boilerplate, and open blocks that such runs cover go.
+The token streams of a host's pages, without their articles, are joined and their suffixes sorted; runs of
+tokens that stand in several different pages are boilerplate, and are cut out of open blocks.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from html import unescape
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import binaries
+from rowgate.llm.common import binaries, staging_for
 from rowgate.llm.urlfilter import host_and_path
+from rowgate.staging import Staging
 
 OPEN, ARTICLE, BOILERPLATE, OUTSIDE = "o", "a", "b", "x"
 RUN = 8
@@ -275,6 +277,11 @@ def window_hashes(streams: list[np.ndarray], numbers: dict[str, int], run: int,
     return out
 
 
+def beside_article(page: list[tuple[str, str]]) -> list[str]:
+    """The blocks that repetition is looked for in: all but the article, whose copies are no boilerplate."""
+    return [text for zone, text in page if zone != ARTICLE]
+
+
 def main_texts(
     pages: list[list[tuple[str, str]]],
     run: int = RUN,
@@ -282,18 +289,20 @@ def main_texts(
     host: str = "",
     elsewhere: np.ndarray | None = None,
 ) -> list[tuple[str, int, int]]:
-    """Of a host's pages the main text, the number of tokens, and how many of them repeat across pages.
+    """Of a host's pages the main text, the number of tokens, and how many beside the article repeat across pages.
 
-    The article, where there is one, even an empty one; else the open blocks, without those whose tokens all stand in
-    repeated runs. If that leaves a page nothing, its open blocks stay: it is a copy, not boilerplate.
-    Pages with the same words count once. ``elsewhere`` holds the hashes of runs that repeat in the
-    whole of a ``host`` of which these are some pages.
+    The article, where there is one, even an empty one; else the open blocks without the runs that repeat: a
+    block that they cover goes, of one that they cover in part the rest stays, if it is a run's length, else the
+    whole block. If that leaves a page nothing, its open blocks stay: it is a copy, not boilerplate. Pages with
+    the same words count once.
+    ``elsewhere`` holds the hashes of runs that repeat in the whole of a ``host`` of which these are some pages.
     """
     if not pages:
         return []
     different: dict[str, int] = {}
     copy_of = [different.setdefault(" ".join(text for _, text in page), len(different)) for page in pages]
-    streams, numbers = _numbered(different)
+    beside = dict(zip(copy_of, map(beside_article, pages), strict=True))
+    streams, numbers = _numbered(" ".join(beside[i]) for i in range(len(different)))
     covered = repeated_tokens(streams, run, least_pages)
     if elsewhere is not None and len(elsewhere):
         for mask, hashes in zip(covered, window_hashes(streams, numbers, run, host), strict=True):
@@ -302,22 +311,27 @@ def main_texts(
                 mask[begins + k] = True
     out = []
     for page, number in zip(pages, copy_of, strict=True):
-        mask, at = covered[number], 0
+        mask, at, total = covered[number], 0, 0
         article, unique, open_ = [], [], []
         has_article = False
         for zone, text in page:
-            tokens = text.count(" ") + 1
-            repeated = bool(mask[at : at + tokens].all())
-            at += tokens
             has_article = has_article or zone in (ARTICLE, OUTSIDE)
+            tokens = text.count(" ") + 1
+            total += tokens
             if zone == ARTICLE:
                 article.append(text)
-            elif zone == OPEN:
+                continue
+            repeats = mask[at : at + tokens]
+            at += tokens
+            if zone == OPEN:
                 open_.append(text)
-                if not repeated:
+                rest = int((~repeats).sum())
+                if rest >= run:
+                    unique.append(" ".join(compress(text.split(" "), ~repeats)))
+                elif rest:
                     unique.append(text)
         chosen = article if has_article else (unique or open_)
-        out.append(("\n".join(chosen), len(mask), int(mask.sum())))
+        out.append(("\n".join(chosen), total, int(mask.sum())))
     return out
 
 
@@ -339,7 +353,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _given(table: pa.Table) -> list[list[tuple[str, str]]]:
+def _given(table: pa.Table | pa.RecordBatch) -> list[list[tuple[str, str]]]:
     import zstandard
 
     unpacker = zstandard.ZstdDecompressor()
@@ -350,23 +364,20 @@ def _given(table: pa.Table) -> list[list[tuple[str, str]]]:
     return given
 
 
-def _windows(run: int) -> Callable[[pa.Table], pa.Table]:
-    """Of a group's pages the hashes of all runs, each with the number of different pages that hold it."""
-
-    def windows(table: pa.Table) -> pa.Table:
-        host, part = table.column("host")[0].as_py(), table.column("part")[0].as_py()
-        different = dict.fromkeys(" ".join(text for _, text in page) for page in _given(table))
-        own = [np.unique(x) for x in window_hashes(*_numbered(different), run, host or "")]
-        hashes, pages = np.unique(np.concatenate(own), return_counts=True)
-        n = len(hashes)
-        return pa.table(
-            {
-                "host": pa.array([host] * n, pa.string()),
-                "part": pa.array(np.full(n, part, np.int64)),
-                "hash": pa.array(hashes, pa.int64()),
-                "pages": pa.array(pages, pa.int64()),
-            }
-        )
+def _windows(run: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of each page of a large host the different hashes of its runs beside the article, under the page's words."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, owner = [], []
+            for i, (host, page) in enumerate(zip(batch.column("host").to_pylist(), _given(batch), strict=True)):
+                (hashes,) = window_hashes(*_numbered([" ".join(beside_article(page))]), run, host or "")
+                found.append(np.unique(hashes))
+                owner.append(np.full(len(found[-1]), i, np.int64))
+            none = np.zeros(0, np.int64)
+            rows, hashes = pa.array(np.concatenate([none, *owner])), np.concatenate([none, *found])
+            taken = [batch.column(name).take(rows) for name in ("host", "part", "words")]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(hashes)], names=["host", "part", "words", "hash"])
 
     return windows
 
@@ -387,15 +398,22 @@ def _extractor(run: int, pages: int) -> Callable[..., pa.Table]:
     return extract
 
 
-def extracted(pages: DataFrame, run: int = RUN, least_pages: int = PAGES, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def extracted(
+    pages: DataFrame,
+    run: int = RUN,
+    least_pages: int = PAGES,
+    group_bytes: int = GROUP_BYTES,
+    staging: Staging | None = None,
+) -> DataFrame:
     """``page_id, url, text, n_tokens, n_repeated`` of every page: its main text, read from the whole html.
 
     Null and empty html give an empty text. ``n_tokens`` are the tokens of all visible blocks,
-    ``n_repeated`` those in runs of ``run`` tokens that ``least_pages`` different pages of the host
-    hold. Pages go to tasks by host, compressed. Hosts of over ``group_bytes`` of html, among them
-    pages without a url, are dealt to several groups by a hash of their words, so that no task gets an
-    unbounded host. Their runs are counted by 64-bit hashes over all groups, and each group gets the
-    hashes of its runs that repeat in the host, so the size of groups changes no result. Repeated rows
+    ``n_repeated`` those beside the article in runs of ``run`` tokens that ``least_pages`` different pages of
+    the host hold; longer repeated strings are covered by their runs. Pages go to tasks by host,
+    compressed. Hosts of over ``group_bytes`` of html, among them pages without a url, are dealt to several
+    groups by a hash of page and url, so neither an unbounded host nor the copies of a page make a task.
+    Their runs are counted by 64-bit hashes over the whole host, a page's words once, and each group gets
+    the hashes of its runs that repeat in the host, so the size of groups changes no result. Repeated rows
     and further columns do not matter.
     """
     rows = pages.select(
@@ -408,17 +426,20 @@ def extracted(pages: DataFrame, run: int = RUN, least_pages: int = PAGES, group_
     large = sizes.select("host", F.ceil(F.col("size") / group_bytes).alias("groups"))
     hot = large.limit(MOST_HOT + 1).count()
     dealt = rows.join(F.broadcast(large) if hot <= MOST_HOT else large, "host", "left")
-    dealt = dealt.select("page_id", "url", "host", F.coalesce("groups", F.lit(1)).cast("long").alias("groups"), "html")
-    kind = "page_id long, url string, host string, groups long, words long, blocks binary"
-    parsed = dealt.mapInArrow(_parsed, kind).withColumn("part", F.pmod("words", "groups")).drop("words")
+    part = F.when(F.col("groups").isNull(), 0).otherwise(F.pmod(F.xxhash64("page_id", "url"), F.col("groups")))
+    dealt = dealt.select("page_id", "url", "host", part.alias("part"), F.col("groups").isNotNull().alias("large"), "html")
+    kind = "page_id long, url string, host string, part long, large boolean, words long, blocks binary"
+    parsed = dealt.mapInArrow(_parsed, kind)
     out, extract = "page_id long, url string, text string, n_tokens long, n_repeated long", _extractor(run, least_pages)
     if not hot:
         return parsed.groupBy("host", "part").applyInArrow(lambda table: extract(table), out)
-    windows = parsed.where("groups > 1").groupBy("host", "part").applyInArrow(
-        _windows(run), "host string, part long, hash long, pages long"
-    )
-    counted = windows.groupBy("host", "hash").agg(F.sum("pages").alias("pages"), F.collect_list("part").alias("parts"))
-    repeated = counted.where(F.col("pages") >= least_pages).select("host", F.explode("parts").alias("part"), "hash")
+    staging = staging_for(pages.sparkSession, staging)
+    of_large = dealt.where("large").mapInArrow(_parsed, kind).select("host", "part", "words", "blocks")
+    windows = staging.keep(of_large.mapInArrow(_windows(run), "host string, part long, words long, hash long"), "windows")
+    counted = windows.groupBy("host", "hash").agg(F.count_distinct("words").alias("pages")).where(F.col("pages") >= least_pages)
+    asked = windows.select("host", "part", "hash").distinct().alias("a")
+    known = counted.select("host", "hash").alias("k")
+    repeated = asked.join(known, F.expr("a.host <=> k.host AND a.hash = k.hash"), "left_semi").select("host", "part", "hash")
 
     def with_repeated(table: pa.Table, runs: pa.Table) -> pa.Table:
         return extract(table, runs.column("hash").to_numpy())

@@ -314,3 +314,40 @@ def test_groups_of_a_host_change_no_result(spark):
     assert {tuple(r) for r in html.extracted(frame, group_bytes=100).collect()} == whole
     assert {tuple(r) for r in html.extracted(frame, group_bytes=2000).collect()} == whole
     assert not any(notice in text or rare in text for i, _, text, _, _ in whole if i < 12)
+
+
+def plain_pages(hosts=3, count=9):
+    """Pages without an article: bare blocks, some of each host's boilerplate alone and some beside unique words."""
+    pages, texts = [], {}
+    for host in range(hosts):
+        notice = " ".join(f"notice{host}x{k}" for k in range(14))
+        sign = " ".join(f"sign{host}x{k}" for k in range(10))
+        for n in range(count):
+            body = [" ".join(f"w{host}x{n}x{p}x{k}" for k in range(5 + 7 * p)) for p in range(4)]
+            tail = f"{body[3]} {sign}"
+            html_ = f"<html><body><div>{notice}</div>" + "".join(f"<p>{b}</p>" for b in body[:3])
+            pages.append((100 * host + n, f"https://h{host}.example/{n}", f"{html_}<div>{tail}</div><p>{sign}</p></body></html>"))
+            texts[100 * host + n] = "\n".join(body)
+    return pages, texts
+
+
+@pytest.mark.parametrize("group_bytes", [1 << 20, 3000, 10])
+def test_pages_without_an_article_keep_their_unique_runs(spark, group_bytes):
+    pages, texts = plain_pages()
+    copies = [(5000 + i, pages[0][1], pages[0][2]) for i in range(40)]
+    frame = spark.createDataFrame(pages + copies, "page_id long, url string, html string").repartition(5)
+    found = {r["page_id"]: r["text"] for r in html.extracted(frame, group_bytes=group_bytes).collect()}
+    assert found == texts | {i: texts[0] for i, _, _ in copies}
+
+
+def test_copies_of_a_page_are_spread_and_count_once(spark):
+    """A third of all rows are one page: they go to many groups, and their runs are not boilerplate."""
+    pages, texts = plain_pages(hosts=1)
+    pages += [(1000 + i, pages[0][1], pages[0][2].replace("<html>", f'<html data-n="{i}">')) for i in range(300)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = html.extracted(frame, group_bytes=5000)
+    rows = found.collect()
+    assert {r["text"] for r in rows if r["page_id"] >= 1000} == {texts[0]}
+    assert {r["page_id"]: r["text"] for r in rows if r["page_id"] < 1000} == texts
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
