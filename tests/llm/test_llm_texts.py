@@ -194,8 +194,22 @@ def test_words_out_of_context_keep_their_whole_counts():
     zeros_ones = {}
     for symbol, n in enumerate(counts):
         at, _ = coder.word_tree.expand(np.array([symbol]))
-        for slot, bit in zip(coder.word_tree.alone[at].tolist(), coder.word_tree.bits[at].tolist(), strict=True):
+        for slot, bit in zip(coder.word_tree.alone(at).tolist(), coder.word_tree.bits[at].tolist(), strict=True):
             zeros_ones[2 * slot + bit] = zeros_ones.get(2 * slot + bit, 0) + n
     assert {i: int((tables - spelled)[0, i]) for i in zeros_ones} == zeros_ones
     block = np.full(2 * lm.BLOCK, 10**12, np.int64)
     assert lm._fold_counts(iter([{"block": 0, "payload": lm._packed(block)}]))[0, 0] == 10**12
+
+
+def test_only_texts_that_are_there_once_are_left_out_of_the_counts(spark, documents, monkeypatch):
+    """A text much repeated under one id, or none, is counted whole though its text falls in the draw."""
+    hot = "again and again the same words are said and written down"
+    rows = [(None, hot)] * 60 + [(7, hot + " twice")] * 40 + [(r["doc_id"], r["text"]) for r in documents.collect()]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, tuned = [], lm._tuned
+    monkeypatch.setattr(lm, "_tuned", lambda tables, coder, texts: seen.extend(texts) or tuned(tables, coder, texts))
+    found = lm.scored(frame, F.lit(True)).collect()
+    assert seen and len(set(seen)) == len(seen) and not any(t.startswith(b"again") for t in seen)
+    assert len(found) == len(rows)
+    by_text = {r["bits_per_byte"] for r in found if r["doc_id"] is None}
+    assert len(by_text) == 1 and by_text.pop() < np.median([r["bits_per_byte"] for r in found if (r["doc_id"] or 0) > 7])
