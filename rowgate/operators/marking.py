@@ -67,7 +67,7 @@ _BIT = "_rowgate_bit"
 _BITMAP = "_rowgate_bitmap"
 _MAYBE = "_rowgate_maybe"
 # Names of a table of digests, which has a contract of its own.
-_KEY_DIGEST, _ROW_DIGEST, _NUMBER = "key_digest", "row_digest", "number"
+KEY_DIGEST, ROW_DIGEST, NUMBER = "key_digest", "row_digest", "number"
 
 
 def mark_duplicates(
@@ -121,6 +121,20 @@ def digest(rows: DataFrame, names: Sequence[str]) -> Column:
     return F.unhex(F.sha2(F.concat(*map(told, names)), 256))
 
 
+def digest_contract() -> Contract:
+    """The shape of a table of digests."""
+    return Contract({KEY_DIGEST: UNCHECKED_TYPE, ROW_DIGEST: UNCHECKED_TYPE}, [KEY_DIGEST], row_id=NUMBER)
+
+
+def digests_of(rows: DataFrame, contract: Contract) -> DataFrame:
+    """``number, key_digest, row_digest`` of each row; the key's is null unless the key is whole."""
+    return rows.select(
+        column(contract.row_id).alias(NUMBER),
+        F.when(has_key(contract.key), digest(rows, contract.key)).alias(KEY_DIGEST),
+        digest(rows, contract.data_columns).alias(ROW_DIGEST),
+    )
+
+
 def _mark_by_digests(
     rows: DataFrame,
     contract: Contract,
@@ -131,17 +145,18 @@ def _mark_by_digests(
     bitmap_rows: int,
 ) -> tuple[DataFrame, bool]:
     """Marks digests of the same rows and looks the marked row numbers up."""
-    shape = Contract({_KEY_DIGEST: UNCHECKED_TYPE, _ROW_DIGEST: UNCHECKED_TYPE}, [_KEY_DIGEST], row_id=_NUMBER)
-    digests = rows.select(
-        column(contract.row_id).alias(_NUMBER),
-        F.when(has_key(contract.key), digest(rows, contract.key)).alias(_KEY_DIGEST),
-        digest(rows, contract.data_columns).alias(_ROW_DIGEST),
-    )
-    kept = staging.keep(digests, "digests")
+    kept = staging.keep(digests_of(rows, contract), "digests")
     marked, _ = mark_duplicates(
-        kept, shape, staging, window_rows, broadcast_rows, bitmap_rows, total, wide_bytes=1 << 40
+        kept, digest_contract(), staging, window_rows, broadcast_rows, bitmap_rows, total, wide_bytes=1 << 40
     )
-    flagged = marked.where(F.col(DUP_ROW) | F.col(DUP_KEY)).select(column(_NUMBER).alias(contract.row_id), DUP_ROW, DUP_KEY)
+    return look_up_flags(rows, marked.where(F.col(DUP_ROW) | F.col(DUP_KEY)), contract, staging, broadcast_rows)
+
+
+def look_up_flags(
+    rows: DataFrame, flagged: DataFrame, contract: Contract, staging: Staging, broadcast_rows: int
+) -> tuple[DataFrame, bool]:
+    """``rows`` with both flags, from those of the marked ``number`` s; and whether that shuffles the rows."""
+    flagged = flagged.select(column(NUMBER).alias(contract.row_id), DUP_ROW, DUP_KEY)
     flagged = staging.keep(flagged, "flagged")
     few = flagged.count() <= broadcast_rows
     found = rows.join(F.broadcast(flagged) if few else flagged.hint("merge"), [contract.row_id], "left")

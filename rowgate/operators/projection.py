@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,19 +103,19 @@ def with_flags(df: DataFrame, flags: Mapping[str, Column]) -> DataFrame:
     return df.withColumns(dict(flags)) if flags else df
 
 
-def typed(df: DataFrame, contract: Contract, try_cast: bool = False) -> DataFrame:
+def typed(df: DataFrame, contract: Contract, try_cast: bool = False, extra: Sequence[str] = ()) -> DataFrame:
     """The declared columns cast to their types, or as they are for an untyped contract.
 
     The cast is Spark's plain one: in ANSI mode a value that cannot be cast fails the job
     instead of turning into a null. A strict contract has such rows in quarantine already.
-    ``try_cast`` makes such values null, for a caller that counts them.
+    ``try_cast`` makes such values null, for a caller that counts them. ``extra`` columns stay as they are.
     """
     if not contract.typed:
-        return select_data(df, contract)
+        return df.select(*map(column, [*contract.data_columns, *extra]))
 
     def cast(name: str, type_name: str) -> Column:
         if type_name == UNCHECKED_TYPE:
             return column(name).cast("string")
         return column(name).try_cast(type_name) if try_cast else column(name).cast(type_name)
 
-    return df.select(*[cast(name, type_name).alias(name) for name, type_name in contract.columns.items()])
+    return df.select(*[cast(name, type_name).alias(name) for name, type_name in contract.columns.items()], *extra)

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.contract import Contract
+from rowgate.contract import REASON, Contract
 from rowgate.functions import any_flag, column, uncastable
 from rowgate.operators import (
     all_duplicates,
@@ -23,8 +23,9 @@ from rowgate.operators import (
     with_file_row_id,
     with_row_id,
 )
+from rowgate.operators.marking import digest
 from rowgate.operators.projection import BROADCAST_FILES
-from rowgate.plans import scoring
+from rowgate.plans import appending, scoring
 from rowgate.sources import (
     Staged,
     check_mode,
@@ -136,6 +137,11 @@ class CleanseJob:
 
     ``run`` does it in one go. The stage methods give each step's record set on its own; put
     together they select the same rows with the same reasons.
+
+    With ``keep_keys``, appends see the keys of earlier runs, whose tuples they keep in the tables
+    ``<good_table>_keys`` and ``<good_table>_runs``: several appends then give what one run over all inputs
+    gives, where the rows of a key that more than one tuple has leave the clean table. Both tables have
+    a column ``_digest`` more, which tells tuples apart.
     """
 
     spark: SparkSession
@@ -150,6 +156,7 @@ class CleanseJob:
     broadcast_rows: int = scoring.BROADCAST_ROWS
     bitmap_rows: int = scoring.BITMAP_ROWS
     broadcast_files: int = BROADCAST_FILES
+    keep_keys: bool = False
 
     def __post_init__(self) -> None:
         names = table_names(self.pipeline_name)
@@ -158,6 +165,8 @@ class CleanseJob:
         self.bad_table = self.bad_table or names.bad
         if len({self.source.lower(), self.good_table.lower(), self.bad_table.lower()}) < 3:
             raise ValueError("source, good and bad tables must be three different tables")
+        if self.keep_keys and self.mode != "append":
+            raise ValueError("keys of earlier runs matter to appends only")
 
     def read(self, staging: Staging | None = None) -> DataFrame:
         """The declared columns of the raw table behind a unique row number, the same in every plan.
@@ -216,6 +225,8 @@ class CleanseJob:
         self.recover()
         for table in tables:
             check_mode(self.spark, table, self.mode)
+        if self.keep_keys:
+            return self._run_with_keys()
         with Staging(self.spark) as staging:
             rows, total = self._numbered(staging)
             scored = scoring.score(
@@ -232,26 +243,69 @@ class CleanseJob:
             publish(self.spark, [bad_rows, self._stage_good(scoring.good(scored, self.contract))])
         return read_table(self.spark, self.good_table), read_table(self.spark, self.bad_table)
 
+    def _run_with_keys(self) -> tuple[DataFrame, DataFrame]:
+        """``run`` for an append that knows the keys of earlier runs."""
+        sizes = {"window_rows": self.window_rows, "broadcast_rows": self.broadcast_rows, "bitmap_rows": self.bitmap_rows}
+        index = appending.KeyIndex(self.spark, f"{self.good_table}_keys", f"{self.good_table}_runs", self.contract)
+        shape = self.contract
+        with Staging(self.spark) as staging:
+            rows, _ = self._numbered(staging)
+            marked, taken_out = appending.mark_with_known(rows, shape, index, staging, sizes)
+            tuples = digest(marked, shape.data_columns).alias(appending.DIGEST)
+            told = marked.select("*", tuples)
+            scored = scoring.with_reasons(told, shape, [appending.DIGEST])
+            scored = staging.keep(scored, "scored")
+            good_rows = scored.where(F.size(REASON) == 0)
+            bad_rows = scored.where(F.size(REASON) > 0).select(
+                *map(column, [shape.row_id, *shape.carried_columns]), REASON, appending.DIGEST
+            )
+            run = index.add(appending.first_tuples(marked, shape))
+            files: dict[str, list[str]] = {}
+            stay: dict[str, DataFrame] = {}
+            if taken_out is not None and not taken_out.isEmpty():
+                for table in (self.good_table, self.bad_table):
+                    files[table], stay[table] = appending.files_to_rewrite(read_table(self.spark, table), taken_out)
+                bad_rows = bad_rows.unionByName(appending.taken_out_records(index, taken_out, shape))
+                bad_rows = bad_rows.unionByName(stay[self.bad_table])
+            runs = self.spark.createDataFrame([(run,)], f"{appending.RUN} string").coalesce(1)
+            publish(
+                self.spark,
+                [
+                    stage(bad_rows, self.bad_table, "append", even_files=True, remove=files.get(self.bad_table, ())),
+                    self._stage_good(good_rows, stay.get(self.good_table), files.get(self.good_table, ())),
+                    stage(runs, index.runs, "append"),
+                ],
+            )
+        return read_table(self.spark, self.good_table), read_table(self.spark, self.bad_table)
+
     def recover(self) -> bool:
         """Finish a publication of both tables that was cut short; says if there was one."""
-        return recover(self.spark, [self.bad_table, self.good_table])
+        tables = [self.bad_table, self.good_table]
+        return recover(self.spark, [*tables, f"{self.good_table}_runs"] if self.keep_keys else tables)
 
-    def _stage_good(self, rows: DataFrame) -> Staged | None:
+    def _stage_good(self, rows: DataFrame, stay: DataFrame | None = None, remove: Sequence[str] = ()) -> Staged | None:
         """Write the good rows, typed and with load time, counting on the way those that the cast would stop for.
 
         There are such rows in ANSI mode only, and not with a strict contract, which has them in quarantine.
+        ``stay`` are rows of the table's files in ``remove`` that are written anew.
         """
+        extra = [appending.DIGEST] if self.keep_keys else []
+
+        def staged(checked: DataFrame, try_cast: bool) -> Staged | None:
+            loaded = with_load_time(typed(checked, self.contract, try_cast, extra), "", self.loaded_at)
+            whole = loaded if stay is None else loaded.unionByName(stay)
+            return stage(whole, self.good_table, self.mode, remove=remove)
+
         ansi = self.spark.conf.get("spark.sql.ansi.enabled", "true").lower() == "true"
         flags = uncastable(self.contract) if self.contract.typed and not self.contract.strict and ansi else {}
         if not flags:
-            return stage(with_load_time(typed(rows, self.contract), "", self.loaded_at), self.good_table, self.mode)
+            return staged(rows, False)
         seen, fails = Observation(), any_flag(list(flags.values()))
         example = F.to_json(F.struct(*map(column, self.contract.data_columns)))
         watched = rows.observe(
             seen, F.count_if(fails).alias("rows"), F.max(F.when(fails, example)).alias("example")
         )
-        loaded = with_load_time(typed(watched, self.contract, try_cast=True), "", self.loaded_at)
-        staged = stage(loaded, self.good_table, self.mode)
-        if staged and seen.get["rows"]:
+        found = staged(watched, True)
+        if found and seen.get["rows"]:
             raise ValueError(f"{seen.get['rows']} good rows cannot be cast to the declared types, such as {seen.get['example']}")
-        return staged
+        return found

@@ -6,6 +6,8 @@ come from ``operators.marking``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def score(
     marked, shuffled = mark_duplicates(
         df, contract, staging, window_rows, broadcast_rows, bitmap_rows, total, wide_bytes
     )
-    scored = _with_reasons(marked, contract)
+    scored = with_reasons(marked, contract)
     if read_twice and shuffled:
         return staging.keep(scored.withColumn(_BAD, F.size(REASON) > 0), "scored", _BAD)
     return scored
@@ -74,7 +76,8 @@ def reason_counts(scored: DataFrame) -> DataFrame:
     )
 
 
-def _with_reasons(marked: DataFrame, contract: Contract) -> DataFrame:
+def with_reasons(marked: DataFrame, contract: Contract, extra: Sequence[str] = ()) -> DataFrame:
+    """Rows with both duplicate flags as rows with ``reason``; ``extra`` columns stay."""
     flags = {
         **invalid_flags(contract),
         **null_flags(contract.key),
@@ -82,5 +85,5 @@ def _with_reasons(marked: DataFrame, contract: Contract) -> DataFrame:
         DUP_KEY: F.col(DUP_KEY),
     }
     return marked.select(
-        *map(column, [contract.row_id, *contract.carried_columns]), reason_array(flags).alias(REASON)
+        *map(column, [contract.row_id, *contract.carried_columns]), reason_array(flags).alias(REASON), *extra
     )

@@ -36,13 +36,21 @@ class Staged:
     replace: bool
     format_type: str
     schema: str
+    remove: tuple[str, ...] = ()
 
 
 def stage(
-    df: DataFrame, table: str, mode: str = "overwrite", format_type: str | None = None, even_files: bool = False
+    df: DataFrame,
+    table: str,
+    mode: str = "overwrite",
+    format_type: str | None = None,
+    even_files: bool = False,
+    remove: Sequence[str] = (),
 ) -> Staged | None:
     """Write ``df`` for ``table`` without touching it; None if the mode is ``ignore`` and the table is there.
 
+    ``remove`` names files of the table that go when an append is published: ``df`` has their rows that stay.
+
     Rows for an existing table must have its columns, in any order. Partitioned and bucketed tables
     and views cannot be appended to this way.
     """
@@ -58,7 +66,7 @@ def stage(
     folder = f"{_versions(spark, table)}/{uuid.uuid4().hex}"
     rows = df.hint("rebalance") if even_files else df
     rows.write.format(format_type).save(folder)
-    return Staged(table, folder, replace, format_type, df.schema.json())
+    return Staged(table, folder, replace, format_type, df.schema.json(), tuple(remove))
 
 
 def check_mode(spark: SparkSession, table: str, mode: str) -> None:
@@ -126,8 +134,8 @@ def _attach(spark: SparkSession, one: Staged, there: dict[str, str]) -> None:
     name = one.folder.rsplit("/", 1)[1]
     path = spark._jvm.org.apache.hadoop.fs.Path
     if not system.exists(source):
-        return
-    if NESTED in there.get("Storage Properties", ""):
+        pass  # renamed before a fault
+    elif NESTED in there.get("Storage Properties", ""):
         _renamed(system, source, path(f"{there['Location']}/{name}"))
     else:
         for entry in system.listStatus(source):
@@ -135,6 +143,8 @@ def _attach(spark: SparkSession, one: Staged, there: dict[str, str]) -> None:
             if not file.getName().startswith(("_", ".")):
                 _renamed(system, file, path(f"{there['Location']}/{file.getName()}"))
         system.delete(source, True)
+    for file in one.remove:
+        system.delete(path(file), False)
 
 
 def _renamed(system, source, target) -> None:
