@@ -161,7 +161,13 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = ()) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def forget_encoders() -> None:
+    """Give back the memory of this worker's encoders."""
+    _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = (), forget: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Encodes documents, ends each with ``end_id``, cuts it; numbers the pieces of each length in the partition."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,6 +195,9 @@ def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = ()) ->
                 arrays = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
                 taken = [other.take(pa.array(rows, pa.int64())) for other in others]
                 yield pa.RecordBatch.from_arrays([*arrays, *taken], names=[*out, *extra])
+        if forget:
+            del encode
+            forget_encoders()
 
     return cut
 
@@ -299,7 +308,12 @@ def _placer(broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, extra: Mapping[str, str] | None = None
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = 2048,
+    end_id: int = 0,
+    extra: Mapping[str, str] | None = None,
+    forget: bool = False,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids, part, rank``: every document's ids and ``end_id``, cut at ``capacity``.
 
@@ -307,7 +321,8 @@ def pieces(
     A null, empty or blank text is just ``end_id``. Only longer documents are cut; the last piece may
     be shorter. ``ids`` holds little-endian 32-bit numbers. ``part`` and ``rank`` number the pieces
     of each length, for ``placed``. Texts are encoded whole, word by word, whatever their length. ``extra``
-    names further columns of the result and the columns of ``docs`` that they are.
+    names further columns of the result and the columns of ``docs`` that they are. A worker keeps what it has
+    learned of words from task to task, some 200 MB; with ``forget`` it gives that back after each, for stages to come.
     """
     extra = extra or {}
     rows = docs.select(
@@ -318,7 +333,7 @@ def pieces(
     )
     schema = StructType.fromDDL("doc_id long, piece int, start long, length long, ids binary, part int, rank long")
     schema = StructType([*schema.fields, *[rows.schema[name] for name in extra]])
-    return rows.mapInArrow(_cutter(tokenizer, capacity, end_id, list(extra)), schema)
+    return rows.mapInArrow(_cutter(tokenizer, capacity, end_id, list(extra), forget), schema)
 
 
 def placed(cut: DataFrame, capacity: int = 2048, staging: Staging | None = None) -> DataFrame:
@@ -409,7 +424,7 @@ def packed_in_order(
     """
     staging = staging_for(docs.sparkSession, staging)
     file, block = _in_file_order(docs)
-    cut = pieces(docs.withColumns({FILE: file, BLOCK: block}), tokenizer, capacity, end_id, {"file": FILE, "block": BLOCK})
+    cut = pieces(docs.withColumns({FILE: file, BLOCK: block}), tokenizer, capacity, end_id, {"file": FILE, "block": BLOCK}, forget=True)
     columns = ["doc_id", "piece", "start", "length", "ids"]
     within = StructType([cut.schema[c] for c in (*columns, "file", "block")]).add("within", LongType())
     kept = staging.keep(cut.select(*columns, "file", "block").mapInArrow(_counted, within), "pieces-in-order")
