@@ -343,6 +343,10 @@ def oracle_sql() -> dict[str, str]:
             WITH {_checks("pass")},
             listed AS (SELECT {DATA}, concat_ws(',', {every_reason}) AS reason FROM flagged)
             SELECT CASE WHEN reason = '' THEN 'good' ELSE 'bad' END AS side, {DATA}, reason FROM listed""",
+        "appends_with_known_keys": f"""
+            WITH {_checks("pass")},
+            listed AS (SELECT {DATA}, concat_ws(',', {every_reason}) AS reason FROM flagged)
+            SELECT CASE WHEN reason = '' THEN 'good' ELSE 'bad' END AS side, {DATA}, reason FROM listed""",
         "dual_write_many_files": f"""
             WITH {_checks("pass")},
             listed AS (SELECT {DATA}, concat_ws(',', {every_reason}) AS reason FROM flagged)

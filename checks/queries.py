@@ -638,6 +638,19 @@ def dual_write_many_files(spark, sf_dir):
     return good_side.unionByName(listed(bad_rows).select(F.lit("bad").alias("side"), *COLUMNS, "reason"))
 
 
+def appends_with_known_keys(spark, sf_dir):
+    """The defect orders loaded in three appends that keep keys: the split is that of one run."""
+    schema = scratch_schema(spark)
+    shape = contract("pass", typed=False).with_options(row_id="_sk")
+    tables = {"source": f"{schema}.raw", "good_table": f"{schema}.good", "bad_table": f"{schema}.bad"}
+    job = CleanseJob(spark, "orders", shape, **tables, mode="append", keep_keys=True, key_buckets=8)
+    for lot in range(3):
+        write_table(defect_orders(spark, sf_dir).where(F.col("rid") % 3 == lot).drop("rid"), f"{schema}.raw")
+        clean_rows, bad_rows = job.run()
+    good_side = clean_rows.select(F.lit("good").alias("side"), *COLUMNS, F.lit("").alias("reason"))
+    return good_side.unionByName(listed(bad_rows).select(F.lit("bad").alias("side"), *COLUMNS, "reason"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "table_scan": table_scan,
@@ -702,6 +715,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "good_typed": good_typed,
         "good_untyped": good_untyped,
         "dual_write_bucketed": dual_write_bucketed,
+        "appends_with_known_keys": appends_with_known_keys,
         "dual_write_many_files": dual_write_many_files,
         "dual_write_roundtrip": dual_write_roundtrip,
         "quarantine_broken_lines": quarantine_broken_lines,

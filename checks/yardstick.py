@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from checks.defects import COLUMNS, contract, defect_orders
 from checks.queries import scratch_schema
 from rowgate import CleanseJob
+from rowgate.contract import DATE_RULE, INT_RULE
 from rowgate.operators import typed
 from rowgate.sources import read_table, write_table
 
@@ -32,8 +33,8 @@ def _without(df: DataFrame, taken: DataFrame) -> DataFrame:
 def plain_split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Quarantined rows with their reasons, and the clean rows."""
     broken = [
-        _reasoned(rows, F.coalesce(~F.col("order_id").rlike("^[0-9]+$"), F.lit(False)), "_is_order_id_invalid"),
-        _reasoned(rows, F.coalesce(~F.col("file_dt").rlike(r"\d{4}-\d{2}-\d{2}$"), F.lit(False)), "_is_file_dt_invalid"),
+        _reasoned(rows, F.coalesce(~F.col("order_id").rlike(INT_RULE), F.lit(False)), "_is_order_id_invalid"),
+        _reasoned(rows, F.coalesce(~F.col("file_dt").rlike(DATE_RULE), F.lit(False)), "_is_file_dt_invalid"),
     ]
     keyless = _reasoned(rows, F.col("order_id").isNull(), "_is_order_id_null")
     base = _without(rows, keyless)

@@ -61,6 +61,8 @@ class Contract:
     ``row_id`` is the unique 64-bit row number that breaks ties between copies.
     ``rescue`` names the raw table's column of lines that did not fit their header (see ``read_raw``): such
     a line is a format error, and quarantine keeps it beside the values that were read from it.
+    ``lineage`` names further columns of the raw table that quarantine keeps, such as the file of a row;
+    no check looks at them.
     """
 
     columns: Mapping[str, str]
@@ -71,12 +73,14 @@ class Contract:
     strict: bool = False
     row_id: str = ROW_ID
     rescue: str | None = None
+    lineage: Sequence[str] = ()
 
     def __post_init__(self) -> None:
         if isinstance(self.key, str):
             raise ValueError("key must be a list of column names, not one string")
         object.__setattr__(self, "columns", MappingProxyType(dict(self.columns)))
         object.__setattr__(self, "key", tuple(self.key))
+        object.__setattr__(self, "lineage", tuple(self.lineage))
         object.__setattr__(self, "rules", MappingProxyType(dict(self.rules)))
         self._check()
 
@@ -98,9 +102,11 @@ class Contract:
         names = [c.lower() for c in self.columns]
         if len(set(names)) != len(names):
             raise ValueError("column names must differ by more than letter case")
-        if self.rescue and self.rescue.lower() in (self.row_id.lower(), REASON, *map(str.lower, self.flag_names)):
-            raise ValueError(f"column name reserved for check results: {self.rescue!r}")
-        reserved = {n.lower() for n in (*self.flag_names, self.row_id, REASON, self.rescue or REASON)}
+        added = [name.lower() for name in (*filter(None, [self.rescue]), *self.lineage)]
+        reserved = {n.lower() for n in (*self.flag_names, self.row_id, REASON)}
+        if len({*added}) < len(added) or reserved.intersection(added):
+            raise ValueError(f"column names named twice or reserved for check results: {added}")
+        reserved.update(added)
         clash = [c for c in self.columns if c.lower() in reserved or c.lower().startswith(INTERNAL_PREFIX)]
         if clash:
             raise ValueError(f"column names reserved for check results: {clash}")
@@ -118,8 +124,8 @@ class Contract:
 
     @property
     def carried_columns(self) -> list[str]:
-        """The data columns, and the rescued line behind them if there is one."""
-        return [*self.columns, self.rescue] if self.rescue else list(self.columns)
+        """The data columns, and behind them the rescued line, if there is one, and the lineage."""
+        return [*self.columns, *filter(None, [self.rescue]), *self.lineage]
 
     @property
     def checked_columns(self) -> list[str]:

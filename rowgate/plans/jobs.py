@@ -141,7 +141,8 @@ class CleanseJob:
     With ``keep_keys``, appends see the keys of earlier runs, whose tuples they keep in the tables
     ``<good_table>_keys`` and ``<good_table>_runs``: several appends then give what one run over all inputs
     gives, where the rows of a key that more than one tuple has leave the clean table. Both tables have
-    a column ``_digest`` more, which tells tuples apart.
+    a column ``_digest`` more, which tells tuples apart. ``key_buckets`` is the number of files a run adds to
+    the table of keys, fixed by the first one.
     """
 
     spark: SparkSession
@@ -157,6 +158,7 @@ class CleanseJob:
     bitmap_rows: int = scoring.BITMAP_ROWS
     broadcast_files: int = BROADCAST_FILES
     keep_keys: bool = False
+    key_buckets: int = appending.BUCKETS
 
     def __post_init__(self) -> None:
         names = table_names(self.pipeline_name)
@@ -246,8 +248,8 @@ class CleanseJob:
     def _run_with_keys(self) -> tuple[DataFrame, DataFrame]:
         """``run`` for an append that knows the keys of earlier runs."""
         sizes = {"window_rows": self.window_rows, "broadcast_rows": self.broadcast_rows, "bitmap_rows": self.bitmap_rows}
-        index = appending.KeyIndex(self.spark, f"{self.good_table}_keys", f"{self.good_table}_runs", self.contract)
         shape = self.contract
+        index = appending.KeyIndex(self.spark, f"{self.good_table}_keys", f"{self.good_table}_runs", shape, self.key_buckets)
         with Staging(self.spark) as staging:
             rows, _ = self._numbered(staging)
             marked, taken_out = appending.mark_with_known(rows, shape, index, staging, sizes)

@@ -90,6 +90,11 @@ class Staging:
         self.delete_at_end()
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def forget(self, name: str) -> None:
+        """Delete one kept frame that no later step reads."""
+        system, path = file_system(self.spark, self.path(name))
+        system.delete(path, True)
+
     def delete_at_end(self) -> None:
         """Have the folder, once it is there, deleted when the driver ends."""
         system, path = file_system(self.spark, self.folder)

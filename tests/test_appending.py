@@ -38,7 +38,7 @@ def land(spark, schema, rows):
 
 
 def job(spark, schema, shape, **options):
-    return CleanseJob(spark, "p", shape, f"{schema}.raw", f"{schema}.good", f"{schema}.bad", **options)
+    return CleanseJob(spark, "p", shape, f"{schema}.raw", f"{schema}.good", f"{schema}.bad", key_buckets=4, **options)
 
 
 @pytest.mark.parametrize("number, sizes", [(0, {}), (1, {"window_rows": 0}), (2, {"window_rows": 2, "broadcast_rows": 10})])

@@ -263,6 +263,22 @@ def test_lines_that_do_not_fit_are_rescued_and_quarantined(spark, tmp_path):
             Contract({"k": "int"}, ["k"], rescue=rescue)
 
 
+def test_quarantine_keeps_the_file_of_a_row(spark, tmp_path):
+    ensure_schema(spark, "traced")
+    for name, lines in (("a", "1|x\n2|y\n2|z\n"), ("b", "q|x\n1|x\n")):
+        (tmp_path / f"{name}.csv").write_text("k|v\n" + lines)
+    IngestJob(spark, "p", str(tmp_path), table="traced.raw", format_type="csv").run()
+    shape = Contract({"k": "int", "v": "string"}, ["k"], lineage=["_file_name", "_file_size"])
+    for sizes in ({}, {"window_rows": 0}):
+        clean, bad = CleanseJob(spark, "p", shape, "traced.raw", "traced.good", "traced.bad", **sizes).run()
+        found = sorted((r["k"], r["_file_name"], r["reason"][0]) for r in bad.collect() if r["reason"] != ["_is_dup_row"])
+        assert found == [("2", "a.csv", "_is_dup_key"), ("2", "a.csv", "_is_dup_key"), ("q", "b.csv", "_is_k_invalid")]
+        assert clean.columns == ["k", "v", "load_dt", "load_dttm"] and clean.count() == 1
+    for lineage in (["k"], ["reason"], ["a", "A"]):
+        with pytest.raises(ValueError):
+            Contract({"k": "int"}, ["k"], lineage=lineage)
+
+
 def test_headers_in_another_order_are_read_by_name(spark, tmp_path):
     ensure_schema(spark, "orders_of_columns")
     (tmp_path / "a.csv").write_text("k|v|w\n1|a|x\n")
