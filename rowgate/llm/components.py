@@ -32,8 +32,8 @@ def components(links: DataFrame, staging: Staging, name: str, most_rounds: int =
     """``node, component`` for all nodes of ``links`` (long columns ``a``, ``b``), by smallest node.
 
     A node with no link to another is not listed. Each round groups and joins by node, with minima
-    combined before the shuffle, and is written to the shared folder; the loop ends when a round
-    changes nothing. A hub's links are joined to one row, so adaptive execution can split them.
+    combined before the shuffle, and is written to the shared folder, where it replaces the one before; the
+    loop ends when a round changes nothing. A hub's links are joined to one row, so adaptive execution can split them.
     Nothing is collected but a row count and a checksum.
     """
     high, low = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
@@ -47,4 +47,5 @@ def components(links: DataFrame, staging: Staging, name: str, most_rounds: int =
             )
         seen = state
         current = staging.keep(_small_star(_large_star(current)), f"{name}-{number}")
+        staging.forget(f"{name}-{number - 1}")
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

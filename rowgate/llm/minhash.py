@@ -16,6 +16,7 @@ LOW_BITS = 8
 VALUE_BITS = 63 - BIN_BITS
 IDS_A_BUCKET = 64
 BUCKETS_A_RUN = 4096
+NO_ID_BUCKET = -(1 << 60)
 
 
 def with_fingerprint(frame: DataFrame, text: str, name: str, words: int = 5) -> DataFrame:
@@ -92,14 +93,22 @@ def _next_buckets(ids: DataFrame) -> DataFrame:
     return joined.select("bucket", F.coalesce("lower", "next_top").alias("source"))
 
 
+def _bucket_width(docs: DataFrame) -> int:
+    """How many numbers a bucket spans, such that evenly spread ids come some ``IDS_A_BUCKET`` to a bucket."""
+    low, high, rows = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
+    return max(IDS_A_BUCKET, -(-(int(high) - int(low) + 1) * IDS_A_BUCKET // rows)) if rows else IDS_A_BUCKET
+
+
 def with_next(docs: DataFrame, words: int = 5) -> DataFrame:
     """``doc_id, text, fingerprint, next_text, next_fingerprint``: each document with the next lower doc_id's.
 
     After the lowest id comes the highest; null ids come last; rows of one id go by their text. Texts
-    are shuffled once, by buckets of neighbouring ids. The last row of a bucket gets the first one of
-    the next bucket, of which there is one for some dozens of documents.
+    are shuffled once, by buckets of neighbouring ids, as wide as the ids are sparse. The last row of a bucket
+    gets the first one of the next bucket, of which there is one for some dozens of documents, also where ids
+    are hashes over all 64 bits.
     """
-    bucket = F.coalesce(F.floor(F.col("doc_id") / IDS_A_BUCKET), F.lit(-(1 << 60))).cast("long").alias("bucket")
+    width = _bucket_width(docs)
+    bucket = F.coalesce(F.floor(F.col("doc_id") / width), F.lit(NO_ID_BUCKET)).cast("long").alias("bucket")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     dealt = docs.select("doc_id", text, bucket).repartition("bucket")
     order = Window.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), "text")

@@ -213,3 +213,15 @@ def test_only_texts_that_are_there_once_are_left_out_of_the_counts(spark, docume
     assert len(found) == len(rows)
     by_text = {r["bits_per_byte"] for r in found if r["doc_id"] is None}
     assert len(by_text) == 1 and by_text.pop() < np.median([r["bits_per_byte"] for r in found if (r["doc_id"] or 0) > 7])
+
+
+def test_neighbours_of_sparse_ids_come_in_few_buckets(spark):
+    """Ids like hashes: each bucket has some dozens of rows, so the list of buckets is far shorter than the table."""
+    rows = [(int.from_bytes(hashlib.sha256(str(i).encode()).digest()[:8], "big", signed=True), f"text {i}") for i in range(3000)]
+    rows += [(None, "no id"), (2**63 - 1, "last"), (-(2**63), "first")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.with_next(frame).select("doc_id", "text", "next_text").collect()
+    assert Counter(map(tuple, found)) == Counter((i, t, after) for (i, t), (_, after) in in_order(rows))
+    width = minhash._bucket_width(frame)
+    buckets = {math.floor(i / width) for i, _ in rows if i is not None}
+    assert 3000 / minhash.IDS_A_BUCKET / 2 < len(buckets) < 3000 / 20
