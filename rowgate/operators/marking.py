@@ -279,10 +279,12 @@ def _mark_maybe_repeated(
     bucket, bit = bucket_and_bit(F.col(_HASH))
     # Brought together as hashes: a bitmap begun in every task would be larger than they are.
     hashes = repeated.select(bucket.alias(_BUCKET), bit.alias(_BIT)).repartition(_BUCKET)
-    bitmaps = hashes.groupBy(_BUCKET).agg(F.bitmap_construct_agg(_BIT).alias(_BITMAP))
+    bitmaps = hashes.groupBy(_BUCKET).agg(F.bitmap_construct_agg(_BIT).alias(_BITMAP)).withColumn(_BITMAP, _as_words(F.col(_BITMAP)))
     bucket, bit = bucket_and_bit(key_hash(contract.key))
-    byte = F.substring(_BITMAP, F.floor(bit / 8).cast("int") + 1, F.lit(1))
-    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), bit % 8) == 1
+    within = (bit % 32).cast("int")
+    word = F.get(_BITMAP, F.floor(bit / 32).cast("int"))
+    # The first of a word's four bytes is its highest, the first of a byte's bits its lowest.
+    is_set = F.getbit(word, (3 - F.floor(within / 8).cast("int")) * 8 + within % 8) == 1
     return (
         rows.withColumn(_BUCKET, bucket)
         .join(F.broadcast(bitmaps), [_BUCKET], "left")
@@ -291,6 +293,16 @@ def _mark_maybe_repeated(
     )
 
 
+def _as_words(bitmap: Column) -> Column:
+    """A bitmap's bytes as 32-bit numbers, made once for each bitmap so that testing a bit is arithmetic."""
+
+    def word(i: Column) -> Column:
+        value = F.conv(F.hex(F.substring(bitmap, i * 4 + 1, F.lit(4))), 16, 10).cast("long")
+        return F.when(value >= 1 << 31, value - (1 << 32)).otherwise(value).cast("int")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(BITS_PER_ROW // 32 - 1)), word)
+
+
 def _look_up(parted: DataFrame, firsts: DataFrame, contract: Contract) -> DataFrame:
     flags = {
         DUP_ROW: F.col(_CANDIDATE) & F.col(_CLASH).isNull(),
