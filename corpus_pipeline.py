@@ -19,24 +19,38 @@ from rowgate.staging import Staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Rows that Python workers get at a time, unless the session says otherwise: some 3 MB of texts. Spark's
+#: 10,000 make workers grow by what a batch and its copies hold, and they keep that through all later stages.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: SQL cannot express the first stage (a trained model), nor most of the others.
 ORACLE_SQL = None
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Set the pipeline's batch size for its session, where none is set."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the model learns from the rows of the stage outside the held-out fold."""
+    small_batches(spark)
     model = langid.train(docs, fold(F.col("doc_id"), 3) != 1)
     return langid.identified(docs, model)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules pass."""
+    small_batches(spark)
     model = settings.quality_model(docs, spark, sf_dir)
     return quality.accepted(docs, model, settings.GOOD)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose SimHash fingerprints are linked."""
+    small_batches(spark)
     return simhash.deduplicated(docs, settings.SHINGLE_WORDS, settings.MOST_BITS)
 
 
@@ -47,6 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their ids and their places in sequences, which follow the mix."""
+    small_batches(spark)
     return packing.packed_in_order(docs, public_tokenizers.path(settings.TOKENIZER), settings.CAPACITY)
 
 
