@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -14,6 +16,7 @@ from rowgate.llm.common import binaries
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
+TERM = re.compile("[a-z0-9]([a-z0-9-]*[a-z0-9])?")
 
 
 @dataclass(frozen=True)
@@ -26,6 +29,27 @@ class Vocabulary:
     least_soft: int = 2
     least_weight: float = 2.0
 
+    @classmethod
+    def from_table(cls, terms: DataFrame, most_terms: int = 200_000, **limits: float) -> Vocabulary:
+        """The vocabulary of a table of ``term`` and ``weight``; a null weight makes a term strict.
+
+        Terms are trimmed and lower-cased. Of a term given more than once, strict goes before soft and a larger
+        weight before a smaller. Null and empty terms are left out; terms of other characters, weights that are
+        not above 0 and more than ``most_terms`` terms (which go to every task) are a ValueError.
+        """
+        named = terms.select(F.lower(F.trim(F.col("term").cast("string"))).alias("term"), F.col("weight").cast("double").alias("weight"))
+        given = named.where(F.col("term") != "").groupBy("term")
+        one = given.agg(F.count_if(F.col("weight").isNull()).alias("strict"), F.max("weight").alias("weight"))
+        rows = one.orderBy("term").take(most_terms + 1)
+        if len(rows) > most_terms:
+            raise ValueError(f"more than {most_terms} terms")
+        odd = [r["term"] for r in rows if not TERM.fullmatch(r["term"])]
+        odd += [r["term"] for r in rows if not r["strict"] and not 0 < r["weight"] < math.inf]
+        if odd:
+            raise ValueError(f"terms or weights that cannot be matched: {odd[:5]}")
+        soft = {r["term"]: r["weight"] for r in rows if not r["strict"]}
+        return cls(tuple(r["term"] for r in rows if r["strict"]), soft, **limits)
+
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path of a url; both empty for null and where ``://`` is missing."""

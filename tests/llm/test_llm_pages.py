@@ -1,5 +1,6 @@
 """Page texts, urls and vectors against brute force, and on edge cases."""
 
+import math
 from collections import Counter
 from random import Random
 
@@ -167,6 +168,20 @@ def test_vocabulary(spark, url, verdict, strict, soft):
     assert (r["verdict"], r["strict_hits"], r["soft_hits"]) == (verdict, strict, soft)
 
 
+def test_a_vocabulary_from_a_table(spark):
+    rows = [(" Casino ", None), ("casino", 0.5), ("win", 1.0), ("win", 1.5), ("free-spins", 1.0), (None, 1.0), ("", None)]
+    terms = spark.createDataFrame([(*r, "x") for r in rows], "term string, weight double, label string")
+    words = urlfilter.Vocabulary.from_table(terms, least_weight=2.5)
+    assert words == urlfilter.Vocabulary(("casino",), {"win": 1.5, "free-spins": 1.0}, least_weight=2.5)
+    urls = spark.createDataFrame([(1, "http://a.b/casino"), (2, "http://win.b/free-spins"), (3, "http://win.b/")], "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in urlfilter.judged(urls, "page_id", [], words).collect()}
+    assert found == {1: "block", 2: "block", 3: "allow"}
+    assert urlfilter.Vocabulary.from_table(terms.limit(0)) == urlfilter.Vocabulary(())
+    for bad, most in (([("a b", None)], 9), ([("a", 0.0)], 9), ([("a", math.nan)], 9), ([("a", None), ("b", None)], 1)):
+        with pytest.raises(ValueError):
+            urlfilter.Vocabulary.from_table(spark.createDataFrame(bad, "term string, weight double"), most)
+
+
 def brute_links(rows, threshold, brute_roots):
     """``vec_id, n_links, component`` by comparing all with all; ids are unique."""
     good = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
