@@ -109,7 +109,8 @@ def mixed(docs: DataFrame, weights: Mapping[str, int], rest: int = 1, block_rows
 
     Returns ``__row, lane, block, slot, position``; ``position`` runs from 0 over all rows. The
     driver holds a row count per lane and at most ``MOST_UNITS`` slots, the only rows broadcast.
-    Rows are numbered in runs of some thousands dealt by hash, so a hot source is no task of its own.
+    Rows are numbered in runs dealt by a hash of id and row, so a hot source, many rows without an id or many
+    of one id are no task of their own; only rows that are the same in every column share a run.
     """
     if any(n < 1 for n in [rest, *weights.values()]):
         raise ValueError("weights are whole numbers from 1 on")
@@ -121,11 +122,12 @@ def mixed(docs: DataFrame, weights: Mapping[str, int], rest: int = 1, block_rows
     for i, name in enumerate(names):
         lane = F.when(F.col("source") == name, i).otherwise(lane)
     hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    drawn = carried(docs, lane=lane, draw=F.xxhash64(F.lit("mix"), "doc_id"), tie=F.xxhash64(*hashed))
-    keys = docs.select(lane.alias("lane"), F.xxhash64(F.lit("mix"), "doc_id").alias("draw"))
+    draws = {"draw": F.xxhash64(F.lit("mix"), "doc_id"), "tie": F.xxhash64(*hashed)}
+    drawn = carried(docs, lane=lane, **draws)
+    keys = docs.select(lane.alias("lane"), *[c.alias(n) for n, c in draws.items()])
     totals = {r["lane"]: r["count"] for r in keys.groupBy("lane").count().collect()}
     found = phases(units, {x: -(-n // block_rows) for x, n in totals.items()})
-    run = F.pmod("draw", F.lit(max(1, sum(totals.values()) // RUN))).alias("run")
+    run = F.pmod(F.xxhash64("draw", "tie"), F.lit(max(1, sum(totals.values()) // RUN))).alias("run")
     sizes = keys.groupBy("lane", run).agg(F.count("*").alias("n"))
     begins = sums_before(sizes, ["lane"], "run", "n", "before").drop("n")
     order = Window.partitionBy("lane", "run").orderBy("draw", "tie")

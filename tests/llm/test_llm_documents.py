@@ -147,6 +147,18 @@ def test_mix_equals_brute_force_and_keeps_the_shares(spark):
         assert all(abs(seen[x] - (t + 1) * u / 10) < 1 for x, u in units.items())
 
 
+def test_rows_without_an_id_are_dealt_to_many_runs(spark):
+    """Half of the rows have no id and others share one: they are numbered in many runs, and none is lost."""
+    ids = [None] * 3000 + [7] * 1500 + list(range(1500))
+    docs = spark.createDataFrame([(i, f"t{n}", "en", f"src{n % 3}") for n, i in enumerate(ids)], "doc_id long, text string, lang string, source string")
+    placed = mixing.mixed(docs, {"src0": 2}, 1)
+    assert sorted(r["position"] for r in placed.select("position").collect()) == list(range(6000))
+    assert Counter(r["__row"]["text"] for r in placed.collect()) == Counter(f"t{n}" for n in range(6000))
+    draw, tie = F.xxhash64(F.lit("mix"), "doc_id"), F.xxhash64("doc_id", "text", "lang", "source")
+    sizes = docs.groupBy(F.pmod(F.xxhash64(draw, tie), F.lit(6000 // mixing.RUN))).count().collect()
+    assert max(r["count"] for r in sizes) < 3 * mixing.RUN
+
+
 def test_mix_edge_cases(edge_docs, empty_docs):
     placed = mixing.mixed(edge_docs, {"src0": 2, "src1": 1}, 1, 2)
     ordered = mixing.in_order(placed)
