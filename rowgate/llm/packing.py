@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager, nullcontext, suppress
 from dataclasses import dataclass
 from itertools import pairwise
 
@@ -161,30 +163,39 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def forget_encoders() -> None:
-    """Give back the memory of this worker's encoders."""
-    _ENCODERS.clear()
+@contextmanager
+def lean_encoder(path: str) -> Iterator[Encoder]:
+    """An encoder that holds a tenth of the words, and gives their memory back at the end of a task."""
+    lean = Encoder(path, WORDS_HELD // 10)
+    yield lean
+    lean.words, lean.parts = Memory(0), Memory(0)
+    del lean
     pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # a C library without it keeps what it has
+        ctypes.CDLL(None).malloc_trim(0)
 
 
-def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = (), forget: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = (), lean: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Encodes documents, ends each with ``end_id``, cuts it; numbers the pieces of each length in the partition."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        with lean_encoder(path) if lean else nullcontext(encoder(path)) as found:
+            yield from coded(batches, found.encode, LOT_BYTES // 4 if lean else LOT_BYTES)
+
+    def coded(batches: Iterator[pa.RecordBatch], encode: Callable, lot: int) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], dtype="<u4").tobytes()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             texts, ids = binaries(batch.column("text")), batch.column("doc_id").to_pylist()
             parts = batch.column("part").to_pylist()
             others = [batch.column(name) for name in extra]
-            for low, high in lots(texts, LOT_BYTES):
+            for low, high in lots(texts, lot):
                 out: dict[str, list] = {c: [] for c in ("doc_id", "piece", "start", "length", "ids", "part", "rank")}
                 rows: list[int] = []
-                for k, coded in enumerate(encode(texts[low:high]), low):
-                    coded += end
-                    for piece, at in enumerate(range(0, len(coded), 4 * capacity)):
-                        chunk = coded[at : at + 4 * capacity]
+                for k, tokens in enumerate(encode(texts[low:high]), low):
+                    tokens += end
+                    for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
+                        chunk = tokens[at : at + 4 * capacity]
                         n = len(chunk) // 4
                         values = (ids[k], piece, at // 4, n, chunk, parts[k], int(seen[n]))
                         for column, value in zip(out.values(), values, strict=True):
@@ -195,9 +206,6 @@ def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = (), fo
                 arrays = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
                 taken = [other.take(pa.array(rows, pa.int64())) for other in others]
                 yield pa.RecordBatch.from_arrays([*arrays, *taken], names=[*out, *extra])
-        if forget:
-            del encode
-            forget_encoders()
 
     return cut
 
@@ -313,7 +321,7 @@ def pieces(
     capacity: int = 2048,
     end_id: int = 0,
     extra: Mapping[str, str] | None = None,
-    forget: bool = False,
+    lean: bool = False,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids, part, rank``: every document's ids and ``end_id``, cut at ``capacity``.
 
@@ -322,7 +330,7 @@ def pieces(
     be shorter. ``ids`` holds little-endian 32-bit numbers. ``part`` and ``rank`` number the pieces
     of each length, for ``placed``. Texts are encoded whole, word by word, whatever their length. ``extra``
     names further columns of the result and the columns of ``docs`` that they are. A worker keeps what it has
-    learned of words from task to task, some 200 MB; with ``forget`` it gives that back after each, for stages to come.
+    learned of words from task to task, some 250 MB; a ``lean`` one holds a tenth and gives it back after each.
     """
     extra = extra or {}
     rows = docs.select(
@@ -333,7 +341,7 @@ def pieces(
     )
     schema = StructType.fromDDL("doc_id long, piece int, start long, length long, ids binary, part int, rank long")
     schema = StructType([*schema.fields, *[rows.schema[name] for name in extra]])
-    return rows.mapInArrow(_cutter(tokenizer, capacity, end_id, list(extra), forget), schema)
+    return rows.mapInArrow(_cutter(tokenizer, capacity, end_id, list(extra), lean), schema)
 
 
 def placed(cut: DataFrame, capacity: int = 2048, staging: Staging | None = None) -> DataFrame:
@@ -424,7 +432,7 @@ def packed_in_order(
     """
     staging = staging_for(docs.sparkSession, staging)
     file, block = _in_file_order(docs)
-    cut = pieces(docs.withColumns({FILE: file, BLOCK: block}), tokenizer, capacity, end_id, {"file": FILE, "block": BLOCK}, forget=True)
+    cut = pieces(docs.withColumns({FILE: file, BLOCK: block}), tokenizer, capacity, end_id, {"file": FILE, "block": BLOCK}, lean=True)
     columns = ["doc_id", "piece", "start", "length", "ids"]
     within = StructType([cut.schema[c] for c in (*columns, "file", "block")]).add("within", LongType())
     kept = staging.keep(cut.select(*columns, "file", "block").mapInArrow(_counted, within), "pieces-in-order")
