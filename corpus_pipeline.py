@@ -19,9 +19,9 @@ from rowgate.staging import Staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Rows that Python workers get at a time, unless the session says otherwise: some 3 MB of texts. Spark's
+#: Rows that Python workers get at a time, unless the session says otherwise: a MB or two of texts. Spark's
 #: 10,000 make workers grow by what a batch and its copies hold, and they keep that through all later stages.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 #: SQL cannot express the first stage (a trained model), nor most of the others.
