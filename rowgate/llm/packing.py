@@ -176,7 +176,10 @@ def lean_encoder(path: str) -> Iterator[Encoder]:
 
 
 def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = (), lean: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Encodes documents, ends each with ``end_id``, cuts it; numbers the pieces of each length in the partition."""
+    """Encodes documents, ends each with ``end_id``, cuts it; numbers the pieces of each length in the partition.
+
+    All in one pass of Python: a second one in the same stage would be as many workers again.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with lean_encoder(path) if lean else nullcontext(encoder(path)) as found:
@@ -185,15 +188,20 @@ def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = (), le
     def coded(batches: Iterator[pa.RecordBatch], encode: Callable, lot: int) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], dtype="<u4").tobytes()
         seen = np.zeros(capacity + 1, dtype=np.int64)
+        run, total = None, 0
         for batch in batches:
             texts, ids = binaries(batch.column("text")), batch.column("doc_id").to_pylist()
             parts = batch.column("part").to_pylist()
             others = [batch.column(name) for name in extra]
+            runs = list(zip(*[other.to_pylist() for other in others], strict=True)) if others else [()] * len(texts)
             for low, high in lots(texts, lot):
                 out: dict[str, list] = {c: [] for c in ("doc_id", "piece", "start", "length", "ids", "part", "rank")}
                 rows: list[int] = []
+                within: list[int] = []
                 for k, tokens in enumerate(encode(texts[low:high]), low):
                     tokens += end
+                    if runs[k] != run:
+                        run, total = runs[k], 0
                     for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
                         chunk = tokens[at : at + 4 * capacity]
                         n = len(chunk) // 4
@@ -201,11 +209,14 @@ def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = (), le
                         for column, value in zip(out.values(), values, strict=True):
                             column.append(value)
                         rows.append(k)
+                        within.append(total)
+                        total += n
                         seen[n] += 1
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
                 arrays = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
-                taken = [other.take(pa.array(rows, pa.int64())) for other in others]
-                yield pa.RecordBatch.from_arrays([*arrays, *taken], names=[*out, *extra])
+                if extra:
+                    arrays += [other.take(pa.array(rows, pa.int64())) for other in others] + [pa.array(within, pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*out, *extra, "within"] if extra else list(out))
 
     return cut
 
@@ -329,7 +340,8 @@ def pieces(
     A null, empty or blank text is just ``end_id``. Only longer documents are cut; the last piece may
     be shorter. ``ids`` holds little-endian 32-bit numbers. ``part`` and ``rank`` number the pieces
     of each length, for ``placed``. Texts are encoded whole, word by word, whatever their length. ``extra``
-    names further columns of the result and the columns of ``docs`` that they are. A worker keeps what it has
+    names further columns of the result and the columns of ``docs`` that they are; ``within`` then says how many tokens
+    were before a piece in its run of rows with the same values of these. A worker keeps what it has
     learned of words from task to task, some 250 MB; a ``lean`` one holds a tenth and gives it back after each.
     """
     extra = extra or {}
@@ -340,7 +352,8 @@ def pieces(
         *[F.col(column).alias(name) for name, column in extra.items()],
     )
     schema = StructType.fromDDL("doc_id long, piece int, start long, length long, ids binary, part int, rank long")
-    schema = StructType([*schema.fields, *[rows.schema[name] for name in extra]])
+    if extra:
+        schema = StructType([*schema.fields, *[rows.schema[name] for name in extra]]).add("within", LongType())
     return rows.mapInArrow(_cutter(tokenizer, capacity, end_id, list(extra), lean), schema)
 
 
@@ -382,21 +395,6 @@ def _in_file_order(docs: DataFrame) -> tuple[Column, Column]:
     return F.col("_metadata.file_name"), F.col("_metadata.file_block_start")
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds ``within``: the tokens before each piece in its run of rows, which come in order."""
-    last, total = None, 0
-    for batch in batches:
-        length = batch.column("length").to_numpy()
-        runs = list(zip(batch.column("file").to_pylist(), batch.column("block").to_pylist(), strict=True))
-        within = np.zeros(len(length), np.int64)
-        for i, (run, n) in enumerate(zip(runs, length.tolist(), strict=True)):
-            if run != last:
-                last, total = run, 0
-            within[i] = total
-            total += n
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(within)], names=[*batch.schema.names, "within"])
-
-
 def _window_packer(capacity: int, columns: list[str]) -> Callable[[pa.Table], pa.Table]:
     def pack(rows: pa.Table) -> pa.Table:
         length = rows.column("length").to_numpy()
@@ -434,8 +432,7 @@ def packed_in_order(
     file, block = _in_file_order(docs)
     cut = pieces(docs.withColumns({FILE: file, BLOCK: block}), tokenizer, capacity, end_id, {"file": FILE, "block": BLOCK}, lean=True)
     columns = ["doc_id", "piece", "start", "length", "ids"]
-    within = StructType([cut.schema[c] for c in (*columns, "file", "block")]).add("within", LongType())
-    kept = staging.keep(cut.select(*columns, "file", "block").mapInArrow(_counted, within), "pieces-in-order")
+    kept = staging.keep(cut.select(*columns, "file", "block", "within"), "pieces-in-order")
     totals = kept.groupBy("file", "block").agg(F.max(F.col("within") + F.col("length")).alias("tokens"))
     # One row a run of rows, as many as the scan has splits; names with more digits come later.
     earlier = Window.orderBy(F.length("file"), "file", "block").rowsBetween(Window.unboundedPreceding, -1)
