@@ -225,6 +225,40 @@ def test_only_texts_that_are_there_once_are_left_out_of_the_counts(spark, docume
     assert len(by_text) == 1 and by_text.pop() < np.median([r["bits_per_byte"] for r in found if (r["doc_id"] or 0) > 7])
 
 
+def test_mixing_is_learned_from_every_training_text(spark, documents, monkeypatch):
+    """Every copy of every training text adds all its bits to the cells that mixing is fitted to, and to the tables."""
+    texts = [r["text"] or "" for r in documents.collect()] + ["the same words once more"] * 300 + ["", " "]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found, fitted, compiled, tuned = {}, lm._fitted, lm._compiled, lm._tuned
+    monkeypatch.setattr(lm, "_tuned", lambda tables, coder, texts: found.update(coder=coder) or tuned(tables, coder, texts))
+    monkeypatch.setattr(lm, "_fitted", lambda cells, *begin: found.update(cells=cells.copy()) or fitted(cells, *begin))
+    monkeypatch.setattr(lm, "_compiled", lambda tables: found.update(tables=tables.copy()) or compiled(tables))
+    lm.scored(frame, F.col("doc_id") % 5 > 0)
+    items = lm.itemized([lm.lowered_words(t.encode()) for i, t in rows if i % 5], found["coder"])
+    bits, spelled = 0, np.zeros_like(found["tables"])
+    for seen, part in lm._bit_lots(items, found["coder"]):
+        bits += int((items.spelled_times if seen.kind else items.key_times)[part][seen.item].sum())
+    lm._count_spellings(spelled, found["coder"])
+    assert found["cells"].sum() == bits
+    assert (found["tables"] - spelled)[1].sum() == (found["tables"] - spelled)[2].sum() == bits
+
+
+def test_fitted_mixing_takes_all_bits_and_keeps_what_none_chose():
+    """One gate's bits are foretold by its first table alone; the weights find that, whatever they begin with."""
+    levels, random = len(lm.LEVELS), np.random.default_rng(3)
+    cells = np.zeros(lm.CELL_BLOCKS * 2 * lm.BLOCK, np.int64)
+    own = cells[: lm.CELLS].reshape(lm.GATES, levels, levels, levels, 2)
+    for a in range(levels):
+        own[5, a, :, :, 1] = 10_000 / (1 + np.exp(-lm.LEVELS[a]))
+        own[5, a, :, :, 0] = 10_000 - own[5, a, :, :, 1]
+    begin, corrections = random.normal(size=(lm.GATES, lm.TABLES + 1)), np.full((lm.GATES, lm.MAP_CELLS), 0.5)
+    weights, shares = lm._fitted(cells, begin, corrections)
+    assert np.allclose(weights[5], [1, 0, 0, 0], atol=0.02) and np.allclose(shares[5][[9, 16, 23]], [0.029, 0.5, 0.971], atol=0.01)
+    others = np.arange(lm.GATES) != 5
+    assert (weights[others] == begin[others]).all() and (shares[others] == 0.5).all()
+
+
 def test_neighbours_of_sparse_ids_come_in_few_buckets(spark):
     """Ids like hashes: each bucket has some dozens of rows, so the list of buckets is far shorter than the table."""
     rows = [(int.from_bytes(hashlib.sha256(str(i).encode()).digest()[:8], "big", signed=True), f"text {i}") for i in range(3000)]
