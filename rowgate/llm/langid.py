@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from rowgate.llm.common import carried, unpacked
+from rowgate.llm.common import carried, giving_back, unpacked
 
 UNDETERMINED = "und"
 BITS = 15
@@ -135,7 +135,7 @@ def train(docs: DataFrame, learned: Column, smoothing: float = 0.5, most_languag
     rows = docs.where(learned & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
         F.col("text").cast("string"), F.col("lang").cast("string")
     )
-    counted = rows.mapInArrow(_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(giving_back(_counts), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     packed = (
         counted.groupBy("lang").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("ns")).orderBy("lang")
     )
@@ -175,7 +175,7 @@ def predict(frame: DataFrame, model: LanguageModel) -> DataFrame:
     kept = [f for f in frame.schema.fields if f.name != "text"]
     schema = StructType(kept).add("lang_pred", StringType()).add("score", DoubleType())
     broadcast = frame.sparkSession.sparkContext.broadcast(model)
-    return frame.mapInArrow(_scorer(broadcast), schema)
+    return frame.mapInArrow(giving_back(_scorer(broadcast)), schema)
 
 
 def identified(docs: DataFrame, model: LanguageModel, least_score: float = 0.5) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import ctypes
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
-from contextlib import contextmanager, nullcontext, suppress
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from itertools import pairwise
 
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from rowgate.llm.common import binaries, lots, staging_for, sums_before, text_bytes
+from rowgate.llm.common import binaries, give_back, lots, staging_for, sums_before, text_bytes
 from rowgate.staging import Staging
 
 WORDS_HELD = 1_000_000
@@ -153,26 +152,26 @@ def _cut(data: bytes, ends: np.ndarray) -> list[bytes]:
     return [data[low:high] for low, high in pairwise(places)]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, words_held: int = WORDS_HELD) -> Encoder:
     """One encoder a Python worker, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, words_held) not in _ENCODERS:
+        _ENCODERS[path, words_held] = Encoder(path, words_held)
+    return _ENCODERS[path, words_held]
 
 
 @contextmanager
 def lean_encoder(path: str) -> Iterator[Encoder]:
-    """An encoder that holds a tenth of the words, and gives their memory back at the end of a task."""
-    lean = Encoder(path, WORDS_HELD // 10)
+    """An encoder that holds a tenth of the words, and gives their memory back at the end of a task.
+
+    The tokenizer stays: one made anew for each task takes as much again while it is read, and some MB more every time.
+    """
+    lean = encoder(path, WORDS_HELD // 10)
     yield lean
-    lean.words, lean.parts = Memory(0), Memory(0)
-    del lean
-    pa.default_memory_pool().release_unused()
-    with suppress(OSError, AttributeError):  # a C library without it keeps what it has
-        ctypes.CDLL(None).malloc_trim(0)
+    lean.words, lean.parts = Memory(lean.words.most), Memory(lean.parts.most)
+    give_back()
 
 
 def _cutter(path: str, capacity: int, end_id: int, extra: Sequence[str] = (), lean: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

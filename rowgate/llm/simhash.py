@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import binaries, carried, staging_for, text_bytes, unpacked
+from rowgate.llm.common import binaries, carried, giving_back, staging_for, text_bytes, unpacked
 from rowgate.llm.components import components
 from rowgate.staging import Staging
 
@@ -166,7 +166,7 @@ def linked_fingerprints(distinct: DataFrame, distance: int, cell: int = CELL) ->
         .alias("cell"),
     )
     met = celled.repartition("cell").sortWithinPartitions("cell")
-    return met.mapInArrow(_linker(distance), "a long, b long").distinct()
+    return met.mapInArrow(giving_back(_linker(distance)), "a long, b long").distinct()
 
 
 def fingerprint_components(distinct: DataFrame, distance: int, staging: Staging) -> DataFrame:

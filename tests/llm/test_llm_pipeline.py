@@ -79,3 +79,16 @@ def test_sequences_follow_the_mix(spark):
         places.sort()
         assert places[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(places, places[1:], strict=False))
         assert places[-1][0] + places[-1][1] <= settings.CAPACITY
+
+
+def test_lean_encoder_reads_the_tokenizer_once_and_keeps_no_words():
+    """A tokenizer made anew for each task took some MB more of the worker every time."""
+    path = settings.public_tokenizers.path(settings.TOKENIZER)
+    text = "the same words, and an odd one: 漢字".encode()
+    with packing.lean_encoder(path) as first:
+        ids, tokenizer = first.encode([text]), first.tokenizer
+        assert first.parts or first.words
+    assert not first.parts and not first.words
+    with packing.lean_encoder(path) as second:
+        assert second.tokenizer is tokenizer and second.encode([text]) == ids == packing.encoder(path).encode([text])
+    assert packing.encoder(path).parts.most == 10 * second.parts.most > 0
