@@ -21,7 +21,7 @@ from rowgate.llm.components import components
 from rowgate.staging import Staging
 
 SHARD = 1024
-CELL = 2048
+CELL = 4096
 MOST_CLUSTERS = 4096
 SAMPLE = 16384
 DEGREE = 24
@@ -124,7 +124,7 @@ def flat_graph(unit: np.ndarray, seed: int) -> np.ndarray:
     random = np.random.default_rng(seed)
     np.fill_diagonal(near, -2)
     take = min(NEAREST, n - 1)
-    close = np.argpartition(-near, take - 1, axis=1)[:, :take]
+    close = np.concatenate([np.argpartition(-near[at : at + QUERIES], take - 1, axis=1)[:, :take] for at in range(0, n, QUERIES)])
     ids = np.concatenate((close, random.integers(0, n, (n, DRAWN))), axis=1)
     own = np.arange(n)[:, None]
     ids.sort(axis=1)
@@ -477,14 +477,17 @@ def _audit(nodes: DataFrame, found: DataFrame, threshold: float, queries: int) -
     return min((sum(r * w for r, w in x) / sum(w for _, w in x) for x in shares.values()), default=1.0)
 
 
-def _centres(spark: SparkSession, nodes: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
-    """For each dimension its first shard number and its clusters, fitted on a bounded sample of the vectors."""
+def _centres(spark: SparkSession, nodes: DataFrame, overlap: int = 2) -> dict[int, tuple[int, np.ndarray]]:
+    """For each dimension its first shard number and its clusters, fitted on a bounded sample of the vectors.
+
+    There are as many more clusters as the ``overlap`` is larger, so a shard has some two ``SHARD`` vectors whatever that is.
+    """
     first, found = 0, {}
     for row in nodes.groupBy(F.size("vector").alias("size")).count().orderBy("size").collect():
         of_size = nodes.where(F.size("vector") == row["size"])
         sample = of_size.orderBy(F.xxhash64("node", F.lit("sample")), "node").limit(SAMPLE).select("vector").collect()
         unit = _matrix(pa.array([r["vector"] for r in sample], pa.list_(pa.float64())))
-        centres = centroids(unit, min(MOST_CLUSTERS, -(-row["count"] // SHARD)))
+        centres = centroids(unit, min(MOST_CLUSTERS, -(-row["count"] * overlap // (2 * SHARD))))
         found[row["size"]] = (first, centres)
         first += len(centres)
     return found
@@ -493,7 +496,7 @@ def _centres(spark: SparkSession, nodes: DataFrame) -> dict[int, tuple[int, np.n
 def _searched(nodes: DataFrame, threshold: float, overlap: int, staging: Staging, name: str) -> DataFrame:
     """Counts and connecting links of all nodes, from one build and search with ``overlap`` shards a vector."""
     spark = nodes.sparkSession
-    broadcast = spark.sparkContext.broadcast(_centres(spark, nodes))
+    broadcast = spark.sparkContext.broadcast(_centres(spark, nodes, overlap))
     schema = f"node long, times long, vector {nodes.schema['vector'].dataType.simpleString()}, shards array<int>"
     assigned = nodes.select("node", "times", "vector").mapInArrow(_assigner(broadcast, overlap), schema)
     assigned = staging.keep(assigned, f"{name}-assigned")

@@ -265,6 +265,30 @@ def test_audit_is_not_decided_by_one_hot_group(spark):
     assert vectors._audit(nodes, links, 0.95, 256) == 1
 
 
+def test_rows_searched_grow_with_the_overlap_alone(spark, monkeypatch):
+    """With four times the overlap there are four times the clusters: no shard is cut and joined part by part."""
+    random = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(random.normal(size=(1200, 12)))]
+    nodes = spark.createDataFrame(rows, "node long, vector array<double>, times long").cache()
+    monkeypatch.setattr(vectors, "SHARD", 40)
+    monkeypatch.setattr(vectors, "CELL", 160)
+    searched = spark.sparkContext.accumulator(0)
+
+    def counted(threshold):
+        def search(table):
+            searched.add(table.num_rows)
+            return table.select([]).from_pydict({n: [] for n in ("a", "b", "n", "partners")}, vectors.pa.schema([(n, vectors.pa.int64()) for n in ("a", "b", "n", "partners")]))
+
+        return search
+
+    monkeypatch.setattr(vectors, "_searcher", counted)
+    totals = []
+    for overlap in (2, 8):
+        vectors._searched(nodes, 0.95, overlap, vectors.staging_for(spark, None), f"overlap-{overlap}")
+        totals.append(searched.value - sum(totals))
+    assert 2 * 1200 <= totals[0] <= 1.5 * 2 * 1200 and 8 * 1200 <= totals[1] <= 1.5 * 8 * 1200
+
+
 def test_no_task_gets_a_whole_large_shard(spark, monkeypatch, brute_roots):
     searcher, most = vectors._searcher, 2 * 60
 
