@@ -2,10 +2,13 @@
 
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,6 +247,45 @@ def test_mixing_is_learned_from_every_training_text(spark, documents, monkeypatc
     assert (found["tables"] - spelled)[1].sum() == (found["tables"] - spelled)[2].sum() == bits
 
 
+def test_words_in_one_buffer_are_those_of_each_text():
+    texts = [b"", b" \t\n\r\x0b\x0c", b"  The CAT\x1csat ", "\u00c9T\u00c9\u00a0x \u0130".encode(), b"\xff\xfeA \xc3", b"a\x00B", b"a" * 70_000]
+    column = pa.array([b"cut off", *texts], pa.binary()).slice(1)
+    words, sizes = lm.tokenized(column)
+    ends = np.cumsum(sizes).tolist()
+    found = [words[end - n : end].to_pylist() for end, n in zip(ends, sizes.tolist(), strict=True)]
+    assert found == [lm.lowered_words(t) for t in texts]
+    none, sizes = lm.tokenized(column.slice(0, 0))
+    assert len(none) == len(sizes) == 0
+
+
+def test_states_are_the_levels_and_experience_of_counts():
+    counts = np.random.default_rng(4).choice(np.array([0, 1, 2, 3, 11, 12, 31, 32, 33, 1000, 2**31, 2**32 - 1], np.uint32), 20_000)
+    zeros, ones = counts[0::2].astype(np.float32), counts[1::2].astype(np.float32)
+    states = lm.states_of(counts)
+    assert (states & 31 == lm._levels(lm._odds(zeros, ones))).all()
+    assert (states >> 5 == lm._experience(zeros + ones)).all()
+
+
+def test_a_lot_of_text_is_scored_in_little_memory():
+    """An executor's two workers share what its heap leaves, and words as Python's objects take ten times their bytes."""
+    random = np.random.default_rng(5)
+    known = sorted({random.bytes(4).hex().encode() for _ in range(50_000)})
+    coder = lm.Coder.over([(w, 2) for w in known], 9, 10**6)
+    odds, weights = np.zeros((lm.TABLES, lm.SLOTS), np.int16), np.full((lm.GATES, lm.TABLES + 1), 0.3)
+    model = lm.Model(coder, odds, lm.mixing_weights(weights), lm.costs(np.full((lm.GATES, lm.MAP_CELLS), 0.5)), 10**6, len(known))
+    picked = [b" ".join(known[i] for i in random.zipf(1.3, 2000) % len(known)) for _ in range(220)]
+    batch = pa.RecordBatch.from_arrays([pa.array(picked, pa.binary())], names=["text"])
+    held = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        (found,) = lm._scorer(SimpleNamespace(value=model))(iter([batch]))
+        peak = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - held
+    finally:
+        tracemalloc.stop()
+    assert found.column("n_tokens").to_pylist() == [2001] * len(picked)
+    assert peak < 56e6, peak
+
+
 def test_fitted_mixing_takes_all_bits_and_keeps_what_none_chose():
     """One gate's bits are foretold by its first table alone; the weights find that, whatever they begin with."""
     levels, random = len(lm.LEVELS), np.random.default_rng(3)
